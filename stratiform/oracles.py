@@ -62,3 +62,233 @@ def daily_summary_sql(approaches: str, metadata: str) -> str:
 ORACLES = {
     "daily_summary": daily_summary_sql(SILVER_APPROACHES, SILVER_METADATA),
 }
+
+
+# --- windows of the two pulls (fixed values, same as plans/scenario.py) -----------
+RUN1_WHERE = ("ts >= TIMESTAMP '2024-01-04 00:00:00' AND ts < TIMESTAMP '2024-01-11 00:00:00' "
+              "AND ts <= TIMESTAMP '2024-01-10 12:00:00'")
+RUN2_WHERE = "ts >= TIMESTAMP '2024-01-07 00:00:00' AND ts < TIMESTAMP '2024-01-14 00:00:00'"
+
+
+def bronze_approaches_where(where: str) -> str:
+    return f"SELECT * FROM ({BRONZE_APPROACHES} WHERE {where})"
+
+
+def silver_of(bronze: str) -> str:
+    return f"""
+  SELECT CAST(id AS BIGINT) AS id, close_approach_date_full,
+         relative_velocity_km_per_second, miss_distance_km, orbiting_body,
+         CAST(close_approach_date_full AS DATE) AS fecha,
+         CAST(hour(close_approach_date_full) AS INTEGER) AS hora
+  FROM ({bronze})"""
+
+
+def silver_meta_of(bronze: str) -> str:
+    return f"""
+  SELECT CAST(id AS BIGINT) AS id, absolute_magnitude_h, diameter_min_km, diameter_max_km,
+         is_potentially_hazardous, is_sentry_object,
+         NULLIF(regexp_extract(name, '^(\\d+)\\s', 1), '') AS numero_oficial,
+         NULLIF(regexp_extract(name, '\\((.+)\\)', 1), '') AS designacion_provisional,
+         regexp_matches(name, '^\\d+\\s') AS tiene_designacion_oficial,
+         diameter_max_km - diameter_min_km AS incertidumbre_diametro_km,
+         is_potentially_hazardous OR is_sentry_object AS bajo_seguimiento_riesgo
+  FROM ({bronze})"""
+
+
+# Feed documents carry times to the minute: the flat rows of a landed feed.
+FEED_FLAT = """
+  SELECT CAST(user_id AS VARCHAR) AS id,
+         CAST(user_id AS VARCHAR) || ' (' || event_type || ')' AS name,
+         CAST(CAST(ts AS DATE) AS TIMESTAMP) AS close_approach_date,
+         date_trunc('minute', ts) AS close_approach_date_full,
+         value AS relative_velocity_km_per_second,
+         value * 1000.0 + CAST(json_extract_string(props, '$.k') AS DOUBLE) AS miss_distance_km,
+         event_type AS orbiting_body,
+         event_type = 'error' AS is_potentially_hazardous,
+         CAST(ts AS DATE) AS fecha
+  FROM events"""
+
+FANOUT_METADATA = silver_meta_of(f"""
+  SELECT m.* FROM ({bronze_approaches_where(RUN1_WHERE)}) r JOIN ({BRONZE_METADATA}) m ON r.id = m.id""")
+
+BROKEN = "p_name LIKE 'hot %'"
+CATALOG_OK = f"SELECT * FROM ({BRONZE_METADATA}) WHERE CAST(id AS BIGINT) NOT IN (SELECT p_partkey FROM part WHERE {BROKEN})"
+
+# The lake after two pulls (bronze merges insert-only; lookups answer every request).
+TWO_RUNS = f"""
+  r1 AS (SELECT * FROM ({FEED_FLAT} WHERE {RUN1_WHERE})),
+  r2 AS (SELECT * FROM ({FEED_FLAT} WHERE {RUN2_WHERE})),
+  ba AS (SELECT * FROM r1 UNION ALL
+         SELECT * FROM r2 WHERE NOT EXISTS (
+           SELECT 1 FROM r1 WHERE r1.id = r2.id AND r1.close_approach_date = r2.close_approach_date)),
+  cat AS ({CATALOG_OK}),
+  bm1 AS (SELECT cat.* FROM r1 JOIN cat ON r1.id = cat.id),
+  bm AS (SELECT * FROM bm1 UNION ALL
+         SELECT cat.* FROM r2 JOIN cat ON r2.id = cat.id WHERE cat.id NOT IN (SELECT id FROM bm1)),
+  sa AS ({silver_of('SELECT * FROM ba')}),
+  sm AS ({silver_meta_of('SELECT * FROM bm')})"""
+
+
+def _joined_sql() -> str:
+    return f"""
+  SELECT a.*, m.diameter_max_km, CAST(m.bajo_seguimiento_riesgo AS DOUBLE) AS bajo_seguimiento_riesgo
+  FROM ({SILVER_APPROACHES}) a LEFT JOIN ({SILVER_METADATA}) m ON a.id = m.id"""
+
+
+def _r2(expr: str) -> str:
+    return f"round_even(({expr}) * 100, 0) / 100"
+
+
+ORACLES.update({
+    "daily_summary_fanout": daily_summary_sql(SILVER_APPROACHES, FANOUT_METADATA),
+    "join_left_fanout": f"""
+  SELECT a.id, a.close_approach_date_full, a.fecha, a.relative_velocity_km_per_second,
+         m.diameter_max_km, m.bajo_seguimiento_riesgo
+  FROM ({SILVER_APPROACHES}) a LEFT JOIN ({FANOUT_METADATA}) m ON a.id = m.id""",
+    "agg_count": f"""
+  SELECT fecha, COUNT(id) AS cantidad_aproximaciones FROM ({_joined_sql()})
+  WHERE fecha IS NOT NULL GROUP BY fecha""",
+    "agg_mean": f"""
+  SELECT fecha, {_r2('AVG(relative_velocity_km_per_second)')} AS velocidad_promedio_km_s,
+         {_r2('AVG(miss_distance_km)')} AS distancia_promedio_km
+  FROM ({_joined_sql()}) WHERE fecha IS NOT NULL GROUP BY fecha""",
+    "agg_min_max": f"""
+  SELECT fecha, MAX(relative_velocity_km_per_second) AS velocidad_maxima_km_s,
+         MIN(miss_distance_km) AS distancia_minima_km, MAX(diameter_max_km) AS diametro_maximo_km
+  FROM ({_joined_sql()}) WHERE fecha IS NOT NULL GROUP BY fecha""",
+    "agg_flag_sum": f"""
+  SELECT a.id, COALESCE(SUM(CAST(m.bajo_seguimiento_riesgo AS DOUBLE)), 0.0) AS cantidad_bajo_seguimiento_riesgo
+  FROM ({SILVER_APPROACHES}) a LEFT JOIN ({silver_meta_of(CATALOG_OK)}) m ON a.id = m.id
+  WHERE a.id IS NOT NULL GROUP BY a.id""",
+    "agg_null_key": """
+  SELECT l.quality, COUNT(d.doc_id) AS documents
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+  WHERE l.quality IS NOT NULL GROUP BY l.quality""",
+    "distinct_keys": f"SELECT DISTINCT id, fecha FROM ({SILVER_APPROACHES})",
+    "silver_approaches": SILVER_APPROACHES,
+    "silver_metadata": SILVER_METADATA,
+    "cast_timestamp": """
+  SELECT event_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS close_approach_date,
+         date_trunc('minute', ts) AS close_approach_date_full FROM events""",
+    "cast_id": f"SELECT id AS id_text, CAST(id AS BIGINT) AS id FROM ({BRONZE_APPROACHES})",
+    "cast_double": """
+  SELECT event_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
+         value AS relative_velocity_km_per_second FROM events""",
+    "cast_bool": """
+  SELECT d.doc_id, COALESCE(l.toxic = 1, false) AS is_toxic
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+    "date_hour_split": """
+  SELECT event_id, CAST(ts AS DATE) AS fecha, CAST(hour(ts) AS INTEGER) AS hora FROM events""",
+    "name_number": f"SELECT id, numero_oficial FROM ({SILVER_METADATA})",
+    "name_provisional": f"SELECT id, designacion_provisional FROM ({SILVER_METADATA})",
+    "name_has_number": f"SELECT id, tiene_designacion_oficial FROM ({SILVER_METADATA})",
+    "diff_range": f"SELECT id, incertidumbre_diametro_km FROM ({SILVER_METADATA})",
+    "flag_or": f"SELECT id, bajo_seguimiento_riesgo FROM ({SILVER_METADATA})",
+    "round_half_even": f"SELECT event_id, {_r2('value / 8.0')} AS value_eighth FROM events",
+    "orphans_by_null": """
+  SELECT d.doc_id FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NULL""",
+    "orphans_by_key": """
+  SELECT d.doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
+    "dup_keys": f"""
+  SELECT id, close_approach_date, COUNT(*) AS n FROM ({BRONZE_APPROACHES})
+  GROUP BY id, close_approach_date HAVING COUNT(*) > 1""",
+    "null_profile": f"""
+  WITH s AS ({SILVER_METADATA})
+  SELECT c AS "column", n AS nulls, (SELECT COUNT(*) FROM s) AS rows FROM (
+    SELECT 'id' AS c, COUNT(*) FILTER (WHERE id IS NULL) AS n FROM s UNION ALL
+    SELECT 'absolute_magnitude_h', COUNT(*) FILTER (WHERE absolute_magnitude_h IS NULL) FROM s UNION ALL
+    SELECT 'diameter_min_km', COUNT(*) FILTER (WHERE diameter_min_km IS NULL) FROM s UNION ALL
+    SELECT 'diameter_max_km', COUNT(*) FILTER (WHERE diameter_max_km IS NULL) FROM s UNION ALL
+    SELECT 'is_potentially_hazardous', COUNT(*) FILTER (WHERE is_potentially_hazardous IS NULL) FROM s UNION ALL
+    SELECT 'is_sentry_object', COUNT(*) FILTER (WHERE is_sentry_object IS NULL) FROM s UNION ALL
+    SELECT 'numero_oficial', COUNT(*) FILTER (WHERE numero_oficial IS NULL) FROM s UNION ALL
+    SELECT 'designacion_provisional', COUNT(*) FILTER (WHERE designacion_provisional IS NULL) FROM s UNION ALL
+    SELECT 'tiene_designacion_oficial', COUNT(*) FILTER (WHERE tiene_designacion_oficial IS NULL) FROM s UNION ALL
+    SELECT 'incertidumbre_diametro_km', COUNT(*) FILTER (WHERE incertidumbre_diametro_km IS NULL) FROM s UNION ALL
+    SELECT 'bajo_seguimiento_riesgo', COUNT(*) FILTER (WHERE bajo_seguimiento_riesgo IS NULL) FROM s)""",
+    "name_lossless": f"""
+  WITH p AS (SELECT id, name,
+                    NULLIF(regexp_extract(name, '^(\\d+)\\s', 1), '') AS numero_oficial,
+                    NULLIF(regexp_extract(name, '\\((.+)\\)', 1), '') AS designacion_provisional
+             FROM ({BRONZE_METADATA})),
+  r AS (SELECT *, CASE WHEN numero_oficial IS NOT NULL AND designacion_provisional IS NOT NULL
+                         THEN numero_oficial || ' (' || designacion_provisional || ')'
+                       WHEN numero_oficial IS NOT NULL THEN numero_oficial
+                       WHEN designacion_provisional IS NOT NULL THEN '(' || designacion_provisional || ')'
+                  END AS rebuilt_name FROM p)
+  SELECT * FROM r WHERE rebuilt_name IS DISTINCT FROM name""",
+    "peek_top5": f"""
+  SELECT * FROM ({BRONZE_APPROACHES}) ORDER BY close_approach_date_full, id LIMIT 5""",
+    "window_7d": bronze_approaches_where(RUN2_WHERE),
+    "pending_by_id": f"""
+  SELECT CAST(id AS BIGINT) AS id, name, absolute_magnitude_h, diameter_min_km, diameter_max_km,
+         is_potentially_hazardous, is_sentry_object, nasa_jpl_url
+  FROM ({BRONZE_METADATA}) m
+  WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = CAST(m.id AS BIGINT))""",
+    "pending_by_key": f"""
+  WITH done AS ({silver_of(bronze_approaches_where(RUN1_WHERE))})
+  SELECT CAST(b.id AS BIGINT) AS id, b.name, b.close_approach_date, b.close_approach_date_full,
+         b.relative_velocity_km_per_second, b.miss_distance_km, b.orbiting_body,
+         b.is_potentially_hazardous, b.fecha
+  FROM ({bronze_approaches_where(RUN2_WHERE)}) b
+  WHERE NOT EXISTS (SELECT 1 FROM done d WHERE d.id IS NOT DISTINCT FROM CAST(b.id AS BIGINT)
+                    AND d.close_approach_date_full IS NOT DISTINCT FROM b.close_approach_date_full)""",
+    "pending_missing_target": f"""
+  SELECT CAST(id AS BIGINT) AS id, name, close_approach_date, close_approach_date_full,
+         relative_velocity_km_per_second, miss_distance_km, orbiting_body, is_potentially_hazardous, fecha
+  FROM ({bronze_approaches_where(RUN2_WHERE)})""",
+    "merge_create": bronze_approaches_where(RUN1_WHERE),
+    "merge_insert_by_day": f"""
+  WITH t AS ({bronze_approaches_where(RUN1_WHERE)}), s AS ({bronze_approaches_where(RUN2_WHERE)})
+  SELECT * FROM t UNION ALL
+  SELECT * FROM s WHERE NOT EXISTS (
+    SELECT 1 FROM t WHERE t.id = s.id AND t.close_approach_date = s.close_approach_date)""",
+    "merge_insert_by_ts": f"""
+  WITH t AS ({silver_of(bronze_approaches_where(RUN1_WHERE))}),
+       s AS ({silver_of(bronze_approaches_where(RUN2_WHERE))})
+  SELECT * FROM t UNION ALL
+  SELECT * FROM s WHERE NOT EXISTS (
+    SELECT 1 FROM t WHERE t.id = s.id AND t.close_approach_date_full = s.close_approach_date_full)""",
+    "merge_insert_by_id": f"""
+  WITH t AS (SELECT m.* FROM ({bronze_approaches_where(RUN1_WHERE)}) r JOIN ({BRONZE_METADATA}) m ON r.id = m.id),
+       s AS ({BRONZE_METADATA})
+  SELECT * FROM t UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.id = s.id)""",
+    "gold_roundtrip": daily_summary_sql(SILVER_APPROACHES, SILVER_METADATA),
+    "partition_roundtrip": f"""
+  SELECT * FROM ({SILVER_APPROACHES}) WHERE fecha BETWEEN DATE '2024-01-04' AND DATE '2024-01-10'""",
+    "migrate_layout": f"""
+  SELECT 'bronze/approaches' AS "table", COUNT(*) AS rows FROM events UNION ALL
+  SELECT 'bronze/metadata', COUNT(*) FROM part UNION ALL
+  SELECT 'gold/daily_summary', COUNT(*) FROM (SELECT DISTINCT CAST(ts AS DATE) FROM events)""",
+    "feed_flatten": FEED_FLAT,
+    "feed_count_check": """
+  SELECT COUNT(DISTINCT (CAST(ts AS DATE), floor(event_id / 100))) AS documents,
+         COUNT(*) AS declared_total, COUNT(*) AS flattened_total, 0 AS mismatched_documents
+  FROM events""",
+    "lookup_flatten": BRONZE_METADATA,
+    "lookup_quarantine": f"SELECT p_partkey AS id FROM part WHERE {BROKEN}",
+    "lookup_semi": f"""
+  SELECT * FROM ({BRONZE_METADATA}) m
+  WHERE m.id IN (SELECT id FROM ({bronze_approaches_where(RUN1_WHERE)}))""",
+    "lookup_per_request": f"""
+  SELECT m.* FROM ({bronze_approaches_where(RUN1_WHERE)}) r JOIN ({BRONZE_METADATA}) m ON r.id = m.id""",
+    "incremental_two_runs": f"WITH {TWO_RUNS} SELECT * FROM sa",
+    "reprocess_equals_incremental": f"WITH {TWO_RUNS} SELECT * FROM sa",
+    "e2e_daily_summary": f"WITH {TWO_RUNS} {daily_summary_sql('SELECT * FROM sa', 'SELECT * FROM sm')}",
+    "integrity_report": f"""
+  WITH {TWO_RUNS}
+  SELECT COUNT(*) AS orphan_rows, COUNT(DISTINCT a.id) AS orphan_ids
+  FROM sa a LEFT JOIN sm m ON a.id = m.id WHERE m.diameter_min_km IS NULL""",
+    "orphan_recovery": f"""
+  WITH {TWO_RUNS},
+  orphan AS (SELECT DISTINCT a.id FROM sa a WHERE NOT EXISTS (SELECT 1 FROM sm WHERE sm.id = a.id))
+  SELECT * FROM sm UNION ALL
+  SELECT * FROM ({SILVER_METADATA}) WHERE id IN (SELECT id FROM orphan)""",
+    "layer_counts": f"""
+  WITH {TWO_RUNS}
+  SELECT 'bronze' AS layer, 'approaches' AS "table", COUNT(*) AS rows FROM ba UNION ALL
+  SELECT 'bronze', 'metadata', COUNT(*) FROM bm UNION ALL
+  SELECT 'silver', 'approaches', COUNT(*) FROM sa UNION ALL
+  SELECT 'silver', 'metadata', COUNT(*) FROM sm UNION ALL
+  SELECT 'gold', 'daily_summary', COUNT(DISTINCT fecha) FROM sa""",
+})

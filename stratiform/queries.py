@@ -1,13 +1,42 @@
-"""Registered queries over the shared test tables (stand-in mapping in FIXTURES.md)."""
+"""Registered queries over the shared test tables (stand-in mapping in FIXTURES.md).
+
+Each takes ``(spark, sf_dir)`` and returns a DataFrame over whole tables.
+Queries that exercise writes stage their tables under the shared scratch
+folder (``spark.checkpoint.dir``) and return a lazy read of the result.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratiform.operators.aggregates import daily_summary
+from stratiform import schemas
+from stratiform.functions.expr import (
+    FEED_DAY_FORMAT, FEED_TIME_FORMAT, bool_or_false, day_of, hour_of, parse_timestamp,
+    round_half_even, to_double, to_id,
+)
+from stratiform.operators.aggregates import daily_summary, distinct_keys, layer_counts, summarize
+from stratiform.operators.incremental import insert_only_merge, lookup, pending_against
+from stratiform.operators.inspect import peek
+from stratiform.operators.nested import feed_element_check, flatten_feed, flatten_lookups
+from stratiform.operators.quality import (
+    duplicate_keys, integrity_report, name_lossless, null_profile, orphans_by_key, orphans_by_null,
+)
+from stratiform.operators.storage import Move, migrate_layout, write_table
 from stratiform.operators.transforms import transform_approaches, transform_metadata
-from stratiform.sources.standins import approaches_from_events, load, metadata_from_part
+from stratiform.paths import Lake
+from stratiform.plans import scenario
+from stratiform.plans.jobs import reprocess_silver
+from stratiform.session import new_scratch_dir
+from stratiform.sources.landed import quarantined_ids, read_feed, read_lookup_documents, read_table
+from stratiform.sources.standins import (
+    approaches_from_events, broken_lookup_rule, feed_documents, land_text, load, lookup_documents,
+    metadata_from_part,
+)
+from stratiform.sources.window import feed_window, in_day_window
+
 
+# --- stand-in layers (lazy, whole tables) -----------------------------------
 
 def bronze_approaches(spark: SparkSession, sf: str) -> DataFrame:
     return approaches_from_events(load(spark, sf, "events"))
@@ -25,10 +54,416 @@ def silver_metadata(spark: SparkSession, sf: str) -> DataFrame:
     return bronze_metadata(spark, sf).transform(transform_metadata)
 
 
-def q_daily_summary(spark: SparkSession, sf: str) -> DataFrame:
+def _run_events(spark, sf, run: int) -> DataFrame:
+    ev = load(spark, sf, "events")
+    if run == 1:
+        return feed_window(ev, "ts", scenario.RUN1_REF, as_of=scenario.RUN1_AS_OF)
+    return feed_window(ev, "ts", scenario.RUN2_REF)
+
+
+def _run_bronze(spark, sf, run: int) -> DataFrame:
+    return approaches_from_events(_run_events(spark, sf, run))
+
+
+def _fanout_metadata(spark, sf) -> DataFrame:
+    """Metadata as per-request lookups of run 1: an entity comes back once per approach."""
+    return lookup(_run_bronze(spark, sf, 1).select("id"), bronze_metadata(spark, sf)).transform(transform_metadata)
+
+
+def _documents_labels(spark, sf):
+    return load(spark, sf, "documents"), load(spark, sf, "labels")
+
+
+# --- gold -------------------------------------------------------------------
+
+def q_daily_summary(spark, sf):
     return daily_summary(silver_approaches(spark, sf), silver_metadata(spark, sf))
 
 
+def q_daily_summary_fanout(spark, sf):
+    return daily_summary(silver_approaches(spark, sf), _fanout_metadata(spark, sf))
+
+
+def q_join_left_fanout(spark, sf):
+    a = silver_approaches(spark, sf).select("id", "close_approach_date_full", "fecha",
+                                           "relative_velocity_km_per_second")
+    m = _fanout_metadata(spark, sf).select("id", "diameter_max_km", "bajo_seguimiento_riesgo")
+    return a.join(m, "id", "left")
+
+
+def _joined(spark, sf):
+    m = silver_metadata(spark, sf).select(
+        "id", "diameter_max_km", F.col("bajo_seguimiento_riesgo").cast("double").alias("bajo_seguimiento_riesgo"))
+    return silver_approaches(spark, sf).join(m, "id", "left")
+
+
+def q_agg_count(spark, sf):
+    return summarize(_joined(spark, sf), "fecha", [("cantidad_aproximaciones", "id", "count")])
+
+
+def q_agg_mean(spark, sf):
+    return summarize(_joined(spark, sf), "fecha", [
+        ("velocidad_promedio_km_s", "relative_velocity_km_per_second", "mean"),
+        ("distancia_promedio_km", "miss_distance_km", "mean"),
+    ], round_cols=("velocidad_promedio_km_s", "distancia_promedio_km"))
+
+
+def q_agg_min_max(spark, sf):
+    return summarize(_joined(spark, sf), "fecha", [
+        ("velocidad_maxima_km_s", "relative_velocity_km_per_second", "max"),
+        ("distancia_minima_km", "miss_distance_km", "min"),
+        ("diametro_maximo_km", "diameter_max_km", "max"),
+    ])
+
+
+def q_agg_flag_sum(spark, sf):
+    """Per entity; entities whose lookup came back broken have only NULL flags -> 0.0."""
+    catalog = metadata_from_part(load(spark, sf, "part").where(~broken_lookup_rule()))
+    m = catalog.transform(transform_metadata).select(
+        "id", F.col("bajo_seguimiento_riesgo").cast("double").alias("bajo_seguimiento_riesgo"))
+    joined = silver_approaches(spark, sf).join(m, "id", "left")
+    return summarize(joined, "id", [("cantidad_bajo_seguimiento_riesgo", "bajo_seguimiento_riesgo", "sum")])
+
+
+def q_agg_null_key(spark, sf):
+    docs, labels = _documents_labels(spark, sf)
+    joined = docs.select("doc_id").join(labels.select("doc_id", "quality"), "doc_id", "left")
+    return summarize(joined, "quality", [("documents", "doc_id", "count")])
+
+
+def q_distinct_keys(spark, sf):
+    return distinct_keys(silver_approaches(spark, sf), ["id", "fecha"])
+
+
+# --- silver transforms and scalar functions --------------------------------
+
+def q_silver_approaches(spark, sf):
+    return silver_approaches(spark, sf)
+
+
+def q_silver_metadata(spark, sf):
+    return silver_metadata(spark, sf)
+
+
+def q_cast_timestamp(spark, sf):
+    ev = load(spark, sf, "events")
+    return ev.select(
+        "event_id",
+        parse_timestamp(F.date_format("ts", FEED_DAY_FORMAT), FEED_DAY_FORMAT).alias("close_approach_date"),
+        parse_timestamp(F.date_format("ts", FEED_TIME_FORMAT), FEED_TIME_FORMAT).alias("close_approach_date_full"),
+    )
+
+
+def q_cast_id(spark, sf):
+    return bronze_approaches(spark, sf).select(F.col("id").alias("id_text"), to_id("id").alias("id"))
+
+
+def q_cast_double(spark, sf):
+    ev = load(spark, sf, "events")
+    return ev.select("event_id",
+                     to_double(F.get_json_object("props", "$.k")).alias("k"),
+                     to_double(F.col("value").cast("string")).alias("relative_velocity_km_per_second"))
+
+
+def q_cast_bool(spark, sf):
+    docs, labels = _documents_labels(spark, sf)
+    j = docs.select("doc_id").join(labels.select("doc_id", "toxic"), "doc_id", "left")
+    return j.select("doc_id", bool_or_false(F.col("toxic") == 1).alias("is_toxic"))
+
+
+def q_date_hour_split(spark, sf):
+    ev = load(spark, sf, "events")
+    return ev.select("event_id", day_of("ts").alias("fecha"), hour_of("ts").alias("hora"))
+
+
+def q_name_number(spark, sf):
+    return silver_metadata(spark, sf).select("id", "numero_oficial")
+
+
+def q_name_provisional(spark, sf):
+    return silver_metadata(spark, sf).select("id", "designacion_provisional")
+
+
+def q_name_has_number(spark, sf):
+    return silver_metadata(spark, sf).select("id", "tiene_designacion_oficial")
+
+
+def q_diff_range(spark, sf):
+    return silver_metadata(spark, sf).select("id", "incertidumbre_diametro_km")
+
+
+def q_flag_or(spark, sf):
+    return silver_metadata(spark, sf).select("id", "bajo_seguimiento_riesgo")
+
+
+def q_round_half_even(spark, sf):
+    ev = load(spark, sf, "events")
+    return ev.select("event_id", round_half_even(F.col("value") / F.lit(8.0)).alias("value_eighth"))
+
+
+# --- quality ------------------------------------------------------------------
+
+def q_orphans_by_null(spark, sf):
+    docs, labels = _documents_labels(spark, sf)
+    return orphans_by_null(docs, labels, "doc_id", "quality")
+
+
+def q_orphans_by_key(spark, sf):
+    docs, labels = _documents_labels(spark, sf)
+    return orphans_by_key(docs.select("doc_id"), labels, ["doc_id"])
+
+
+def q_dup_keys(spark, sf):
+    return duplicate_keys(bronze_approaches(spark, sf), schemas.BRONZE_APPROACHES_KEY)
+
+
+def q_null_profile(spark, sf):
+    return null_profile(silver_metadata(spark, sf))
+
+
+def q_name_lossless(spark, sf):
+    return name_lossless(bronze_metadata(spark, sf))
+
+
+def q_peek_top5(spark, sf):
+    return peek(bronze_approaches(spark, sf), ["close_approach_date_full", "id"], 5)
+
+
+def q_window_7d(spark, sf):
+    return _run_bronze(spark, sf, 2)
+
+
+# --- incremental and storage ------------------------------------------------------
+
+def _write_then_read(df: DataFrame, path: str, schema, partition_by=None) -> DataFrame:
+    write_table(df, path, mode="overwrite", partition_by=partition_by)
+    return read_table(df.sparkSession, path, schema)
+
+
+def _stage(spark, tag: str) -> str:
+    return new_scratch_dir(spark, tag)
+
+
+def q_pending_by_id(spark, sf):
+    root = _stage(spark, "pending-by-id")
+    seen = load(spark, sf, "events").select(F.col("user_id").cast("string").alias("id"))
+    done = bronze_metadata(spark, sf).join(seen, "id", "left_semi").transform(transform_metadata)
+    write_table(done, f"{root}/silver_metadata")
+    batch = bronze_metadata(spark, sf).withColumn("id", to_id("id"))
+    return pending_against(spark, batch, f"{root}/silver_metadata", ["id"], schemas.SILVER_METADATA)
+
+
+def q_pending_by_key(spark, sf):
+    root = _stage(spark, "pending-by-key")
+    write_table(_run_bronze(spark, sf, 1).transform(transform_approaches), f"{root}/silver_approaches",
+                partition_by=schemas.APPROACHES_PARTITION)
+    batch = _run_bronze(spark, sf, 2).withColumn("id", to_id("id"))
+    return pending_against(spark, batch, f"{root}/silver_approaches", schemas.SILVER_APPROACHES_KEY,
+                           schemas.SILVER_APPROACHES, null_safe=True)
+
+
+def q_pending_missing_target(spark, sf):
+    root = _stage(spark, "pending-missing")
+    batch = _run_bronze(spark, sf, 2).withColumn("id", to_id("id"))
+    return pending_against(spark, batch, f"{root}/never_written", schemas.SILVER_APPROACHES_KEY,
+                           schemas.SILVER_APPROACHES, null_safe=True)
+
+
+def q_merge_create(spark, sf):
+    path = f"{_stage(spark, 'merge-create')}/bronze_approaches"
+    insert_only_merge(_run_bronze(spark, sf, 1), path, schemas.BRONZE_APPROACHES_KEY,
+                      partition_by=schemas.APPROACHES_PARTITION, schema=schemas.BRONZE_APPROACHES)
+    return read_table(spark, path, schemas.BRONZE_APPROACHES)
+
+
+def q_merge_insert_by_day(spark, sf):
+    path = f"{_stage(spark, 'merge-day')}/bronze_approaches"
+    write_table(_run_bronze(spark, sf, 1), path, partition_by=schemas.APPROACHES_PARTITION)
+    insert_only_merge(_run_bronze(spark, sf, 2), path, schemas.BRONZE_APPROACHES_KEY,
+                      partition_by=schemas.APPROACHES_PARTITION, prune_on="fecha",
+                      schema=schemas.BRONZE_APPROACHES)
+    return read_table(spark, path, schemas.BRONZE_APPROACHES)
+
+
+def q_merge_insert_by_ts(spark, sf):
+    path = f"{_stage(spark, 'merge-ts')}/silver_approaches"
+    write_table(_run_bronze(spark, sf, 1).transform(transform_approaches), path,
+                partition_by=schemas.APPROACHES_PARTITION)
+    insert_only_merge(_run_bronze(spark, sf, 2).transform(transform_approaches), path,
+                      schemas.SILVER_APPROACHES_KEY, partition_by=schemas.APPROACHES_PARTITION,
+                      prune_on="fecha", schema=schemas.SILVER_APPROACHES)
+    return read_table(spark, path, schemas.SILVER_APPROACHES)
+
+
+def q_merge_insert_by_id(spark, sf):
+    """Target: entities seen in run 1 (per request); batch: the whole catalog."""
+    path = f"{_stage(spark, 'merge-id')}/bronze_metadata"
+    write_table(lookup(_run_bronze(spark, sf, 1).select("id"), bronze_metadata(spark, sf)), path)
+    insert_only_merge(bronze_metadata(spark, sf), path, schemas.METADATA_KEY, schema=schemas.BRONZE_METADATA)
+    return read_table(spark, path, schemas.BRONZE_METADATA)
+
+
+def q_gold_roundtrip(spark, sf):
+    path = f"{_stage(spark, 'gold')}/daily_summary"
+    summary = q_daily_summary(spark, sf)
+    write_table(summary, path)
+    write_table(summary, path)  # a second overwrite replaces, never appends
+    return read_table(spark, path, schemas.GOLD_DAILY_SUMMARY)
+
+
+def q_partition_roundtrip(spark, sf):
+    path = f"{_stage(spark, 'partitioned')}/silver_approaches"
+    write_table(silver_approaches(spark, sf), path, partition_by=schemas.APPROACHES_PARTITION)
+    return read_table(spark, path, schemas.SILVER_APPROACHES).where(
+        in_day_window("fecha", scenario.RUN1_REF))
+
+
+def q_migrate_layout(spark, sf):
+    root = _stage(spark, "migrate")
+    old = f"{root}/old"
+    write_table(bronze_approaches(spark, sf), f"{old}/bronze_approaches")
+    write_table(bronze_metadata(spark, sf), f"{old}/bronze_metadata")
+    write_table(q_daily_summary(spark, sf), f"{old}/daily_summary")
+    new = Lake(f"{root}/new")
+    return migrate_layout(spark, [
+        Move("bronze/approaches", f"{old}/bronze_approaches", new.bronze_approaches, ("fecha",)),
+        Move("bronze/metadata", f"{old}/bronze_metadata", new.bronze_metadata),
+        Move("gold/daily_summary", f"{old}/daily_summary", new.gold_daily_summary),
+    ])
+
+
+# --- nested sources -----------------------------------------------------------------
+
+def _landed_feed(spark, sf) -> DataFrame:
+    path = land_text(feed_documents(load(spark, sf, "events")), f"{_stage(spark, 'feed')}/landing")
+    return read_feed(spark, path)
+
+
+def q_feed_flatten(spark, sf):
+    return flatten_feed(_landed_feed(spark, sf))
+
+
+def q_feed_count_check(spark, sf):
+    return feed_element_check(_landed_feed(spark, sf))
+
+
+def _landed_lookups(spark, sf, broken: bool):
+    part = load(spark, sf, "part")
+    docs = lookup_documents(part, broken_lookup_rule() if broken else None)
+    return read_lookup_documents(spark, land_text(docs, f"{_stage(spark, 'lookups')}/landing"))
+
+
+def q_lookup_flatten(spark, sf):
+    parsed, _ = _landed_lookups(spark, sf, broken=False)
+    return flatten_lookups(parsed)
+
+
+def q_lookup_quarantine(spark, sf):
+    _, quarantine = _landed_lookups(spark, sf, broken=True)
+    return quarantined_ids(quarantine)
+
+
+def q_lookup_semi(spark, sf):
+    parsed, _ = _landed_lookups(spark, sf, broken=False)
+    return lookup(_run_bronze(spark, sf, 1).select("id"), flatten_lookups(parsed), distinct=True)
+
+
+def q_lookup_per_request(spark, sf):
+    parsed, _ = _landed_lookups(spark, sf, broken=False)
+    return lookup(_run_bronze(spark, sf, 1).select("id"), flatten_lookups(parsed), distinct=False)
+
+
+# --- jobs over two landed pulls ---------------------------------------------------------
+
+def q_incremental_two_runs(spark, sf):
+    lake = scenario.two_runs(spark, sf)
+    return read_table(spark, lake.silver_approaches, schemas.SILVER_APPROACHES)
+
+
+def q_reprocess_equals_incremental(spark, sf):
+    lake = scenario.two_runs(spark, sf)
+    out = Lake(new_scratch_dir(spark, "reprocessed"))
+    reprocess_silver(spark, lake, out)
+    return read_table(spark, out.silver_approaches, schemas.SILVER_APPROACHES)
+
+
+def q_e2e_daily_summary(spark, sf):
+    lake = scenario.two_runs(spark, sf)
+    return read_table(spark, lake.gold_daily_summary, schemas.GOLD_DAILY_SUMMARY)
+
+
+def q_integrity_report(spark, sf):
+    lake = scenario.two_runs(spark, sf)
+    return integrity_report(read_table(spark, lake.silver_approaches, schemas.SILVER_APPROACHES),
+                            read_table(spark, lake.silver_metadata, schemas.SILVER_METADATA))
+
+
+def q_orphan_recovery(spark, sf):
+    lake = scenario.recovered(spark, sf)
+    return read_table(spark, lake.silver_metadata, schemas.SILVER_METADATA)
+
+
+def q_layer_counts(spark, sf):
+    lake = scenario.two_runs(spark, sf)
+    return layer_counts({
+        ("bronze", "approaches"): read_table(spark, lake.bronze_approaches, schemas.BRONZE_APPROACHES),
+        ("bronze", "metadata"): read_table(spark, lake.bronze_metadata, schemas.BRONZE_METADATA),
+        ("silver", "approaches"): read_table(spark, lake.silver_approaches, schemas.SILVER_APPROACHES),
+        ("silver", "metadata"): read_table(spark, lake.silver_metadata, schemas.SILVER_METADATA),
+        ("gold", "daily_summary"): read_table(spark, lake.gold_daily_summary, schemas.GOLD_DAILY_SUMMARY),
+    })
+
+
 QUERIES = {
     "daily_summary": q_daily_summary,
+    "daily_summary_fanout": q_daily_summary_fanout,
+    "join_left_fanout": q_join_left_fanout,
+    "agg_count": q_agg_count,
+    "agg_mean": q_agg_mean,
+    "agg_min_max": q_agg_min_max,
+    "agg_flag_sum": q_agg_flag_sum,
+    "agg_null_key": q_agg_null_key,
+    "distinct_keys": q_distinct_keys,
+    "silver_approaches": q_silver_approaches,
+    "silver_metadata": q_silver_metadata,
+    "cast_timestamp": q_cast_timestamp,
+    "cast_id": q_cast_id,
+    "cast_double": q_cast_double,
+    "cast_bool": q_cast_bool,
+    "date_hour_split": q_date_hour_split,
+    "name_number": q_name_number,
+    "name_provisional": q_name_provisional,
+    "name_has_number": q_name_has_number,
+    "diff_range": q_diff_range,
+    "flag_or": q_flag_or,
+    "round_half_even": q_round_half_even,
+    "orphans_by_null": q_orphans_by_null,
+    "orphans_by_key": q_orphans_by_key,
+    "dup_keys": q_dup_keys,
+    "null_profile": q_null_profile,
+    "name_lossless": q_name_lossless,
+    "peek_top5": q_peek_top5,
+    "window_7d": q_window_7d,
+    "pending_by_id": q_pending_by_id,
+    "pending_by_key": q_pending_by_key,
+    "pending_missing_target": q_pending_missing_target,
+    "merge_create": q_merge_create,
+    "merge_insert_by_day": q_merge_insert_by_day,
+    "merge_insert_by_ts": q_merge_insert_by_ts,
+    "merge_insert_by_id": q_merge_insert_by_id,
+    "gold_roundtrip": q_gold_roundtrip,
+    "partition_roundtrip": q_partition_roundtrip,
+    "migrate_layout": q_migrate_layout,
+    "feed_flatten": q_feed_flatten,
+    "feed_count_check": q_feed_count_check,
+    "lookup_flatten": q_lookup_flatten,
+    "lookup_quarantine": q_lookup_quarantine,
+    "lookup_semi": q_lookup_semi,
+    "lookup_per_request": q_lookup_per_request,
+    "incremental_two_runs": q_incremental_two_runs,
+    "reprocess_equals_incremental": q_reprocess_equals_incremental,
+    "e2e_daily_summary": q_e2e_daily_summary,
+    "integrity_report": q_integrity_report,
+    "orphan_recovery": q_orphan_recovery,
+    "layer_counts": q_layer_counts,
 }
