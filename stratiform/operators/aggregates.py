@@ -53,10 +53,10 @@ DAILY_ROUNDED = ("velocidad_promedio_km_s", "velocidad_maxima_km_s", "distancia_
                  "distancia_promedio_km", "diametro_maximo_km")
 
 
-def _daily_join_first(a: DataFrame, m: DataFrame, key: str, day: str) -> DataFrame:
+def _daily_join_first(a: DataFrame, m: DataFrame, key: str, day: str, broadcast: bool = False) -> DataFrame:
     meta = m.select(key, F.col("bajo_seguimiento_riesgo").cast("double").alias("bajo_seguimiento_riesgo"),
                     "diameter_max_km")
-    joined = a.join(meta, key, "left")
+    joined = a.join(F.broadcast(meta) if broadcast else meta, key, "left")
     return summarize(joined, day, [
         ("cantidad_aproximaciones", key, "count"),
         ("velocidad_promedio_km_s", "relative_velocity_km_per_second", "mean"),
@@ -68,14 +68,54 @@ def _daily_join_first(a: DataFrame, m: DataFrame, key: str, day: str) -> DataFra
     ], round_cols=DAILY_ROUNDED)
 
 
+def _per_entity(m: DataFrame, key: str) -> DataFrame:
+    """One row per id: how many metadata rows match it, their flag sum, their largest diameter."""
+    return (m.where(F.col(key).isNotNull())
+            .groupBy(key)
+            .agg(F.count(F.lit(1)).alias("_matches"),
+                 F.sum(F.col("bajo_seguimiento_riesgo").cast("double")).alias("_flags"),
+                 F.max(nan_to_null(F.col("diameter_max_km"))).alias("_dmax")))
+
+
+def _weight() -> Column:
+    # the join fan-out, replayed: an approach stands for max(matches, 1) joined rows
+    return F.greatest(F.coalesce(F.col("_matches"), F.lit(0)), F.lit(1)).cast("bigint")
+
+
+def _finish(out: DataFrame) -> DataFrame:
+    return out.select(*[round_half_even(c).alias(c) if c in DAILY_ROUNDED else F.col(c) for c in DAILY_COLUMNS])
+
+
+def _daily_broadcast_entities(a: DataFrame, m: DataFrame, key: str, day: str) -> DataFrame:
+    """Approaches stay where they are (no shuffle); the per-entity rows are broadcast.
+
+    Only the metadata is shuffled (to collapse duplicates to one row per id), so
+    neither a hot id nor a duplicated entity multiplies work.
+    """
+    v = nan_to_null(F.col("relative_velocity_km_per_second"))
+    d = nan_to_null(F.col("miss_distance_km"))
+    w = _weight()
+    j = a.where(F.col(day).isNotNull()).join(F.broadcast(_per_entity(m, key)), key, "left")
+    out = j.groupBy(day).agg(
+        F.coalesce(F.sum(F.when(F.col(key).isNotNull(), w)), F.lit(0)).cast("bigint")
+        .alias("cantidad_aproximaciones"),
+        F.try_divide(F.sum(v * w), F.sum(F.when(v.isNotNull(), w))).alias("velocidad_promedio_km_s"),
+        F.max(v).alias("velocidad_maxima_km_s"),
+        F.min(d).alias("distancia_minima_km"),
+        F.try_divide(F.sum(d * w), F.sum(F.when(d.isNotNull(), w))).alias("distancia_promedio_km"),
+        F.coalesce(F.sum("_flags"), F.lit(0.0)).alias("cantidad_bajo_seguimiento_riesgo"),
+        F.max("_dmax").alias("diametro_maximo_km"),
+    )
+    return _finish(out)
+
+
 def _daily_preaggregated(a: DataFrame, m: DataFrame, key: str, day: str) -> DataFrame:
-    """Same result, shaped for skew and volume.
+    """Same result, shaped for a metadata side too large to broadcast.
 
     Approaches collapse to one partial row per (day, id) before any shuffle and
-    metadata to one row per id (its match count, flag sum and largest diameter),
-    so the join moves compact rows and a hot id or a duplicated entity never
-    lands in one task.  The join fan-out is replayed as a weight
-    ``max(matches, 1)`` on the sums and counts; max/min are unaffected by it.
+    metadata to one row per id, so the join moves compact rows and a hot id or a
+    duplicated entity never lands whole in one task.  The join fan-out is
+    replayed as a weight on the sums and counts; max/min are unaffected by it.
     """
     v = nan_to_null(F.col("relative_velocity_km_per_second"))
     d = nan_to_null(F.col("miss_distance_km"))
@@ -85,13 +125,8 @@ def _daily_preaggregated(a: DataFrame, m: DataFrame, key: str, day: str) -> Data
                     F.count(F.lit(1)).alias("_n_rows"),
                     F.sum(v).alias("_sv"), F.count(v).alias("_nv"), F.max(v).alias("_maxv"),
                     F.sum(d).alias("_sd"), F.count(d).alias("_nd"), F.min(d).alias("_mind")))
-    per_entity = (m.where(F.col(key).isNotNull())
-                  .groupBy(key)
-                  .agg(F.count(F.lit(1)).alias("_matches"),
-                       F.sum(F.col("bajo_seguimiento_riesgo").cast("double")).alias("_flags"),
-                       F.max(nan_to_null(F.col("diameter_max_km"))).alias("_dmax")))
-    j = per_key.join(per_entity, key, "left")
-    w = F.greatest(F.coalesce(F.col("_matches"), F.lit(0)), F.lit(1)).cast("bigint")
+    j = per_key.join(_per_entity(m, key), key, "left")
+    w = _weight()
     out = j.groupBy(day).agg(
         F.sum(F.col("_n_key") * w).alias("cantidad_aproximaciones"),
         F.try_divide(F.sum(F.col("_sv") * w), F.sum(F.col("_nv") * w)).alias("velocidad_promedio_km_s"),
@@ -101,13 +136,30 @@ def _daily_preaggregated(a: DataFrame, m: DataFrame, key: str, day: str) -> Data
         F.coalesce(F.sum(F.col("_n_rows") * F.col("_flags")), F.lit(0.0)).alias("cantidad_bajo_seguimiento_riesgo"),
         F.max("_dmax").alias("diametro_maximo_km"),
     )
-    return out.select(*[round_half_even(c).alias(c) if c in DAILY_ROUNDED else F.col(c) for c in DAILY_COLUMNS])
+    return _finish(out)
+
+
+# Largest per-entity side shipped to every task: four fixed-width columns
+# (bigint, bigint, double, double) per row, so 2M rows stay near ~100 MB in memory.
+# The metadata row count bounds the per-entity row count from above.
+BROADCAST_MAX_ROWS = 2_000_000
 
 
 def daily_summary(approaches: DataFrame, metadata: DataFrame, key: str = "id", day: str = "fecha",
-                  strategy: str = "preaggregate") -> DataFrame:
+                  strategy: str = "auto", broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Per day: approaches (fan-out of duplicated metadata included), mean/max velocity,
-    min/mean distance, flagged approaches (double), largest diameter; rounded to 2."""
+    min/mean distance, flagged approaches (double), largest diameter; rounded to 2.
+
+    ``auto`` counts the metadata rows first (one small job).  Under the bound
+    the per-entity rows are broadcast and the approaches are never shuffled, so
+    a hot id costs nothing; above it the pre-aggregated plan keeps every shuffle
+    compact and skew-free.  ``join_first`` is the literal join-then-group form.
+    """
+    if strategy == "auto":
+        small = metadata.select(key).count() <= broadcast_max_rows
+        strategy = "broadcast" if small else "preaggregate"
+    if strategy == "broadcast":
+        return _daily_broadcast_entities(approaches, metadata, key, day)
     if strategy == "preaggregate":
         return _daily_preaggregated(approaches, metadata, key, day)
     if strategy == "join_first":

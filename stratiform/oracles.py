@@ -291,4 +291,5 @@ ORACLES.update({
   SELECT 'silver', 'approaches', COUNT(*) FROM sa UNION ALL
   SELECT 'silver', 'metadata', COUNT(*) FROM sm UNION ALL
   SELECT 'gold', 'daily_summary', COUNT(DISTINCT fecha) FROM sa""",
+    "stream_ingest": f"WITH {TWO_RUNS} SELECT * FROM ba",
 })

@@ -34,6 +34,7 @@ from stratiform.sources.standins import (
     metadata_from_part,
 )
 from stratiform.sources.window import feed_window, in_day_window
+from stratiform.streaming.feed_stream import ingest_available
 
 
 # --- stand-in layers (lazy, whole tables) -----------------------------------
@@ -403,6 +404,18 @@ def q_orphan_recovery(spark, sf):
     return read_table(spark, lake.silver_metadata, schemas.SILVER_METADATA)
 
 
+def q_stream_ingest(spark, sf):
+    """Two pulls landed one after the other, each taken by an availableNow run of the stream."""
+    root = _stage(spark, "stream")
+    lake = Lake(root)
+    landing = f"{root}/landing/feed"
+    catalog = scenario.catalog_from(spark, scenario.land_lookups(spark, sf, root, broken=True))
+    for run in (1, 2):
+        feed_documents(_run_events(spark, sf, run)).write.mode("append").text(landing)
+        ingest_available(spark, landing, lake, catalog, f"{root}/_checkpoints/feed")
+    return read_table(spark, lake.bronze_approaches, schemas.BRONZE_APPROACHES)
+
+
 def q_layer_counts(spark, sf):
     lake = scenario.two_runs(spark, sf)
     return layer_counts({
@@ -466,4 +479,5 @@ QUERIES = {
     "integrity_report": q_integrity_report,
     "orphan_recovery": q_orphan_recovery,
     "layer_counts": q_layer_counts,
+    "stream_ingest": q_stream_ingest,
 }
