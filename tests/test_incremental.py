@@ -1,0 +1,109 @@
+import datetime as dt
+
+import pytest
+
+from stratiform.operators.incremental import insert_only_merge, lookup, pending_against, pending_rows
+from stratiform.operators.storage import SchemaMismatch, write_table
+from stratiform.sources.landed import read_table, table_or_empty
+
+SCHEMA = "id bigint, ts timestamp_ntz, v double, fecha date"
+T = dt.datetime
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def _df(spark, rows):
+    return spark.createDataFrame([(i, ts, v, ts.date() if ts else None) for i, ts, v in rows], SCHEMA)
+
+
+def test_merge_creates_then_inserts_only_new_keys(spark, scratch):
+    path = f"{scratch('m')}/t"
+    base = _df(spark, [(1, T(2024, 1, 1, 1), 1.0), (2, T(2024, 1, 1, 2), 2.0)])
+    insert_only_merge(base, path, ["id", "ts"], partition_by=["fecha"])
+    batch = _df(spark, [(2, T(2024, 1, 1, 2), 99.0), (3, T(2024, 1, 2, 3), 3.0)])
+    insert_only_merge(batch, path, ["id", "ts"], partition_by=["fecha"])
+    got = read_table(spark, path, None).select("id", "v").collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1.0), (2, 2.0), (3, 3.0)]  # matched row not updated
+
+
+def test_merge_twice_adds_nothing(spark, scratch):
+    path = f"{scratch('m')}/t"
+    batch = _df(spark, [(1, T(2024, 1, 1, 1), 1.0), (2, T(2024, 1, 1, 2), 2.0)])
+    insert_only_merge(batch, path, ["id", "ts"])
+    insert_only_merge(batch, path, ["id", "ts"])
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_merge_inserts_source_duplicates_unless_asked(spark, scratch):
+    dup = _df(spark, [(1, T(2024, 1, 1, 1), 1.0), (1, T(2024, 1, 1, 1), 1.0)])
+    p1 = f"{scratch('m')}/a"
+    insert_only_merge(_df(spark, [(9, T(2024, 1, 1), 0.0)]), p1, ["id", "ts"])
+    insert_only_merge(dup, p1, ["id", "ts"])
+    assert spark.read.parquet(p1).count() == 3
+    p2 = f"{scratch('m')}/b"
+    insert_only_merge(_df(spark, [(9, T(2024, 1, 1), 0.0)]), p2, ["id", "ts"])
+    insert_only_merge(dup, p2, ["id", "ts"], dedup_source=True)
+    assert spark.read.parquet(p2).count() == 2
+
+
+def test_merge_null_keys_never_match(spark, scratch):
+    path = f"{scratch('m')}/t"
+    batch = _df(spark, [(1, None, 1.0)])
+    insert_only_merge(batch, path, ["id", "ts"])
+    insert_only_merge(batch, path, ["id", "ts"])
+    assert spark.read.parquet(path).count() == 2  # SQL '=' does not match NULL
+    insert_only_merge(batch, path, ["id", "ts"], null_safe=True)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_merge_with_partition_pruning_same_result(spark, scratch):
+    base = _df(spark, [(1, T(2024, 1, 1, 1), 1.0), (2, T(2024, 1, 5, 2), 2.0)])
+    batch = _df(spark, [(2, T(2024, 1, 5, 2), 2.0), (3, T(2024, 1, 6, 3), 3.0)])
+    outs = []
+    for prune in (None, "fecha"):
+        path = f"{scratch('m')}/t"
+        insert_only_merge(base, path, ["id", "ts"], partition_by=["fecha"])
+        insert_only_merge(batch, path, ["id", "ts"], partition_by=["fecha"], prune_on="fecha")
+        outs.append(_rows(spark.read.parquet(path).select("id", "ts", "v")))
+    assert outs[0] == outs[1] and len(outs[0]) == 3
+
+
+def test_merge_rejects_changed_schema(spark, scratch):
+    path = f"{scratch('m')}/t"
+    insert_only_merge(_df(spark, [(1, T(2024, 1, 1), 1.0)]), path, ["id"])
+    other = spark.createDataFrame([(1, "x")], "id bigint, v string")
+    with pytest.raises(SchemaMismatch):
+        insert_only_merge(other, path, ["id"])
+
+
+def test_overwrite_schema_guard_and_replace(spark, scratch):
+    path = f"{scratch('w')}/t"
+    write_table(spark.createDataFrame([(1,)], "a bigint"), path)
+    with pytest.raises(SchemaMismatch):
+        write_table(spark.createDataFrame([(1, 2)], "a bigint, b bigint"), path)
+    write_table(spark.createDataFrame([(1, 2)], "a bigint, b bigint"), path, replace_schema=True)
+    assert spark.read.parquet(path).columns == ["a", "b"]
+
+
+def test_pending_is_null_safe(spark):
+    batch = _df(spark, [(1, None, 1.0), (2, T(2024, 1, 1), 2.0), (3, T(2024, 1, 1), 3.0)])
+    target = _df(spark, [(1, None, 0.0), (2, T(2024, 1, 1), 0.0)])
+    assert [r.id for r in pending_rows(batch, target, ["id", "ts"]).collect()] == [3]
+    strict = pending_rows(batch, target, ["id", "ts"], null_safe=False)
+    assert sorted(r.id for r in strict.collect()) == [1, 3]
+
+
+def test_pending_against_missing_target_is_everything(spark, scratch):
+    batch = _df(spark, [(1, T(2024, 1, 1), 1.0)])
+    assert pending_against(spark, batch, f"{scratch('p')}/none", ["id"]).count() == 1
+    empty = table_or_empty(spark, f"{scratch('p')}/none", batch.schema)
+    assert empty.count() == 0 and empty.schema == batch.schema
+
+
+def test_lookup_per_request_and_distinct(spark):
+    ids = spark.createDataFrame([("1",), ("1",), ("2",), ("3",)], "id string")
+    cat = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, name string")
+    assert sorted(r.id for r in lookup(ids, cat).collect()) == ["1", "1", "2"]
+    assert sorted(r.id for r in lookup(ids, cat, distinct=True).collect()) == ["1", "2"]
