@@ -6,6 +6,7 @@ no key set is ever collected to the driver.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,22 +17,48 @@ from stratiform.operators.storage import append_table, check_schema, write_table
 from stratiform.sources.landed import path_exists, read_table
 
 
-def _key_match(left: DataFrame, right_keys: DataFrame, keys: list[str], null_safe: bool):
-    conds = []
-    for k in keys:
-        l, r = left[k], right_keys[f"__t_{k}"]
-        conds.append(l.eqNullSafe(r) if null_safe else l == r)
-    return reduce(lambda a, b: a & b, conds)
+_NULL_SAFE_DEFAULTS = {
+    "bigint": 0, "int": 0, "smallint": 0, "tinyint": 0, "double": 0.0, "float": 0.0,
+    "string": "", "boolean": False,
+    "date": dt.date(1970, 1, 1), "timestamp_ntz": dt.datetime(1970, 1, 1),
+}
+
 
+def _match_columns(df: DataFrame, keys: list[str], null_safe: bool, prefix: str) -> list:
+    """Columns whose plain equality is the wanted key match.
 
-def _target_keys(target: DataFrame, keys: list[str]) -> DataFrame:
-    return target.select(*[F.col(k).alias(f"__t_{k}") for k in keys])
+    Null-safe keys become (value or a default, is-null) pairs, the same encoding
+    Spark uses for ``<=>``; spelled out here so the de-duplicated target keys are
+    already hash-partitioned the way the join needs them (one exchange, not two).
+    """
+    types = dict(df.dtypes)
+    cols = []
+    for k in keys:
+        if not null_safe:
+            cols.append(F.col(k).alias(f"{prefix}{k}"))
+            continue
+        if types[k] not in _NULL_SAFE_DEFAULTS:
+            raise TypeError(f"null-safe key {k!r} of type {types[k]} is not supported")
+        default = F.lit(_NULL_SAFE_DEFAULTS[types[k]]).cast(types[k])
+        cols.append(F.coalesce(F.col(k), default).alias(f"{prefix}{k}"))
+        cols.append(F.col(k).isNull().alias(f"{prefix}{k}__isnull"))
+    return cols
 
 
 def anti_by_keys(batch: DataFrame, target: DataFrame, keys: list[str], null_safe: bool) -> DataFrame:
-    """Rows of ``batch`` with no key match in ``target`` (only the key columns of target are read)."""
-    tk = _target_keys(target, keys)
-    return batch.join(tk, _key_match(batch, tk, keys, null_safe), "left_anti")
+    """Rows of ``batch`` with no key match in ``target``.
+
+    Only the key columns of ``target`` are read, and repeated target keys are
+    collapsed map-side first (only existence matters), so a key the target holds
+    many times never piles up in one task: the right side of an anti join cannot
+    be split by skew handling, the left side can.
+    """
+    left_cols = _match_columns(batch, keys, null_safe, "__b_")
+    right = target.select(*_match_columns(target, keys, null_safe, "__t_")).distinct()
+    names = right.columns
+    left = batch.select("*", *left_cols)
+    cond = reduce(lambda a, b: a & b, [left[n.replace("__t_", "__b_", 1)] == right[n] for n in names])
+    return left.join(right, cond, "left_anti").select(*batch.columns)
 
 
 def pending_rows(batch: DataFrame, target: DataFrame | None, keys: list[str], null_safe: bool = True) -> DataFrame:
@@ -96,5 +123,6 @@ def lookup(ids: DataFrame, catalog: DataFrame, key: str = "id", distinct: bool =
     Ids with no catalog entry are skipped.
     """
     if distinct:
-        return catalog.join(ids.select(key), key, "left_semi")
+        # a hot id asked for many times collapses map-side before the semi join
+        return catalog.join(ids.select(key).distinct(), key, "left_semi")
     return ids.select(key).join(catalog, key, "inner").select(*catalog.columns)

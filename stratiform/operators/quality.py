@@ -12,15 +12,27 @@ from stratiform.functions.expr import official_number, provisional_designation,
 
 def orphans_by_null(left: DataFrame, right: DataFrame, key: str = "id",
                     probe: str = "diameter_min_km") -> DataFrame:
-    """Key of every left row whose joined ``probe`` is NULL: no partner, or a partner
-    with that value missing.  One row per left row (not distinct)."""
-    joined = left.select(key).join(right.select(key, probe), key, "left")
-    return joined.where(F.col(probe).isNull()).select(key)
+    """Key of every joined row whose ``probe`` is NULL: a left row with no partner
+    (once), or once per partner that lacks the value.  Not distinct.
+
+    The partners are first reduced to one row per key (how many, how many without
+    the value), so the join never pairs rows within a key group; each left row is
+    then repeated as often as the left join would have repeated it.
+    """
+    partners = (right.where(F.col(key).isNotNull())
+                .groupBy(key)
+                .agg(F.count(F.lit(1)).alias("_partners"),
+                     F.count(F.when(F.col(probe).isNull(), 1)).alias("_missing")))
+    j = left.select(key).join(partners, key, "left")
+    times = F.when(F.col("_partners").isNull(), F.lit(1)).otherwise(F.col("_missing")).cast("int")
+    return (j.where(times > 0)
+            .select(key, F.explode(F.array_repeat(F.lit(True), times)).alias("_r"))
+            .select(key))
 
 
 def orphans_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     """Left rows with no partner key at all (missing keys only)."""
-    return left.join(right.select(*keys), list(keys), "left_anti")
+    return left.join(right.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def integrity_report(approaches: DataFrame, metadata: DataFrame, key: str = "id") -> DataFrame:
