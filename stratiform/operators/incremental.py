@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stratiform.operators.storage import append_table, check_schema, write_table
-from stratiform.sources.landed import path_exists, read_table
+from stratiform.sources.landed import path_exists, read_table, stored_schema
 
 
 _NULL_SAFE_DEFAULTS = {
@@ -73,7 +73,10 @@ def pending_against(spark: SparkSession, batch: DataFrame, target_path: str, key
     """``pending_rows`` against a stored table; a missing table means everything is pending."""
     if not path_exists(spark, target_path):
         return batch
-    return pending_rows(batch, read_table(spark, target_path, schema), keys, null_safe)
+    stored = schema or stored_schema(spark, target_path)
+    if stored is None:  # exists but holds no rows yet
+        return batch
+    return pending_rows(batch, read_table(spark, target_path, stored), keys, null_safe)
 
 
 def partition_range_filter(batch: DataFrame, target: DataFrame, column: str) -> DataFrame:
@@ -106,8 +109,10 @@ def insert_only_merge(batch: DataFrame, path: str, keys: list[str], partition_by
     if not path_exists(spark, path):
         write_table(batch, path, mode="overwrite", partition_by=partition_by)
         return path
-    target = read_table(spark, path, schema)
-    check_schema(batch.schema, target.schema, partition_by)
+    stored = stored_schema(spark, path)
+    if stored is not None:
+        check_schema(batch.schema, stored, partition_by)
+    target = read_table(spark, path, schema or stored or batch.schema)
     if prune_on is not None:
         target = partition_range_filter(batch, target, prune_on)
     fresh = anti_by_keys(batch, target, keys, null_safe)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stratiform.sources.landed import path_exists
+from stratiform.sources.landed import stored_schema
 
 
 class SchemaMismatch(ValueError):
@@ -43,9 +43,10 @@ def _writer(df: DataFrame, mode: str, partition_by: list[str] | None, rebalance:
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
                 replace_schema: bool = False, rebalance: bool = True) -> str:
     """Save ``df`` as Parquet.  A changed schema is refused unless ``replace_schema``."""
-    spark = df.sparkSession
-    if not replace_schema and path_exists(spark, path):
-        check_schema(df.schema, spark.read.parquet(path).schema, partition_by)
+    if not replace_schema:
+        stored = stored_schema(df.sparkSession, path)
+        if stored is not None:
+            check_schema(df.schema, stored, partition_by)
     _writer(df, mode, partition_by, rebalance).parquet(path)
     return path
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,13 +36,18 @@ def ingest_bronze(lake: Lake, feed: DataFrame, catalog: DataFrame, distinct_look
     Approaches merge on (id, day) and metadata on id, insert-only.  By default
     every approach row asks for its entity, as a per-request lookup does.
     """
-    approaches = flatten_feed(feed)
-    metadata = lookup(approaches.select("id"), catalog, distinct=distinct_lookups)
-    insert_only_merge(approaches, lake.bronze_approaches, keys=schemas.BRONZE_APPROACHES_KEY,
-                      partition_by=schemas.APPROACHES_PARTITION, prune_on="fecha",
-                      schema=schemas.BRONZE_APPROACHES)
-    insert_only_merge(metadata, lake.bronze_metadata, keys=schemas.METADATA_KEY,
-                      schema=schemas.BRONZE_METADATA)
+    # The parsed batch feeds three jobs (partition range, approach merge, lookups):
+    # parse the documents once.  Lost blocks are rebuilt from the landed files.
+    approaches = flatten_feed(feed).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        metadata = lookup(approaches.select("id"), catalog, distinct=distinct_lookups)
+        insert_only_merge(approaches, lake.bronze_approaches, keys=schemas.BRONZE_APPROACHES_KEY,
+                          partition_by=schemas.APPROACHES_PARTITION, prune_on="fecha",
+                          schema=schemas.BRONZE_APPROACHES)
+        insert_only_merge(metadata, lake.bronze_metadata, keys=schemas.METADATA_KEY,
+                          schema=schemas.BRONZE_METADATA)
+    finally:
+        approaches.unpersist()
 
 
 def run_silver(spark: SparkSession, lake: Lake) -> DataFrame:

@@ -53,6 +53,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def stored_schema(spark: SparkSession, path: str) -> StructType | None:
+    """Schema of the table at ``path``; None when it does not exist or holds no data files yet."""
+    if not path_exists(spark, path):
+        return None
+    try:
+        return spark.read.parquet(path).schema
+    except Exception as e:  # an empty table (created from an empty batch) has nothing to infer from
+        if "UNABLE_TO_INFER_SCHEMA" in str(e) or "Unable to infer schema" in str(e):
+            return None
+        raise
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     reader = spark.read
     if schema is not None:

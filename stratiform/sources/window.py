@@ -27,11 +27,13 @@ def in_window(ts_col: str, ref_date, days: int = FEED_WINDOW_DAYS, as_of=None) -
     ``as_of`` cuts the last day at the moment of the pull (rows known by then).
     """
     start, end = window_bounds(ref_date, days)
-    lo = F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz")
-    hi = F.lit(dt.datetime.combine(end + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")
+    # text literals cast to a zone-less timestamp: independent of any time zone
+    lo = F.lit(f"{start.isoformat()} 00:00:00").cast("timestamp_ntz")
+    hi = F.lit(f"{(end + dt.timedelta(days=1)).isoformat()} 00:00:00").cast("timestamp_ntz")
     pred = (F.col(ts_col) >= lo) & (F.col(ts_col) < hi)
     if as_of is not None:
-        pred = pred & (F.col(ts_col) <= F.lit(as_of).cast("timestamp_ntz"))
+        text = as_of.isoformat(sep=" ") if isinstance(as_of, dt.datetime) else str(as_of)
+        pred = pred & (F.col(ts_col) <= F.lit(text).cast("timestamp_ntz"))
     return pred
 
 

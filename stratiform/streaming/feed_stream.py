@@ -12,7 +12,6 @@ inserted), so land one pull per trigger or leave ``max_files_per_trigger`` unset
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from stratiform import schemas
@@ -33,12 +32,7 @@ def ingest_available(spark: SparkSession, landing_dir: str, lake: Lake, catalog:
     """Ingest every landed document not taken yet, then stop."""
 
     def _batch(batch: DataFrame, epoch_id: int) -> None:
-        # the batch feeds two writes (approaches and their lookups): read it once
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            ingest_bronze(lake, batch, catalog, distinct_lookups)
-        finally:
-            batch.unpersist()
+        ingest_bronze(lake, batch, catalog, distinct_lookups)  # parses the batch once
 
     query = (feed_stream(spark, landing_dir, max_files_per_trigger)
              .writeStream

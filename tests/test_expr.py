@@ -1,3 +1,4 @@
+import datetime as dt
 import math
 
 import pytest
@@ -91,3 +92,12 @@ def test_risk_flag_and_uncertainty(spark):
                                "h boolean, s boolean, lo double, hi double")
     got = df.select(X.risk_flag("h", "s"), X.diameter_uncertainty("hi", "lo")).collect()
     assert [tuple(r) for r in got] == [(True, 2.5), (False, 0.0)]
+
+
+def test_window_is_inclusive_by_day_and_pushes_down(spark):
+    from stratiform.sources.window import feed_window, window_text
+    assert window_text("2024-01-10") == ("2024-01-04", "2024-01-10")
+    df = spark.createDataFrame([("2024-01-03 23:59:59",), ("2024-01-04 00:00:00",), ("2024-01-10 23:59:59",),
+                                ("2024-01-11 00:00:00",)], "s string").selectExpr("cast(s as timestamp_ntz) ts")
+    assert feed_window(df, "ts", "2024-01-10").count() == 2
+    assert feed_window(df, "ts", "2024-01-10", as_of=dt.datetime(2024, 1, 10, 12)).count() == 1

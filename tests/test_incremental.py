@@ -107,3 +107,12 @@ def test_lookup_per_request_and_distinct(spark):
     cat = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, name string")
     assert sorted(r.id for r in lookup(ids, cat).collect()) == ["1", "1", "2"]
     assert sorted(r.id for r in lookup(ids, cat, distinct=True).collect()) == ["1", "2"]
+
+
+def test_empty_batch_creates_table_then_merges(spark, scratch):
+    path = f"{scratch('m')}/t"
+    insert_only_merge(_df(spark, []), path, ["id", "ts"], partition_by=["fecha"])
+    assert pending_against(spark, _df(spark, [(1, T(2024, 1, 1), 1.0)]), path, ["id", "ts"]).count() == 1
+    insert_only_merge(_df(spark, [(1, T(2024, 1, 1), 1.0)]), path, ["id", "ts"], partition_by=["fecha"])
+    insert_only_merge(_df(spark, [(1, T(2024, 1, 1), 1.0)]), path, ["id", "ts"], partition_by=["fecha"])
+    assert spark.read.parquet(path).count() == 1
