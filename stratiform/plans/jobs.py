@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stratiform import schemas
 from stratiform.operators.aggregates import daily_summary
-from stratiform.operators.incremental import insert_only_merge, lookup, pending_against
+from stratiform.operators.incremental import insert_only_merge, lookup, pending_against, pending_rows
 from stratiform.operators.nested import flatten_feed
 from stratiform.operators.quality import integrity_report, orphans_by_key
 from stratiform.operators.storage import append_table, write_table
@@ -30,11 +30,12 @@ def _append_or_create(df: DataFrame, path: str, partition_by=None) -> None:
         write_table(df, path, mode="overwrite", partition_by=partition_by)
 
 
-def ingest_bronze(lake: Lake, feed: DataFrame, catalog: DataFrame, distinct_lookups: bool = False) -> None:
+def ingest_bronze(lake: Lake, feed: DataFrame, catalog: DataFrame, distinct_lookups: bool = False):
     """Feed documents -> bronze approaches; their ids -> catalog lookups -> bronze metadata.
 
     Approaches merge on (id, day) and metadata on id, insert-only.  By default
     every approach row asks for its entity, as a per-request lookup does.
+    Returns the (first, last) day of the pull, or None for an empty pull.
     """
     # The parsed batch feeds three jobs (partition range, approach merge, lookups):
     # parse the documents once.  Lost blocks are rebuilt from the landed files.
@@ -46,19 +47,30 @@ def ingest_bronze(lake: Lake, feed: DataFrame, catalog: DataFrame, distinct_look
                           schema=schemas.BRONZE_APPROACHES)
         insert_only_merge(metadata, lake.bronze_metadata, keys=schemas.METADATA_KEY,
                           schema=schemas.BRONZE_METADATA)
+        lo, hi = approaches.agg(F.min("fecha"), F.max("fecha")).first()
     finally:
         approaches.unpersist()
+    return None if lo is None else (lo, hi)
 
 
-def run_silver(spark: SparkSession, lake: Lake) -> DataFrame:
+def run_silver(spark: SparkSession, lake: Lake, fecha_range=None) -> DataFrame:
     """Transform only the bronze rows silver does not hold yet, append them, then
-    return the integrity report of the complete silver tables (lazy)."""
+    return the integrity report of the complete silver tables (lazy).
+
+    ``fecha_range=(first, last)`` limits the approach comparison to those days on
+    both sides (partition pruning), so a run costs the size of its pull instead of
+    the whole history.  It is exact when earlier runs completed, because the
+    silver key (id, timestamp) determines the day the same way bronze's does;
+    ``None`` compares everything (catch-up after a failed run).
+    """
     ba = read_table(spark, lake.bronze_approaches, schemas.BRONZE_APPROACHES)
     bm = read_table(spark, lake.bronze_metadata, schemas.BRONZE_METADATA)
+    silver_a = lake.silver_approaches
+    if fecha_range is not None:
+        ba = ba.where(F.col("fecha").between(F.lit(fecha_range[0]), F.lit(fecha_range[1])))
     # Pending uses the null-safe key; anything it lets through cannot match with
     # plain equality either, so the append needs no second anti join.
-    pa = pending_against(spark, ba.transform(transform_approaches), lake.silver_approaches,
-                         schemas.SILVER_APPROACHES_KEY, schemas.SILVER_APPROACHES, null_safe=True)
+    pa = _pending_in_range(spark, ba.transform(transform_approaches), silver_a, fecha_range)
     pm = pending_against(spark, bm.transform(transform_metadata), lake.silver_metadata,
                          schemas.METADATA_KEY, schemas.SILVER_METADATA, null_safe=True)
     _append_or_create(pa, lake.silver_approaches, schemas.APPROACHES_PARTITION)
@@ -67,6 +79,15 @@ def run_silver(spark: SparkSession, lake: Lake) -> DataFrame:
                             read_table(spark, lake.silver_metadata, schemas.SILVER_METADATA))
 
 
+def _pending_in_range(spark: SparkSession, batch: DataFrame, path: str, fecha_range) -> DataFrame:
+    if fecha_range is None or not path_exists(spark, path):
+        return pending_against(spark, batch, path, schemas.SILVER_APPROACHES_KEY,
+                               schemas.SILVER_APPROACHES, null_safe=True)
+    target = read_table(spark, path, schemas.SILVER_APPROACHES).where(
+        F.col("fecha").between(F.lit(fecha_range[0]), F.lit(fecha_range[1])))
+    return pending_rows(batch, target, schemas.SILVER_APPROACHES_KEY, null_safe=True)
+
+
 def run_gold(spark: SparkSession, lake: Lake) -> None:
     """Recompute the daily summary from the whole silver layer; overwrite gold."""
     summary = daily_summary(read_table(spark, lake.silver_approaches, schemas.SILVER_APPROACHES),
@@ -108,9 +129,12 @@ class RunResult:
 
 
 def run_all(spark: SparkSession, lake: Lake, feed: DataFrame, catalog: DataFrame,
-            distinct_lookups: bool = False) -> RunResult:
-    """bronze -> silver -> gold for one pull."""
-    ingest_bronze(lake, feed, catalog, distinct_lookups)
-    report = run_silver(spark, lake)
+            distinct_lookups: bool = False, catch_up: bool = False) -> RunResult:
+    """bronze -> silver -> gold for one pull.
+
+    Silver compares only the days the pull touched unless ``catch_up``.
+    """
+    days = ingest_bronze(lake, feed, catalog, distinct_lookups)
+    report = run_silver(spark, lake, None if catch_up else (days or (None, None)))
     run_gold(spark, lake)
     return RunResult(lake, report)

@@ -41,3 +41,22 @@ def test_projection_pruned(spark):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "fecha" and df.count() > 0
+
+
+def test_scoped_silver_pending_prunes_both_sides(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from stratiform import schemas
+    from stratiform.operators.transforms import transform_approaches
+    from stratiform.plans import scenario
+    from stratiform.plans.jobs import _pending_in_range
+    from stratiform.sources.landed import read_table
+
+    lake = scenario.two_runs(spark, SF_SMALL)
+    days = (dt.date(2024, 1, 7), dt.date(2024, 1, 13))
+    bronze = read_table(spark, lake.bronze_approaches, schemas.BRONZE_APPROACHES).where(
+        F.col("fecha").between(F.lit(days[0]), F.lit(days[1])))
+    plan = _plan(_pending_in_range(spark, bronze.transform(transform_approaches), lake.silver_approaches, days))
+    assert plan.count("PartitionFilters: [isnotnull(fecha") == 2
