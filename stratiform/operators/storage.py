@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stratiform.sources.landed import stored_schema
+from stratiform.session import scratch_root
+from stratiform.sources.landed import path_exists, stored_schema
 
 
 class SchemaMismatch(ValueError):
@@ -40,9 +41,30 @@ def _writer(df: DataFrame, mode: str, partition_by: list[str] | None, rebalance:
     return df.write.mode(mode)
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(hpath).toString().rstrip("/")
+
+
+def reads_from(df: DataFrame, path: str) -> bool:
+    """Whether any file scanned by ``df`` lies under ``path`` (file listing is driver metadata)."""
+    root = _qualified(df.sparkSession, path) + "/"
+    return any(_qualified(df.sparkSession, f).startswith(root) for f in df.inputFiles())
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
                 replace_schema: bool = False, rebalance: bool = True) -> str:
-    """Save ``df`` as Parquet.  A changed schema is refused unless ``replace_schema``."""
+    """Save ``df`` as Parquet.  A changed schema is refused unless ``replace_schema``.
+
+    Overwriting a table with a frame that reads that same table would delete its
+    input first; such a frame is checkpointed (reliably, into the shared
+    checkpoint folder) before the overwrite.
+    """
+    if mode == "overwrite" and path_exists(df.sparkSession, path) and reads_from(df, path):
+        scratch_root(df.sparkSession)  # make sure a checkpoint folder is set
+        df = df.checkpoint(eager=True)
     if not replace_schema:
         stored = stored_schema(df.sparkSession, path)
         if stored is not None:

@@ -101,3 +101,10 @@ def test_window_is_inclusive_by_day_and_pushes_down(spark):
                                 ("2024-01-11 00:00:00",)], "s string").selectExpr("cast(s as timestamp_ntz) ts")
     assert feed_window(df, "ts", "2024-01-10").count() == 2
     assert feed_window(df, "ts", "2024-01-10", as_of=dt.datetime(2024, 1, 10, 12)).count() == 1
+
+
+def test_name_digits_are_ascii(spark):
+    # Arabic-Indic digits are not taken as an official number (Java regex \d is ASCII)
+    df = spark.createDataFrame([("٤٣٣ Eros (A898 PA)",)], "name string")
+    r = df.select(X.official_number("name"), X.has_official_number("name")).first()
+    assert tuple(r) == (None, False)

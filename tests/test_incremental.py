@@ -116,3 +116,12 @@ def test_empty_batch_creates_table_then_merges(spark, scratch):
     insert_only_merge(_df(spark, [(1, T(2024, 1, 1), 1.0)]), path, ["id", "ts"], partition_by=["fecha"])
     insert_only_merge(_df(spark, [(1, T(2024, 1, 1), 1.0)]), path, ["id", "ts"], partition_by=["fecha"])
     assert spark.read.parquet(path).count() == 1
+
+
+def test_overwrite_from_itself_is_safe(spark, scratch):
+    from pyspark.sql import functions as F
+    path = f"{scratch('self')}/t"
+    write_table(spark.range(5).withColumn("x", F.col("id") * 2), path)
+    df = spark.read.parquet(path)
+    write_table(df.withColumn("x", F.col("x") + 1), path)
+    assert sorted(r.x for r in spark.read.parquet(path).collect()) == [1, 3, 5, 7, 9]

@@ -78,3 +78,24 @@ def test_orphans_gone_after_recovery(spark):
     lake = scenario.recovered(spark, SF_SMALL)
     sa = spark.read.parquet(lake.silver_approaches)
     assert orphans_by_key(sa, spark.read.parquet(lake.silver_metadata)).count() == 0
+
+
+def test_changed_transform_reaches_old_rows_only_through_reprocess(spark, scratch):
+    """Regression: a new silver column is refused by the incremental append and
+    applied to every old row by the reprocess (schema replaced)."""
+    import pytest
+
+    from stratiform.operators.storage import SchemaMismatch, append_table
+
+    lake = scenario.two_runs(spark, SF_SMALL)
+    out = Lake(scratch("schema"))
+    reprocess_silver(spark, lake, out)
+    old = spark.read.parquet(out.silver_metadata)
+    n_old = old.count()
+    widened = old.withColumn("diametro_medio_km", (F.col("diameter_min_km") + F.col("diameter_max_km")) / 2)
+    with pytest.raises(SchemaMismatch):
+        append_table(widened.limit(1), out.silver_metadata)
+    from stratiform.operators.storage import write_table
+    write_table(widened, out.silver_metadata, mode="overwrite", replace_schema=True)
+    again = spark.read.parquet(out.silver_metadata)
+    assert "diametro_medio_km" in again.columns and again.count() == n_old
