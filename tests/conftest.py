@@ -14,10 +14,10 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    # tests have no cluster-provided checkpoint folder: use a fresh local one
-    ckpt = tempfile.mkdtemp(prefix="stratiform-test-ckpt-")
-    s = build_session(master="local[*]", shuffle_partitions=8, app="stratiform-tests",
-                      extra={"spark.checkpoint.dir": ckpt})
+    s = build_session(master="local[*]", shuffle_partitions=8, app="stratiform-tests")
+    # use the configured checkpoint folder; only when none is configured, a fresh local one
+    if not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stratiform-test-ckpt-"))
     yield s
     s.stop()
 
