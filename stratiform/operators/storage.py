@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -41,17 +42,26 @@ def _writer(df: DataFrame, mode: str, partition_by: list[str] | None, rebalance:
     return df.write.mode(mode)
 
 
+def _norm_uri(uri: str) -> str:
+    # "file:///a" and "file:/a" name the same file; collapse the slashes after the scheme
+    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):/+", r"\1:/", uri).rstrip("/")
+
+
 def _qualified(spark: SparkSession, path: str) -> str:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.makeQualified(hpath).toString().rstrip("/")
+    return _norm_uri(fs.makeQualified(hpath).toUri().toString())
 
 
 def reads_from(df: DataFrame, path: str) -> bool:
-    """Whether any file scanned by ``df`` lies under ``path`` (file listing is driver metadata)."""
+    """Whether any file scanned by ``df`` lies under ``path``.
+
+    ``inputFiles`` comes from the driver's file listing and is already qualified,
+    so only the root is qualified (one call, not one per file).
+    """
     root = _qualified(df.sparkSession, path) + "/"
-    return any(_qualified(df.sparkSession, f).startswith(root) for f in df.inputFiles())
+    return any(_norm_uri(f).startswith(root) for f in df.inputFiles())
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
