@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.functions.expr import nan_to_null, round_half_even
+from stratiform.operators.joins import BROADCAST_MAX_BYTES, sized_join
 
 AGG_FUNCTIONS = ("count", "mean", "max", "min", "sum")
 
@@ -53,10 +54,10 @@ DAILY_ROUNDED = ("velocidad_promedio_km_s", "velocidad_maxima_km_s", "distancia_
                  "distancia_promedio_km", "diametro_maximo_km")
 
 
-def _daily_join_first(a: DataFrame, m: DataFrame, key: str, day: str, broadcast: bool = False) -> DataFrame:
+def _daily_join_first(a: DataFrame, m: DataFrame, key: str, day: str) -> DataFrame:
     meta = m.select(key, F.col("bajo_seguimiento_riesgo").cast("double").alias("bajo_seguimiento_riesgo"),
                     "diameter_max_km")
-    joined = a.join(F.broadcast(meta) if broadcast else meta, key, "left")
+    joined = sized_join(a, meta, key, "left")
     return summarize(joined, day, [
         ("cantidad_aproximaciones", key, "count"),
         ("velocidad_promedio_km_s", "relative_velocity_km_per_second", "mean"),
@@ -140,9 +141,10 @@ def _daily_preaggregated(a: DataFrame, m: DataFrame, key: str, day: str) -> Data
 
 
 # Largest per-entity side shipped to every task: four fixed-width columns
-# (bigint, bigint, double, double) per row, so 2M rows stay near ~100 MB in memory.
-# The metadata row count bounds the per-entity row count from above.
-BROADCAST_MAX_ROWS = 2_000_000
+# (bigint, bigint, double, double) plus row overhead = 48 bytes per row, so this
+# many rows stay within the broadcast byte bound.  The metadata row count bounds
+# the per-entity row count from above.
+BROADCAST_MAX_ROWS = BROADCAST_MAX_BYTES // 48
 
 
 def daily_summary(approaches: DataFrame, metadata: DataFrame, key: str = "id", day: str = "fecha",

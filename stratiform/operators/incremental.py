@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from stratiform.operators.joins import fits_broadcast, sized_join
 from stratiform.operators.storage import append_table, check_schema, write_table
 from stratiform.sources.landed import path_exists, read_table, stored_schema
 
@@ -45,38 +46,50 @@ def _match_columns(df: DataFrame, keys: list[str], null_safe: bool, prefix: str)
     return cols
 
 
-def anti_by_keys(batch: DataFrame, target: DataFrame, keys: list[str], null_safe: bool) -> DataFrame:
+def anti_by_keys(batch: DataFrame, target: DataFrame, keys: list[str], null_safe: bool,
+                 measure_target: bool = False) -> DataFrame:
     """Rows of ``batch`` with no key match in ``target``.
 
     Only the key columns of ``target`` are read, and repeated target keys are
     collapsed map-side first (only existence matters), so a key the target holds
     many times never piles up in one task: the right side of an anti join cannot
     be split by skew handling, the left side can.
+
+    A target that grows with history is left to AQE (broadcast only once its
+    shuffle has measured it).  ``measure_target`` is for entity-sized targets:
+    their key columns are measured first and, under the bound, broadcast, so the
+    batch is not shuffled at all.
     """
     left_cols = _match_columns(batch, keys, null_safe, "__b_")
-    right = target.select(*_match_columns(target, keys, null_safe, "__t_")).distinct()
+    right = target.select(*_match_columns(target, keys, null_safe, "__t_"))
+    if measure_target and fits_broadcast(right):
+        right = F.broadcast(right.distinct())
+    else:
+        right = right.distinct()
     names = right.columns
     left = batch.select("*", *left_cols)
     cond = reduce(lambda a, b: a & b, [left[n.replace("__t_", "__b_", 1)] == right[n] for n in names])
     return left.join(right, cond, "left_anti").select(*batch.columns)
 
 
-def pending_rows(batch: DataFrame, target: DataFrame | None, keys: list[str], null_safe: bool = True) -> DataFrame:
+def pending_rows(batch: DataFrame, target: DataFrame | None, keys: list[str], null_safe: bool = True,
+                 measure_target: bool = False) -> DataFrame:
     """Rows not yet present downstream.  NULL keys match each other when ``null_safe``."""
     if target is None:
         return batch
-    return anti_by_keys(batch, target, keys, null_safe)
+    return anti_by_keys(batch, target, keys, null_safe, measure_target)
 
 
 def pending_against(spark: SparkSession, batch: DataFrame, target_path: str, keys: list[str],
-                    schema: StructType | None = None, null_safe: bool = True) -> DataFrame:
+                    schema: StructType | None = None, null_safe: bool = True,
+                    measure_target: bool = False) -> DataFrame:
     """``pending_rows`` against a stored table; a missing table means everything is pending."""
     if not path_exists(spark, target_path):
         return batch
     stored = schema or stored_schema(spark, target_path)
     if stored is None:  # exists but holds no rows yet
         return batch
-    return pending_rows(batch, read_table(spark, target_path, stored), keys, null_safe)
+    return pending_rows(batch, read_table(spark, target_path, stored), keys, null_safe, measure_target)
 
 
 def partition_range_filter(batch: DataFrame, target: DataFrame, column: str) -> DataFrame:
@@ -94,7 +107,7 @@ def partition_range_filter(batch: DataFrame, target: DataFrame, column: str) ->
 
 def insert_only_merge(batch: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None,
                       null_safe: bool = False, dedup_source: bool = False, prune_on: str | None = None,
-                      schema: StructType | None = None) -> str:
+                      schema: StructType | None = None, measure_target: bool = False) -> str:
     """Append the rows of ``batch`` whose key is not in the table at ``path``.
 
     Every unmatched source row is inserted, duplicates inside the batch
@@ -102,6 +115,7 @@ def insert_only_merge(batch: DataFrame, path: str, keys: list[str], partition_by
     never match and are inserted again) unless ``null_safe``.  A missing table is
     created from the whole batch.  ``prune_on`` names a partition column the keys
     determine, so only the target partitions the batch can touch are read.
+    ``measure_target`` broadcasts an entity-sized target after measuring it.
     """
     spark = batch.sparkSession
     if dedup_source:
@@ -115,7 +129,7 @@ def insert_only_merge(batch: DataFrame, path: str, keys: list[str], partition_by
     target = read_table(spark, path, schema or stored or batch.schema)
     if prune_on is not None:
         target = partition_range_filter(batch, target, prune_on)
-    fresh = anti_by_keys(batch, target, keys, null_safe)
+    fresh = anti_by_keys(batch, target, keys, null_safe, measure_target)
     append_table(fresh.select(*batch.columns), path, partition_by=partition_by)
     return path
 
@@ -129,5 +143,6 @@ def lookup(ids: DataFrame, catalog: DataFrame, key: str = "id", distinct: bool =
     """
     if distinct:
         # a hot id asked for many times collapses map-side before the semi join
-        return catalog.join(ids.select(key).distinct(), key, "left_semi")
-    return ids.select(key).join(catalog, key, "inner").select(*catalog.columns)
+        return sized_join(catalog, ids.select(key).distinct(), key, "left_semi")
+    # the requests may be huge and skewed: keep them in place when the catalog is small
+    return sized_join(ids.select(key), catalog, key, "inner").select(*catalog.columns)

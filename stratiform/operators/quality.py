@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.functions.expr import official_number, provisional_designation, rebuilt_name
+from stratiform.operators.joins import sized_join
 
 
 def orphans_by_null(left: DataFrame, right: DataFrame, key: str = "id",
@@ -23,7 +24,7 @@ def orphans_by_null(left: DataFrame, right: DataFrame, key: str = "id",
                 .groupBy(key)
                 .agg(F.count(F.lit(1)).alias("_partners"),
                      F.count(F.when(F.col(probe).isNull(), 1)).alias("_missing")))
-    j = left.select(key).join(partners, key, "left")
+    j = sized_join(left.select(key), partners, key, "left")
     times = F.when(F.col("_partners").isNull(), F.lit(1)).otherwise(F.col("_missing")).cast("int")
     return (j.where(times > 0)
             .select(key, F.explode(F.array_repeat(F.lit(True), times)).alias("_r"))
@@ -32,7 +33,7 @@ def orphans_by_null(left: DataFrame, right: DataFrame, key: str = "id",
 
 def orphans_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     """Left rows with no partner key at all (missing keys only)."""
-    return left.join(right.select(*keys).distinct(), list(keys), "left_anti")
+    return sized_join(left, right.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def integrity_report(approaches: DataFrame, metadata: DataFrame, key: str = "id") -> DataFrame:

@@ -46,7 +46,7 @@ def ingest_bronze(lake: Lake, feed: DataFrame, catalog: DataFrame, distinct_look
                           partition_by=schemas.APPROACHES_PARTITION, prune_on="fecha",
                           schema=schemas.BRONZE_APPROACHES)
         insert_only_merge(metadata, lake.bronze_metadata, keys=schemas.METADATA_KEY,
-                          schema=schemas.BRONZE_METADATA)
+                          schema=schemas.BRONZE_METADATA, measure_target=True)
         lo, hi = approaches.agg(F.min("fecha"), F.max("fecha")).first()
     finally:
         approaches.unpersist()
@@ -72,7 +72,7 @@ def run_silver(spark: SparkSession, lake: Lake, fecha_range=None) -> DataFrame:
     # plain equality either, so the append needs no second anti join.
     pa = _pending_in_range(spark, ba.transform(transform_approaches), silver_a, fecha_range)
     pm = pending_against(spark, bm.transform(transform_metadata), lake.silver_metadata,
-                         schemas.METADATA_KEY, schemas.SILVER_METADATA, null_safe=True)
+                         schemas.METADATA_KEY, schemas.SILVER_METADATA, null_safe=True, measure_target=True)
     _append_or_create(pa, lake.silver_approaches, schemas.APPROACHES_PARTITION)
     _append_or_create(pm, lake.silver_metadata)
     return integrity_report(read_table(spark, lake.silver_approaches, schemas.SILVER_APPROACHES),
@@ -119,7 +119,8 @@ def recover_orphans(spark: SparkSession, lake: Lake, catalog: DataFrame, ids: Da
         ids = orphans_by_key(sa.select("id"), sm, ["id"]).distinct()
     wanted = ids.select(F.col("id").cast("string").alias("id"))
     found = lookup(wanted, catalog, distinct=True)
-    insert_only_merge(found, lake.bronze_metadata, keys=schemas.METADATA_KEY, schema=schemas.BRONZE_METADATA)
+    insert_only_merge(found, lake.bronze_metadata, keys=schemas.METADATA_KEY, schema=schemas.BRONZE_METADATA,
+                      measure_target=True)
 
 
 @dataclass

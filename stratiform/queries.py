@@ -18,6 +18,7 @@ from stratiform.functions.expr import (
 from stratiform.operators.aggregates import daily_summary, distinct_keys, layer_counts, summarize
 from stratiform.operators.incremental import insert_only_merge, lookup, pending_against
 from stratiform.operators.inspect import peek
+from stratiform.operators.joins import sized_join
 from stratiform.operators.nested import feed_element_check, flatten_feed, flatten_lookups
 from stratiform.operators.quality import (
     duplicate_keys, integrity_report, name_lossless, null_profile, orphans_by_key, orphans_by_null,
@@ -89,13 +90,13 @@ def q_join_left_fanout(spark, sf):
     a = silver_approaches(spark, sf).select("id", "close_approach_date_full", "fecha",
                                            "relative_velocity_km_per_second")
     m = _fanout_metadata(spark, sf).select("id", "diameter_max_km", "bajo_seguimiento_riesgo")
-    return a.join(m, "id", "left")
+    return sized_join(a, m, "id", "left")
 
 
 def _joined(spark, sf):
     m = silver_metadata(spark, sf).select(
         "id", "diameter_max_km", F.col("bajo_seguimiento_riesgo").cast("double").alias("bajo_seguimiento_riesgo"))
-    return silver_approaches(spark, sf).join(m, "id", "left")
+    return sized_join(silver_approaches(spark, sf), m, "id", "left")
 
 
 def q_agg_count(spark, sf):
@@ -122,13 +123,13 @@ def q_agg_flag_sum(spark, sf):
     catalog = metadata_from_part(load(spark, sf, "part").where(~broken_lookup_rule()))
     m = catalog.transform(transform_metadata).select(
         "id", F.col("bajo_seguimiento_riesgo").cast("double").alias("bajo_seguimiento_riesgo"))
-    joined = silver_approaches(spark, sf).join(m, "id", "left")
+    joined = sized_join(silver_approaches(spark, sf), m, "id", "left")
     return summarize(joined, "id", [("cantidad_bajo_seguimiento_riesgo", "bajo_seguimiento_riesgo", "sum")])
 
 
 def q_agg_null_key(spark, sf):
     docs, labels = _documents_labels(spark, sf)
-    joined = docs.select("doc_id").join(labels.select("doc_id", "quality"), "doc_id", "left")
+    joined = sized_join(docs.select("doc_id"), labels.select("doc_id", "quality"), "doc_id", "left")
     return summarize(joined, "quality", [("documents", "doc_id", "count")])
 
 
@@ -168,7 +169,7 @@ def q_cast_double(spark, sf):
 
 def q_cast_bool(spark, sf):
     docs, labels = _documents_labels(spark, sf)
-    j = docs.select("doc_id").join(labels.select("doc_id", "toxic"), "doc_id", "left")
+    j = sized_join(docs.select("doc_id"), labels.select("doc_id", "toxic"), "doc_id", "left")
     return j.select("doc_id", bool_or_false(F.col("toxic") == 1).alias("is_toxic"))
 
 
@@ -248,10 +249,11 @@ def _stage(spark, tag: str) -> str:
 def q_pending_by_id(spark, sf):
     root = _stage(spark, "pending-by-id")
     seen = load(spark, sf, "events").select(F.col("user_id").cast("string").alias("id"))
-    done = bronze_metadata(spark, sf).join(seen, "id", "left_semi").transform(transform_metadata)
+    done = sized_join(bronze_metadata(spark, sf), seen.distinct(), "id", "left_semi").transform(transform_metadata)
     write_table(done, f"{root}/silver_metadata")
     batch = bronze_metadata(spark, sf).withColumn("id", to_id("id"))
-    return pending_against(spark, batch, f"{root}/silver_metadata", ["id"], schemas.SILVER_METADATA)
+    return pending_against(spark, batch, f"{root}/silver_metadata", ["id"], schemas.SILVER_METADATA,
+                           measure_target=True)
 
 
 def q_pending_by_key(spark, sf):
@@ -300,7 +302,8 @@ def q_merge_insert_by_id(spark, sf):
     """Target: entities seen in run 1 (per request); batch: the whole catalog."""
     path = f"{_stage(spark, 'merge-id')}/bronze_metadata"
     write_table(lookup(_run_bronze(spark, sf, 1).select("id"), bronze_metadata(spark, sf)), path)
-    insert_only_merge(bronze_metadata(spark, sf), path, schemas.METADATA_KEY, schema=schemas.BRONZE_METADATA)
+    insert_only_merge(bronze_metadata(spark, sf), path, schemas.METADATA_KEY, schema=schemas.BRONZE_METADATA,
+                      measure_target=True)
     return read_table(spark, path, schemas.BRONZE_METADATA)
 
 
