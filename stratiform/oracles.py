@@ -263,7 +263,7 @@ ORACLES.update({
     "feed_flatten": FEED_FLAT,
     "feed_count_check": """
   SELECT COUNT(DISTINCT (CAST(ts AS DATE), floor(event_id / 100))) AS documents,
-         COUNT(*) AS declared_total, COUNT(*) AS flattened_total, 0 AS mismatched_documents
+         COUNT(*) AS declared_total, COUNT(*) AS flattened_total, CAST(0 AS BIGINT) AS mismatched_documents
   FROM events""",
     "lookup_flatten": BRONZE_METADATA,
     "lookup_quarantine": f"SELECT p_partkey AS id FROM part WHERE {BROKEN}",
