@@ -10,8 +10,8 @@ from stratiform.functions.expr import (
 )
 
 
-def _feed_objects(feed: DataFrame) -> DataFrame:
-    # map entry -> row, then array element -> row; an empty array gives no row
+def feed_objects(feed: DataFrame) -> DataFrame:
+    """``(_feed_day, o)``: map entry -> row, then array element -> row (an empty array gives no row)."""
     days = feed.select(F.explode("near_earth_objects").alias("_feed_day", "_objs"))
     return days.select("_feed_day", F.explode("_objs").alias("o"))
 
@@ -22,8 +22,13 @@ def flatten_feed(feed: DataFrame) -> DataFrame:
     Objects without any close approach are left out here; ``feed_rejects``
     returns them.
     """
+    return flatten_objects(feed_objects(feed))
+
+
+def flatten_objects(objects: DataFrame) -> DataFrame:
+    """``feed_objects`` rows -> bronze approaches."""
     first = F.get(F.col("o.close_approach_data"), 0)
-    return (_feed_objects(feed)
+    return (objects
             .where(first.isNotNull())
             .select(
                 F.col("o.id").alias("id"),
@@ -40,8 +45,12 @@ def flatten_feed(feed: DataFrame) -> DataFrame:
 
 def feed_rejects(feed: DataFrame) -> DataFrame:
     """Objects whose close-approach list is empty or missing (they cannot be flattened)."""
+    return rejected_objects(feed_objects(feed))
+
+
+def rejected_objects(objects: DataFrame) -> DataFrame:
     first = F.get(F.col("o.close_approach_data"), 0)
-    return _feed_objects(feed).where(first.isNull()).select(
+    return objects.where(first.isNull()).select(
         F.col("_feed_day").alias("feed_day"), F.col("o.id").alias("id"), F.col("o.name").alias("name"))
 
 

@@ -35,6 +35,11 @@ class Lake:
     def bronze_approaches(self) -> str:
         return self.path("bronze", "approaches")
 
+    @property
+    def bronze_rejects(self) -> str:
+        """Feed objects that could not be flattened (no close approach)."""
+        return self.path("bronze", "approaches_rejected")
+
     @property
     def bronze_metadata(self) -> str:
         return self.path("bronze", "metadata")

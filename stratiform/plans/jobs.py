@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from stratiform import schemas
 from stratiform.operators.aggregates import daily_summary
 from stratiform.operators.incremental import insert_only_merge, lookup, pending_against, pending_rows
-from stratiform.operators.nested import flatten_feed
+from stratiform.operators.nested import feed_objects, flatten_objects, rejected_objects
 from stratiform.operators.quality import integrity_report, orphans_by_key
 from stratiform.operators.storage import append_table, write_table
 from stratiform.operators.transforms import transform_approaches, transform_metadata
@@ -35,21 +35,26 @@ def ingest_bronze(lake: Lake, feed: DataFrame, catalog: DataFrame, distinct_look
 
     Approaches merge on (id, day) and metadata on id, insert-only.  By default
     every approach row asks for its entity, as a per-request lookup does.
+    Objects without a close approach are appended to the rejects table.
     Returns the (first, last) day of the pull, or None for an empty pull.
     """
-    # The parsed batch feeds three jobs (partition range, approach merge, lookups):
-    # parse the documents once.  Lost blocks are rebuilt from the landed files.
-    approaches = flatten_feed(feed).persist(StorageLevel.MEMORY_AND_DISK)
+    # The parsed batch feeds several jobs (partition range, approach merge, lookups,
+    # rejects): parse the documents once.  Lost blocks are rebuilt from the landed files.
+    objects = feed_objects(feed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        approaches = flatten_objects(objects)
         metadata = lookup(approaches.select("id"), catalog, distinct=distinct_lookups)
         insert_only_merge(approaches, lake.bronze_approaches, keys=schemas.BRONZE_APPROACHES_KEY,
                           partition_by=schemas.APPROACHES_PARTITION, prune_on="fecha",
                           schema=schemas.BRONZE_APPROACHES)
         insert_only_merge(metadata, lake.bronze_metadata, keys=schemas.METADATA_KEY,
                           schema=schemas.BRONZE_METADATA, measure_target=True)
+        rejects = rejected_objects(objects)
+        if not rejects.isEmpty():  # cheap on the cached objects; keeps empty appends out
+            _append_or_create(rejects, lake.bronze_rejects)
         lo, hi = approaches.agg(F.min("fecha"), F.max("fecha")).first()
     finally:
-        approaches.unpersist()
+        objects.unpersist()
     return None if lo is None else (lo, hi)
 
 

@@ -87,3 +87,20 @@ def test_lookup_flatten_and_quarantine(spark, tmp_path):
     assert rows["2433"].diameter_max_km == 3.0 and rows["2433"].is_sentry_object is False
     assert rows["5"].diameter_min_km is None
     assert [r.id for r in quarantined_ids(quarantine).collect()] == [99]
+
+
+def test_ingest_keeps_rejects_and_reads_multiline_documents(spark, tmp_path, scratch):
+    from stratiform.paths import Lake
+    from stratiform.plans.jobs import ingest_bronze
+    p = tmp_path / "feed_ml"
+    p.mkdir()
+    (p / "pull.json").write_text(json.dumps(FEED_DOC, indent=2))  # one pretty-printed document per file
+    feed = read_feed(spark, str(p), multi_line=True)
+    lookups = spark.createDataFrame([], "id string, name string, absolute_magnitude_h double, "
+                                        "diameter_min_km double, diameter_max_km double, "
+                                        "is_potentially_hazardous boolean, is_sentry_object boolean, "
+                                        "nasa_jpl_url string")
+    lake = Lake(scratch("rej"))
+    assert ingest_bronze(lake, feed, lookups) is not None
+    assert spark.read.parquet(lake.bronze_approaches).count() == 3
+    assert [r.id for r in spark.read.parquet(lake.bronze_rejects).collect()] == ["77"]
