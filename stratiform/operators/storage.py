@@ -34,11 +34,14 @@ def check_schema(incoming: StructType, stored: StructType, partition_by: Iterabl
 
 
 def _writer(df: DataFrame, mode: str, partition_by: list[str] | None, rebalance: bool):
+    # AQE sizes the write tasks (advisory partition size): hot partition values are
+    # split, small outputs merged, so repeated small appends do not pile up files
     if partition_by:
         if rebalance:
-            # AQE sizes the write tasks: hot partition values are split, small ones merged
             df = df.hint("rebalance", *partition_by)
         return df.write.mode(mode).partitionBy(*partition_by)
+    if rebalance:
+        df = df.hint("rebalance")
     return df.write.mode(mode)
 
 

@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # target size of coalesced shuffle partitions and of rebalanced write tasks
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     # No broadcast from file-size guesses; AQE broadcasts a side only after its
     # shuffle has measured it.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
