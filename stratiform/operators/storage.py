@@ -51,9 +51,12 @@ def _norm_uri(uri: str) -> str:
 
 
 def _qualified(spark: SparkSession, path: str) -> str:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    except Exception:  # no SparkContext (Spark Connect): compare the text as given
+        return _norm_uri(path if ":" in path.split("/")[0] else f"file:{path}")
     return _norm_uri(fs.makeQualified(hpath).toUri().toString())
 
 

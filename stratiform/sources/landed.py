@@ -46,10 +46,22 @@ def quarantined_ids(quarantine: DataFrame) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence test through the Hadoop file system of the path (works for any scheme)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Existence test through the Hadoop file system of the path (works for any scheme).
+
+    Without JVM access (Spark Connect) a zero-row file listing answers instead.
+    """
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    except Exception:  # no SparkContext here
+        try:
+            spark.read.format("binaryFile").load(path).limit(0).collect()
+            return True
+        except Exception as e:
+            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+                return False
+            raise
     return fs.exists(hpath)
 
 
