@@ -92,14 +92,14 @@ def pending_against(spark: SparkSession, batch: DataFrame, target_path: str, key
     return pending_rows(batch, read_table(spark, target_path, stored), keys, null_safe, measure_target)
 
 
-def partition_range_filter(batch: DataFrame, target: DataFrame, column: str) -> DataFrame:
+def partition_range_filter(batch: DataFrame, target: DataFrame, column: str, bounds=None) -> DataFrame:
     """Restrict ``target`` to the [min, max] of ``column`` in ``batch``.
 
-    One tiny aggregate (two values) turns into literal partition filters on the
-    target scan.  Valid only when the merge key determines ``column`` the same way
-    on both sides.
+    One tiny aggregate (two values, or ``bounds`` when the caller has them) turns
+    into literal partition filters on the target scan.  Valid only when the merge
+    key determines ``column`` the same way on both sides.
     """
-    lo, hi = batch.agg(F.min(column), F.max(column)).first()
+    lo, hi = bounds if bounds is not None else batch.agg(F.min(column), F.max(column)).first()
     if lo is None:
         return target.where(F.lit(False))
     return target.where(F.col(column).between(F.lit(lo), F.lit(hi)))
@@ -107,7 +107,8 @@ def partition_range_filter(batch: DataFrame, target: DataFrame, column: str) ->
 
 def insert_only_merge(batch: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None,
                       null_safe: bool = False, dedup_source: bool = False, prune_on: str | None = None,
-                      schema: StructType | None = None, measure_target: bool = False) -> str:
+                      schema: StructType | None = None, measure_target: bool = False,
+                      prune_bounds: tuple | None = None) -> str:
     """Append the rows of ``batch`` whose key is not in the table at ``path``.
 
     Every unmatched source row is inserted, duplicates inside the batch
@@ -115,6 +116,7 @@ def insert_only_merge(batch: DataFrame, path: str, keys: list[str], partition_by
     never match and are inserted again) unless ``null_safe``.  A missing table is
     created from the whole batch.  ``prune_on`` names a partition column the keys
     determine, so only the target partitions the batch can touch are read.
+    ``prune_bounds`` passes that column's (min, max) in the batch when already known.
     ``measure_target`` broadcasts an entity-sized target after measuring it.
     """
     spark = batch.sparkSession
@@ -128,7 +130,7 @@ def insert_only_merge(batch: DataFrame, path: str, keys: list[str], partition_by
         check_schema(batch.schema, stored, partition_by)
     target = read_table(spark, path, schema or stored or batch.schema)
     if prune_on is not None:
-        target = partition_range_filter(batch, target, prune_on)
+        target = partition_range_filter(batch, target, prune_on, prune_bounds)
     fresh = anti_by_keys(batch, target, keys, null_safe, measure_target)
     append_table(fresh.select(*batch.columns), path, partition_by=partition_by)
     return path

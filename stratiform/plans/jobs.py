@@ -43,16 +43,16 @@ def ingest_bronze(lake: Lake, feed: DataFrame, catalog: DataFrame, distinct_look
     objects = feed_objects(feed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         approaches = flatten_objects(objects)
+        lo, hi = approaches.agg(F.min("fecha"), F.max("fecha")).first()
         metadata = lookup(approaches.select("id"), catalog, distinct=distinct_lookups)
         insert_only_merge(approaches, lake.bronze_approaches, keys=schemas.BRONZE_APPROACHES_KEY,
-                          partition_by=schemas.APPROACHES_PARTITION, prune_on="fecha",
+                          partition_by=schemas.APPROACHES_PARTITION, prune_on="fecha", prune_bounds=(lo, hi),
                           schema=schemas.BRONZE_APPROACHES)
         insert_only_merge(metadata, lake.bronze_metadata, keys=schemas.METADATA_KEY,
                           schema=schemas.BRONZE_METADATA, measure_target=True)
         rejects = rejected_objects(objects)
         if not rejects.isEmpty():  # cheap on the cached objects; keeps empty appends out
             _append_or_create(rejects, lake.bronze_rejects)
-        lo, hi = approaches.agg(F.min("fecha"), F.max("fecha")).first()
     finally:
         objects.unpersist()
     return None if lo is None else (lo, hi)
