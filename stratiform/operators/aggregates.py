@@ -69,13 +69,34 @@ def _daily_join_first(a: DataFrame, m: DataFrame, key: str, day: str) -> DataFra
     ], round_cols=DAILY_ROUNDED)
 
 
-def _per_entity(m: DataFrame, key: str) -> DataFrame:
-    """One row per id: how many metadata rows match it, their flag sum, their largest diameter."""
+def entity_summary(m: DataFrame, key: str = "id") -> DataFrame:
+    """One row per id: ``metadata_rows`` (how many metadata rows carry it), their
+    flag sum ``bajo_seguimiento_riesgo`` (double, NULL when all flags are NULL) and
+    their largest ``diameter_max_km``.  Partial aggregation collapses a duplicated
+    entity map-side."""
     return (m.where(F.col(key).isNotNull())
             .groupBy(key)
-            .agg(F.count(F.lit(1)).alias("_matches"),
-                 F.sum(F.col("bajo_seguimiento_riesgo").cast("double")).alias("_flags"),
-                 F.max(nan_to_null(F.col("diameter_max_km"))).alias("_dmax")))
+            .agg(F.count(F.lit(1)).alias("metadata_rows"),
+                 F.sum(F.col("bajo_seguimiento_riesgo").cast("double")).alias("bajo_seguimiento_riesgo"),
+                 F.max(nan_to_null(F.col("diameter_max_km"))).alias("diameter_max_km")))
+
+
+def fanout_left_join(approaches: DataFrame, metadata: DataFrame, key: str = "id") -> DataFrame:
+    """Left join of approaches with their metadata, the fan-out carried as a weight.
+
+    Each approach row appears once, with ``metadata_rows`` = how many rows a plain
+    left join would have produced for it (0 when it has no partner; it still
+    counts as one row then), plus the partners' flag sum and largest diameter.
+    Nothing is dropped, and no pairs inside a key group are ever formed.
+    """
+    joined = sized_join(approaches, entity_summary(metadata, key), key, "left")
+    return joined.withColumn("metadata_rows", F.coalesce(F.col("metadata_rows"), F.lit(0)).cast("bigint"))
+
+
+def _per_entity(m: DataFrame, key: str) -> DataFrame:
+    return entity_summary(m, key).select(key, F.col("metadata_rows").alias("_matches"),
+                                         F.col("bajo_seguimiento_riesgo").alias("_flags"),
+                                         F.col("diameter_max_km").alias("_dmax"))
 
 
 def _weight() -> Column:

@@ -141,10 +141,14 @@ def lookup(ids: DataFrame, catalog: DataFrame, key: str = "id", distinct: bool =
 
     ``distinct=False`` answers every request, so an id asked for twice comes
     back twice (the per-request behaviour); ``distinct=True`` answers each id once.
-    Ids with no catalog entry are skipped.
+    Ids with no catalog entry are skipped.  An entity the catalog holds more than
+    once is answered with one of its rows.
     """
     if distinct:
         # a hot id asked for many times collapses map-side before the semi join
         return sized_join(catalog, ids.select(key).distinct(), key, "left_semi")
-    # the requests may be huge and skewed: keep them in place when the catalog is small
-    return sized_join(ids.select(key), catalog, key, "inner").select(*catalog.columns)
+    # one answer per request: a catalog holding an entity twice must not multiply
+    # requests (no pairs inside a key group); the requests may be huge and skewed,
+    # so they stay in place when the catalog is small
+    answers = catalog.dropDuplicates([key])
+    return sized_join(ids.select(key), answers, key, "inner").select(*catalog.columns)

@@ -13,22 +13,23 @@ from stratiform.operators.joins import sized_join
 
 def orphans_by_null(left: DataFrame, right: DataFrame, key: str = "id",
                     probe: str = "diameter_min_km") -> DataFrame:
-    """Key of every joined row whose ``probe`` is NULL: a left row with no partner
-    (once), or once per partner that lacks the value.  Not distinct.
+    """``(key, orphan_rows)``: keys whose left join leaves ``probe`` NULL, and how many
+    joined rows do -- a left row with no partner counts once, a left row with
+    partners once per partner lacking the value.
 
-    The partners are first reduced to one row per key (how many, how many without
-    the value), so the join never pairs rows within a key group; each left row is
-    then repeated as often as the left join would have repeated it.
+    The multiset of orphan rows is kept whole as a count.  Both sides are reduced
+    to one row per key first (map-side), so no pairs inside a key group are formed
+    and a hot key costs no more than any other.
     """
     partners = (right.where(F.col(key).isNotNull())
                 .groupBy(key)
                 .agg(F.count(F.lit(1)).alias("_partners"),
                      F.count(F.when(F.col(probe).isNull(), 1)).alias("_missing")))
-    j = sized_join(left.select(key), partners, key, "left")
-    times = F.when(F.col("_partners").isNull(), F.lit(1)).otherwise(F.col("_missing")).cast("int")
-    return (j.where(times > 0)
-            .select(key, F.explode(F.array_repeat(F.lit(True), times)).alias("_r"))
-            .select(key))
+    rows = left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    j = sized_join(rows, partners, key, "left")
+    times = F.when(F.col("_partners").isNull(), F.lit(1)).otherwise(F.col("_missing"))
+    return (j.select(key, (F.col("_rows") * times).cast("bigint").alias("orphan_rows"))
+            .where(F.col("orphan_rows") > 0))
 
 
 def orphans_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
@@ -39,7 +40,8 @@ def orphans_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("id
 def integrity_report(approaches: DataFrame, metadata: DataFrame, key: str = "id") -> DataFrame:
     """``(orphan_rows, orphan_ids)`` over the whole tables, as one row."""
     o = orphans_by_null(approaches, metadata, key)
-    return o.agg(F.count(F.lit(1)).alias("orphan_rows"), F.countDistinct(key).alias("orphan_ids"))
+    return o.agg(F.coalesce(F.sum("orphan_rows"), F.lit(0)).cast("bigint").alias("orphan_rows"),
+                 F.count(F.col(key)).alias("orphan_ids"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

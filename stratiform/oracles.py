@@ -142,9 +142,13 @@ def _r2(expr: str) -> str:
 ORACLES.update({
     "daily_summary_fanout": daily_summary_sql(SILVER_APPROACHES, FANOUT_METADATA),
     "join_left_fanout": f"""
+  WITH m AS (SELECT id, COUNT(*) AS metadata_rows,
+                    SUM(CAST(bajo_seguimiento_riesgo AS DOUBLE)) AS bajo_seguimiento_riesgo,
+                    MAX(diameter_max_km) AS diameter_max_km
+             FROM ({FANOUT_METADATA}) GROUP BY id)
   SELECT a.id, a.close_approach_date_full, a.fecha, a.relative_velocity_km_per_second,
-         m.diameter_max_km, m.bajo_seguimiento_riesgo
-  FROM ({SILVER_APPROACHES}) a LEFT JOIN ({FANOUT_METADATA}) m ON a.id = m.id""",
+         COALESCE(m.metadata_rows, 0) AS metadata_rows, m.bajo_seguimiento_riesgo, m.diameter_max_km
+  FROM ({SILVER_APPROACHES}) a LEFT JOIN m ON a.id = m.id""",
     "agg_count": f"""
   SELECT fecha, COUNT(id) AS cantidad_aproximaciones FROM ({_joined_sql()})
   WHERE fecha IS NOT NULL GROUP BY fecha""",
@@ -186,7 +190,8 @@ ORACLES.update({
     "flag_or": f"SELECT id, bajo_seguimiento_riesgo FROM ({SILVER_METADATA})",
     "round_half_even": f"SELECT event_id, {_r2('value / 8.0')} AS value_eighth FROM events",
     "orphans_by_null": """
-  SELECT d.doc_id FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NULL""",
+  SELECT d.doc_id, COUNT(*) AS orphan_rows
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NULL GROUP BY d.doc_id""",
     "orphans_by_key": """
   SELECT d.doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
     "dup_keys": f"""

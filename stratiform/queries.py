@@ -15,7 +15,9 @@ from stratiform.functions.expr import (
     FEED_DAY_FORMAT, FEED_TIME_FORMAT, bool_or_false, day_of, hour_of, parse_timestamp,
     round_half_even, to_double, to_id,
 )
-from stratiform.operators.aggregates import daily_summary, distinct_keys, layer_counts, summarize
+from stratiform.operators.aggregates import (
+    daily_summary, distinct_keys, fanout_left_join, layer_counts, summarize,
+)
 from stratiform.operators.incremental import insert_only_merge, lookup, pending_against
 from stratiform.operators.inspect import peek
 from stratiform.operators.joins import sized_join
@@ -89,8 +91,7 @@ def q_daily_summary_fanout(spark, sf):
 def q_join_left_fanout(spark, sf):
     a = silver_approaches(spark, sf).select("id", "close_approach_date_full", "fecha",
                                            "relative_velocity_km_per_second")
-    m = _fanout_metadata(spark, sf).select("id", "diameter_max_km", "bajo_seguimiento_riesgo")
-    return sized_join(a, m, "id", "left")
+    return fanout_left_join(a, _fanout_metadata(spark, sf))
 
 
 def _joined(spark, sf):

@@ -102,3 +102,20 @@ def test_layer_counts(spark):
     b = spark.range(0)
     got = {(r.layer, r.table): r.rows for r in layer_counts({("bronze", "a"): a, ("silver", "b"): b}).collect()}
     assert got == {("bronze", "a"): 3, ("silver", "b"): 0}
+
+
+def test_fanout_left_join_carries_the_weight(spark):
+    from stratiform.operators.aggregates import fanout_left_join
+    a = spark.createDataFrame([(1, D1, 1.0, 1.0), (2, D1, 2.0, 2.0), (None, D2, 3.0, 3.0)], A_SCHEMA)
+    m = spark.createDataFrame([(1, 7.5, True), (1, 2.0, None), (3, 1.0, False)], M_SCHEMA)
+    got = {r.relative_velocity_km_per_second: r for r in fanout_left_join(a, m).collect()}
+    assert (got[1.0].metadata_rows, got[1.0].bajo_seguimiento_riesgo, got[1.0].diameter_max_km) == (2, 1.0, 7.5)
+    assert (got[2.0].metadata_rows, got[2.0].bajo_seguimiento_riesgo) == (0, None)
+    assert got[3.0].metadata_rows == 0 and len(got) == 3
+
+
+def test_per_request_lookup_answers_once_per_request(spark):
+    from stratiform.operators.incremental import lookup
+    ids = spark.createDataFrame([("1",), ("1",)], "id string")
+    cat = spark.createDataFrame([("1", "a"), ("1", "a")], "id string, name string")
+    assert lookup(ids, cat).count() == 2

@@ -4,9 +4,13 @@ from stratiform.operators.quality import (
 
 
 def test_orphans_by_null_counts_rows_and_null_partners(spark):
+    a = spark.createDataFrame([(1,), (1,), (2,), (3,), (3,), (4,)], "id bigint")
+    m = spark.createDataFrame([(1, 5.0), (3, None), (3, None), (3, 1.0), (4, 2.0)],
+                              "id bigint, diameter_min_km double")
+    # id 2: no partner (1 row); id 3: 2 left rows x 2 partners without the value = 4 joined rows
+    assert sorted(tuple(r) for r in orphans_by_null(a, m).collect()) == [(2, 1), (3, 4)]
     a = spark.createDataFrame([(1,), (1,), (2,), (3,)], "id bigint")
     m = spark.createDataFrame([(1, 5.0), (3, None)], "id bigint, diameter_min_km double")
-    assert sorted(r.id for r in orphans_by_null(a, m).collect()) == [2, 3]
     assert sorted(r.id for r in orphans_by_key(a, m).collect()) == [2]
     r = integrity_report(a, m).first()
     assert (r.orphan_rows, r.orphan_ids) == (2, 2)
