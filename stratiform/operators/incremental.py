@@ -92,6 +92,20 @@ def pending_against(spark: SparkSession, batch: DataFrame, target_path: str, key
     return pending_rows(batch, read_table(spark, target_path, stored), keys, null_safe, measure_target)
 
 
+def first_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: the smallest whole row (columns compared in order).
+
+    Deterministic, unlike ``dropDuplicates``, so a replayed batch keeps the same
+    row; and an aggregate, so a hot key collapses map-side instead of being
+    sorted in one task.
+    """
+    others = [c for c in df.columns if c not in keys]
+    if not others:
+        return df.select(*keys).distinct()
+    picked = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in others])).alias("__row"))
+    return picked.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
+
+
 def partition_range_filter(batch: DataFrame, target: DataFrame, column: str, bounds=None) -> DataFrame:
     """Restrict ``target`` to the [min, max] of ``column`` in ``batch``.
 
@@ -112,7 +126,7 @@ def insert_only_merge(batch: DataFrame, path: str, keys: list[str], partition_by
     """Append the rows of ``batch`` whose key is not in the table at ``path``.
 
     Every unmatched source row is inserted, duplicates inside the batch
-    included, unless ``dedup_source``.  Keys compare with SQL ``=`` (NULL keys
+    included, unless ``dedup_source`` (then one row per key: the smallest).  Keys compare with SQL ``=`` (NULL keys
     never match and are inserted again) unless ``null_safe``.  A missing table is
     created from the whole batch.  ``prune_on`` names a partition column the keys
     determine, so only the target partitions the batch can touch are read.
@@ -121,7 +135,7 @@ def insert_only_merge(batch: DataFrame, path: str, keys: list[str], partition_by
     """
     spark = batch.sparkSession
     if dedup_source:
-        batch = batch.dropDuplicates(keys)
+        batch = first_row_per_key(batch, keys)
     if not path_exists(spark, path):
         write_table(batch, path, mode="overwrite", partition_by=partition_by)
         return path

@@ -254,6 +254,16 @@ ORACLES.update({
   SELECT * FROM t UNION ALL
   SELECT * FROM s WHERE NOT EXISTS (
     SELECT 1 FROM t WHERE t.id = s.id AND t.close_approach_date_full = s.close_approach_date_full)""",
+    "merge_insert_dedup": f"""
+  WITH t AS ({bronze_approaches_where(RUN1_WHERE)}),
+       s AS (SELECT DISTINCT ON (id, close_approach_date) *
+             FROM ({bronze_approaches_where(RUN2_WHERE)})
+             ORDER BY id, close_approach_date, name NULLS FIRST, close_approach_date_full NULLS FIRST,
+                      relative_velocity_km_per_second NULLS FIRST, miss_distance_km NULLS FIRST,
+                      orbiting_body NULLS FIRST, is_potentially_hazardous NULLS FIRST, fecha NULLS FIRST)
+  SELECT * FROM t UNION ALL
+  SELECT * FROM s WHERE NOT EXISTS (
+    SELECT 1 FROM t WHERE t.id = s.id AND t.close_approach_date = s.close_approach_date)""",
     "merge_insert_by_id": f"""
   WITH t AS (SELECT m.* FROM ({bronze_approaches_where(RUN1_WHERE)}) r JOIN ({BRONZE_METADATA}) m ON r.id = m.id),
        s AS ({BRONZE_METADATA})

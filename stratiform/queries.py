@@ -299,6 +299,16 @@ def q_merge_insert_by_ts(spark, sf):
     return read_table(spark, path, schemas.SILVER_APPROACHES)
 
 
+def q_merge_insert_dedup(spark, sf):
+    """As by day, but a key repeated inside the pull is inserted once (opt-in)."""
+    path = f"{_stage(spark, 'merge-dedup')}/bronze_approaches"
+    write_table(_run_bronze(spark, sf, 1), path, partition_by=schemas.APPROACHES_PARTITION)
+    insert_only_merge(_run_bronze(spark, sf, 2), path, schemas.BRONZE_APPROACHES_KEY,
+                      partition_by=schemas.APPROACHES_PARTITION, prune_on="fecha", dedup_source=True,
+                      schema=schemas.BRONZE_APPROACHES)
+    return read_table(spark, path, schemas.BRONZE_APPROACHES)
+
+
 def q_merge_insert_by_id(spark, sf):
     """Target: entities seen in run 1 (per request); batch: the whole catalog."""
     path = f"{_stage(spark, 'merge-id')}/bronze_metadata"
@@ -468,6 +478,7 @@ QUERIES = {
     "merge_insert_by_day": q_merge_insert_by_day,
     "merge_insert_by_ts": q_merge_insert_by_ts,
     "merge_insert_by_id": q_merge_insert_by_id,
+    "merge_insert_dedup": q_merge_insert_dedup,
     "gold_roundtrip": q_gold_roundtrip,
     "partition_roundtrip": q_partition_roundtrip,
     "migrate_layout": q_migrate_layout,

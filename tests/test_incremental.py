@@ -125,3 +125,10 @@ def test_overwrite_from_itself_is_safe(spark, scratch):
     df = spark.read.parquet(path)
     write_table(df.withColumn("x", F.col("x") + 1), path)
     assert sorted(r.x for r in spark.read.parquet(path).collect()) == [1, 3, 5, 7, 9]
+
+
+def test_first_row_per_key_is_deterministic(spark):
+    from stratiform.operators.incremental import first_row_per_key
+    df = spark.createDataFrame([(1, "b", 2.0), (1, "a", 9.0), (1, "a", 3.0), (2, None, 1.0)],
+                               "k bigint, s string, v double")
+    assert sorted(tuple(r) for r in first_row_per_key(df, ["k"]).collect()) == [(1, "a", 3.0), (2, None, 1.0)]
