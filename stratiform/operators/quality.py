@@ -54,9 +54,9 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     """``(column, nulls, rows)``: one pass, one partial aggregate per task."""
     cols = list(columns or df.columns)
     row = df.agg(F.count(F.lit(1)).alias("__rows"),
-                 *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"__n{i}") for i, c in enumerate(cols)])
-    pairs = ", ".join(f"'{c}', `__n{i}`" for i, c in enumerate(cols))
-    return row.selectExpr(f"stack({len(cols)}, {pairs}) as (column, nulls)", "__rows as rows")
+                 *[F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(c) for c in cols])
+    return (row.unpivot(["__rows"], [F.col(f"`{c}`") for c in cols], "column", "nulls")
+            .select("column", "nulls", F.col("__rows").alias("rows")))
 
 
 def name_lossless(metadata_bronze: DataFrame, key: str = "id", name: str = "name") -> DataFrame:

@@ -31,3 +31,9 @@ def test_name_lossless(spark):
     df = spark.createDataFrame([(1, "433 Eros (A898 PA)"), (2, "(2020 AB)"), (3, "2021"), (4, None)],
                                "id bigint, name string")
     assert sorted(r.id for r in name_lossless(df).collect()) == [1, 3]
+
+
+def test_null_profile_odd_names(spark):
+    df = spark.createDataFrame([(None, 1)], "`a.b` bigint, `it's` bigint")
+    got = {r.column: r.nulls for r in null_profile(df).collect()}
+    assert got == {"a.b": 1, "it's": 0}
