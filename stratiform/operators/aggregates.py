@@ -176,7 +176,10 @@ def daily_summary(approaches: DataFrame, metadata: DataFrame, key: str = "id", d
     ``auto`` counts the metadata rows first (one small job).  Under the bound
     the per-entity rows are broadcast and the approaches are never shuffled, so
     a hot id costs nothing; above it the pre-aggregated plan keeps every shuffle
-    compact and skew-free.  ``join_first`` is the literal join-then-group form.
+    compact and skew-free.  Forcing ``broadcast`` skips the count: the caller
+    vouches for the size.  ``join_first`` is the literal join-then-group form; it
+    forms one row per (approach, metadata) pair, so it suits unique metadata and
+    comparisons only.
     """
     if strategy == "auto":
         small = metadata.select(key).count() <= broadcast_max_rows
