@@ -114,21 +114,35 @@ FANOUT_METADATA = silver_meta_of(f"""
 BROKEN = "p_name LIKE 'hot %'"
 CATALOG_OK = f"SELECT * FROM ({BRONZE_METADATA}) WHERE CAST(id AS BIGINT) NOT IN (SELECT p_partkey FROM part WHERE {BROKEN})"
 
-# The lake after two pulls (bronze merges insert-only; lookups answer every request).
-TWO_RUNS = f"""
+def two_runs_sql(distinct_lookups: bool = False) -> str:
+    """CTEs of the lake after two pulls (bronze merges insert-only).
+
+    Lookups answer every request (an entity once per approach row), or each
+    entity once per pull with ``distinct_lookups``.
+    """
+    if distinct_lookups:
+        bm1 = "SELECT cat.* FROM cat WHERE cat.id IN (SELECT id FROM r1)"
+        new2 = "SELECT cat.* FROM cat WHERE cat.id IN (SELECT id FROM r2)"
+    else:
+        bm1 = "SELECT cat.* FROM r1 JOIN cat ON r1.id = cat.id"
+        new2 = "SELECT cat.* FROM r2 JOIN cat ON r2.id = cat.id"
+    return f"""
   r1 AS (SELECT * FROM ({FEED_FLAT} WHERE {RUN1_WHERE})),
   r2 AS (SELECT * FROM ({FEED_FLAT} WHERE {RUN2_WHERE})),
   ba AS (SELECT * FROM r1 UNION ALL
          SELECT * FROM r2 WHERE NOT EXISTS (
            SELECT 1 FROM r1 WHERE r1.id = r2.id AND r1.close_approach_date = r2.close_approach_date)),
   cat AS ({CATALOG_OK}),
-  bm1 AS (SELECT cat.* FROM r1 JOIN cat ON r1.id = cat.id),
+  bm1 AS ({bm1}),
   bm AS (SELECT * FROM bm1 UNION ALL
-         SELECT cat.* FROM r2 JOIN cat ON r2.id = cat.id WHERE cat.id NOT IN (SELECT id FROM bm1)),
+         SELECT * FROM ({new2}) n WHERE n.id NOT IN (SELECT id FROM bm1)),
   sa AS ({silver_of('SELECT * FROM ba')}),
   sm AS ({silver_meta_of('SELECT * FROM bm')})"""
 
 
+TWO_RUNS = two_runs_sql()
+
+
 def _joined_sql() -> str:
     return f"""
   SELECT a.*, m.diameter_max_km, CAST(m.bajo_seguimiento_riesgo AS DOUBLE) AS bajo_seguimiento_riesgo
@@ -290,6 +304,8 @@ ORACLES.update({
     "incremental_two_runs": f"WITH {TWO_RUNS} SELECT * FROM sa",
     "reprocess_equals_incremental": f"WITH {TWO_RUNS} SELECT * FROM sa",
     "e2e_daily_summary": f"WITH {TWO_RUNS} {daily_summary_sql('SELECT * FROM sa', 'SELECT * FROM sm')}",
+    "e2e_daily_summary_distinct":
+        f"WITH {two_runs_sql(True)} {daily_summary_sql('SELECT * FROM sa', 'SELECT * FROM sm')}",
     "integrity_report": f"""
   WITH {TWO_RUNS}
   SELECT COUNT(*) AS orphan_rows, COUNT(DISTINCT a.id) AS orphan_ids

@@ -42,18 +42,18 @@ def catalog_from(spark: SparkSession, path: str):
     return flatten_lookups(parsed)
 
 
-def two_runs(spark: SparkSession, sf: str, tag: str = "two-runs") -> Lake:
+def two_runs(spark: SparkSession, sf: str, tag: str = "two-runs", distinct_lookups: bool = False) -> Lake:
     """Lake after run 1 and run 2 (bronze, silver, gold).  Built once per session, sf and tag."""
-    key = (id(spark), sf, tag)
+    key = (id(spark), sf, tag, distinct_lookups)
     if key in _cache:
         return _cache[key]
     root = new_scratch_dir(spark, tag)
     lake = Lake(root)
     catalog = catalog_from(spark, land_lookups(spark, sf, root, broken=True))
     f1 = land_feed(spark, sf, root, RUN1_REF, RUN1_AS_OF, "feed-run1")
-    run_all(spark, lake, read_feed(spark, f1), catalog)
+    run_all(spark, lake, read_feed(spark, f1), catalog, distinct_lookups)
     f2 = land_feed(spark, sf, root, RUN2_REF, None, "feed-run2")
-    run_all(spark, lake, read_feed(spark, f2), catalog)
+    run_all(spark, lake, read_feed(spark, f2), catalog, distinct_lookups)
     _cache[key] = lake
     return lake
 

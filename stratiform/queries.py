@@ -407,6 +407,12 @@ def q_e2e_daily_summary(spark, sf):
     return read_table(spark, lake.gold_daily_summary, schemas.GOLD_DAILY_SUMMARY)
 
 
+def q_e2e_daily_summary_distinct(spark, sf):
+    """The same two pulls with each entity looked up once per pull (no metadata fan-out)."""
+    lake = scenario.two_runs(spark, sf, tag="two-runs-distinct", distinct_lookups=True)
+    return read_table(spark, lake.gold_daily_summary, schemas.GOLD_DAILY_SUMMARY)
+
+
 def q_integrity_report(spark, sf):
     lake = scenario.two_runs(spark, sf)
     return integrity_report(read_table(spark, lake.silver_approaches, schemas.SILVER_APPROACHES),
@@ -491,6 +497,7 @@ QUERIES = {
     "incremental_two_runs": q_incremental_two_runs,
     "reprocess_equals_incremental": q_reprocess_equals_incremental,
     "e2e_daily_summary": q_e2e_daily_summary,
+    "e2e_daily_summary_distinct": q_e2e_daily_summary_distinct,
     "integrity_report": q_integrity_report,
     "orphan_recovery": q_orphan_recovery,
     "layer_counts": q_layer_counts,
