@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.functions.expr import nan_to_null, round_half_even
-from stratiform.operators.joins import BROADCAST_MAX_BYTES, sized_join
+from stratiform.operators.joins import BROADCAST_MAX_BYTES, keys_bound, sized_join
 
 AGG_FUNCTIONS = ("count", "mean", "max", "min", "sum")
 
@@ -69,6 +69,10 @@ def _daily_join_first(a: DataFrame, m: DataFrame, key: str, day: str) -> DataFra
     ], round_cols=DAILY_ROUNDED)
 
 
+# Per-entity values besides the key: a bigint and two doubles.
+ENTITY_VALUE_BYTES = 24
+
+
 def entity_summary(m: DataFrame, key: str = "id") -> DataFrame:
     """One row per id: ``metadata_rows`` (how many metadata rows carry it), their
     flag sum ``bajo_seguimiento_riesgo`` (double, NULL when all flags are NULL) and
@@ -89,7 +93,9 @@ def fanout_left_join(approaches: DataFrame, metadata: DataFrame, key: str = "id"
     counts as one row then), plus the partners' flag sum and largest diameter.
     Nothing is dropped, and no pairs inside a key group are ever formed.
     """
-    joined = sized_join(approaches, entity_summary(metadata, key), key, "left")
+    # at most one row per metadata row: the key plus three fixed-width values
+    joined = sized_join(approaches, entity_summary(metadata, key), key, "left",
+                        size_bound=keys_bound(metadata, key, ENTITY_VALUE_BYTES))
     return joined.withColumn("metadata_rows", F.coalesce(F.col("metadata_rows"), F.lit(0)).cast("bigint"))
 
 
@@ -161,19 +167,13 @@ def _daily_preaggregated(a: DataFrame, m: DataFrame, key: str, day: str) -> Data
     return _finish(out)
 
 
-# Largest per-entity side shipped to every task: four fixed-width columns
-# (bigint, bigint, double, double) plus row overhead = 48 bytes per row, so this
-# many rows stay within the broadcast byte bound.  The metadata row count bounds
-# the per-entity row count from above.
-BROADCAST_MAX_ROWS = BROADCAST_MAX_BYTES // 48
-
-
 def daily_summary(approaches: DataFrame, metadata: DataFrame, key: str = "id", day: str = "fecha",
-                  strategy: str = "auto", broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                  strategy: str = "auto", broadcast_max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Per day: approaches (fan-out of duplicated metadata included), mean/max velocity,
     min/mean distance, flagged approaches (double), largest diameter; rounded to 2.
 
-    ``auto`` counts the metadata rows first (one small job).  Under the bound
+    ``auto`` measures the metadata keys first (one scan of the key column): the
+    per-entity rows take at most that plus 24 bytes per metadata row.  Under the bound
     the per-entity rows are broadcast and the approaches are never shuffled, so
     a hot id costs nothing; above it the pre-aggregated plan keeps every shuffle
     compact and skew-free.  Forcing ``broadcast`` skips the count: the caller
@@ -182,7 +182,7 @@ def daily_summary(approaches: DataFrame, metadata: DataFrame, key: str = "id", d
     comparisons only.
     """
     if strategy == "auto":
-        small = metadata.select(key).count() <= broadcast_max_rows
+        small = keys_bound(metadata, key, ENTITY_VALUE_BYTES)() <= broadcast_max_bytes
         strategy = "broadcast" if small else "preaggregate"
     if strategy == "broadcast":
         return _daily_broadcast_entities(approaches, metadata, key, day)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stratiform.operators.joins import fits_broadcast, sized_join
+from stratiform.operators.joins import fits_broadcast, keys_bound, measured_bytes, sized_join
 from stratiform.operators.storage import append_table, check_schema, write_table
 from stratiform.sources.landed import path_exists, read_table, stored_schema
 
@@ -160,9 +160,12 @@ def lookup(ids: DataFrame, catalog: DataFrame, key: str = "id", distinct: bool =
     """
     if distinct:
         # a hot id asked for many times collapses map-side before the semi join
-        return sized_join(catalog, ids.select(key).distinct(), key, "left_semi")
+        return sized_join(catalog, ids.select(key).distinct(), key, "left_semi",
+                          size_bound=keys_bound(ids, key))
     # one answer per request: a catalog holding an entity twice must not multiply
     # requests (no pairs inside a key group); the requests may be huge and skewed,
     # so they stay in place when the catalog is small
     answers = catalog.dropDuplicates([key])
-    return sized_join(ids.select(key), answers, key, "inner").select(*catalog.columns)
+    # the catalog as delivered bounds its de-duplicated form (measured by a scan only)
+    return sized_join(ids.select(key), answers, key, "inner",
+                      size_bound=lambda: measured_bytes(catalog)).select(*catalog.columns)

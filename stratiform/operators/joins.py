@@ -26,13 +26,15 @@ _BROADCASTABLE = {"left": "right", "left_outer": "right", "leftouter": "right",
                   "left_anti": "right", "leftanti": "right", "anti": "right"}
 
 
-def measured_bytes(df: DataFrame) -> int:
+def measured_bytes(df: DataFrame, extra_per_row: int = 0) -> int:
     """Upper bound of the in-memory size of ``df``: one aggregate, one row back.
 
     Fixed-width columns count their width, strings their real byte length plus a
     pointer; nested columns count their JSON text length (a generous bound).
+    ``extra_per_row`` adds fixed-width columns a derived frame will carry (so the
+    key columns of a source bound its per-key aggregate).
     """
-    fixed = _ROW_OVERHEAD
+    fixed = _ROW_OVERHEAD + extra_per_row
     var = []
     for f in df.schema.fields:
         width = next((w for t, w in _FIXED.items() if isinstance(f.dataType, t)), None)
@@ -54,12 +56,28 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
 
 
 def sized_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
-               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+               max_bytes: int = BROADCAST_MAX_BYTES, size_bound=None) -> DataFrame:
     """``left.join(right, on, how)``, broadcasting ``right`` when it measures under ``max_bytes``.
 
-    Only join types whose right side may be the build side are considered;
-    anything else is a plain join.
+    ``size_bound`` is a cheaper proven upper bound of ``right``'s size: either a
+    byte count or a callable returning one (evaluated only for broadcastable
+    join types), e.g. the measure of the frame ``right`` is aggregated or
+    de-duplicated from, which needs a scan but no shuffle.  Only join types whose
+    right side may be the build side are considered; anything else is a plain join.
     """
-    if how.lower() in _BROADCASTABLE and fits_broadcast(right, max_bytes):
-        right = F.broadcast(right)
+    if how.lower() in _BROADCASTABLE:
+        if size_bound is None:
+            size = measured_bytes(right)
+        else:
+            size = size_bound() if callable(size_bound) else size_bound
+        if size <= max_bytes:
+            right = F.broadcast(right)
     return left.join(right, on, how)
+
+
+def keys_bound(source: DataFrame, keys, extra_per_row: int = 0):
+    """A ``size_bound`` for a per-key aggregate or de-duplication of ``source``:
+    at most one row per source row, holding the keys plus ``extra_per_row`` bytes
+    of fixed-width values.  Measured by a scan of the key columns only."""
+    cols = [keys] if isinstance(keys, str) else list(keys)
+    return lambda: measured_bytes(source.select(*cols), extra_per_row)

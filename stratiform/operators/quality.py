@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.functions.expr import official_number, provisional_designation, rebuilt_name
-from stratiform.operators.joins import sized_join
+from stratiform.operators.joins import keys_bound, sized_join
 
 
 def orphans_by_null(left: DataFrame, right: DataFrame, key: str = "id",
@@ -26,7 +26,7 @@ def orphans_by_null(left: DataFrame, right: DataFrame, key: str = "id",
                 .agg(F.count(F.lit(1)).alias("_partners"),
                      F.count(F.when(F.col(probe).isNull(), 1)).alias("_missing")))
     rows = left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    j = sized_join(rows, partners, key, "left")
+    j = sized_join(rows, partners, key, "left", size_bound=keys_bound(right, key, 16))
     times = F.when(F.col("_partners").isNull(), F.lit(1)).otherwise(F.col("_missing"))
     return (j.select(key, (F.col("_rows") * times).cast("bigint").alias("orphan_rows"))
             .where(F.col("orphan_rows") > 0))
@@ -34,7 +34,8 @@ def orphans_by_null(left: DataFrame, right: DataFrame, key: str = "id",
 
 def orphans_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     """Left rows with no partner key at all (missing keys only)."""
-    return sized_join(left, right.select(*keys).distinct(), list(keys), "left_anti")
+    return sized_join(left, right.select(*keys).distinct(), list(keys), "left_anti",
+                      size_bound=keys_bound(right, keys))
 
 
 def integrity_report(approaches: DataFrame, metadata: DataFrame, key: str = "id") -> DataFrame:
