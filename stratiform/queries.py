@@ -20,7 +20,7 @@ from stratiform.operators.aggregates import (
 )
 from stratiform.operators.incremental import insert_only_merge, lookup, pending_against
 from stratiform.operators.inspect import peek
-from stratiform.operators.joins import sized_join
+from stratiform.operators.joins import keys_bound, sized_join
 from stratiform.operators.nested import feed_element_check, flatten_feed, flatten_lookups
 from stratiform.operators.quality import (
     duplicate_keys, integrity_report, name_lossless, null_profile, orphans_by_key, orphans_by_null,
@@ -250,7 +250,8 @@ def _stage(spark, tag: str) -> str:
 def q_pending_by_id(spark, sf):
     root = _stage(spark, "pending-by-id")
     seen = load(spark, sf, "events").select(F.col("user_id").cast("string").alias("id"))
-    done = sized_join(bronze_metadata(spark, sf), seen.distinct(), "id", "left_semi").transform(transform_metadata)
+    done = sized_join(bronze_metadata(spark, sf), seen.distinct(), "id", "left_semi",
+                      size_bound=keys_bound(seen, "id")).transform(transform_metadata)
     write_table(done, f"{root}/silver_metadata")
     batch = bronze_metadata(spark, sf).withColumn("id", to_id("id"))
     return pending_against(spark, batch, f"{root}/silver_metadata", ["id"], schemas.SILVER_METADATA,
