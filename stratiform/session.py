@@ -17,8 +17,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # target size of coalesced shuffle partitions and of rebalanced write tasks
+    # target size of coalesced shuffle partitions and of rebalanced write tasks;
+    # honour it rather than maximise parallelism (which yields many small files)
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # No broadcast from file-size guesses; AQE broadcasts a side only after its
     # shuffle has measured it.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
