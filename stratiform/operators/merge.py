@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stratiform.operators.joins import fits_broadcast, keys_bound, measured_bytes, sized_join
-from stratiform.operators.storage import append_table, check_schema, write_table
+from stratiform.operators.tables import append_table, check_schema, write_table
 from stratiform.sources.landed import path_exists, read_table, stored_schema
 
 

@@ -21,7 +21,7 @@ from stratiform.operators.aggregates import layer_counts
 from stratiform.operators.inspect import column_types, peek
 from stratiform.operators.nested import flatten_lookups
 from stratiform.operators.quality import integrity_report
-from stratiform.operators.storage import Move, migrate_layout
+from stratiform.operators.tables import Move, migrate_layout
 from stratiform.paths import Lake
 from stratiform.plans.jobs import recover_orphans, reprocess_silver, run_all, run_gold, run_silver
 from stratiform.sources.landed import literal_ids, read_feed, read_lookup_documents, table_or_empty

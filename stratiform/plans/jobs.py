@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from stratiform import schemas
 from stratiform.operators.aggregates import daily_summary
-from stratiform.operators.incremental import insert_only_merge, lookup, pending_against, pending_rows
+from stratiform.operators.merge import insert_only_merge, lookup, pending_against, pending_rows
 from stratiform.operators.nested import feed_objects, flatten_objects, rejected_objects
 from stratiform.operators.quality import integrity_report, orphans_by_key
-from stratiform.operators.storage import append_table, write_table
+from stratiform.operators.tables import append_table, write_table
 from stratiform.operators.transforms import transform_approaches, transform_metadata
 from stratiform.paths import Lake
 from stratiform.sources.landed import path_exists, read_table

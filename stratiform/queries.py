@@ -18,14 +18,14 @@ from stratiform.functions.expr import (
 from stratiform.operators.aggregates import (
     daily_summary, distinct_keys, fanout_left_join, layer_counts, summarize,
 )
-from stratiform.operators.incremental import insert_only_merge, lookup, pending_against
+from stratiform.operators.merge import insert_only_merge, lookup, pending_against
 from stratiform.operators.inspect import peek
 from stratiform.operators.joins import keys_bound, sized_join
 from stratiform.operators.nested import feed_element_check, flatten_feed, flatten_lookups
 from stratiform.operators.quality import (
     duplicate_keys, integrity_report, name_lossless, null_profile, orphans_by_key, orphans_by_null,
 )
-from stratiform.operators.storage import Move, migrate_layout, write_table
+from stratiform.operators.tables import Move, migrate_layout, write_table
 from stratiform.operators.transforms import transform_approaches, transform_metadata
 from stratiform.paths import Lake
 from stratiform.plans import scenario

@@ -1,7 +1,7 @@
 """Declared schemas: the landed JSON documents and the layer tables.
 
 Parquet does not enforce a schema, so every read of a layer table passes the
-declared one and every write is checked against it (see operators.storage).
+declared one and every write is checked against it (see operators.tables).
 """
 
 from pyspark.sql.types import (
@@ -31,6 +31,8 @@ FEED = StructType([
 ])
 
 # --- landed lookup document: one entity -------------------------------------
+# The field names of both landed documents (feed and lookup) are
+# those of the public feed format they come from, including nasa_jpl_url.
 LOOKUP = StructType([
     StructField("id", StringType()),
     StructField("name", StringType()),

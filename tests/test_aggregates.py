@@ -115,7 +115,7 @@ def test_fanout_left_join_carries_the_weight(spark):
 
 
 def test_per_request_lookup_answers_once_per_request(spark):
-    from stratiform.operators.incremental import lookup
+    from stratiform.operators.merge import lookup
     ids = spark.createDataFrame([("1",), ("1",)], "id string")
     cat = spark.createDataFrame([("1", "a"), ("1", "a")], "id string, name string")
     assert lookup(ids, cat).count() == 2

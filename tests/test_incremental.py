@@ -2,8 +2,8 @@ import datetime as dt
 
 import pytest
 
-from stratiform.operators.incremental import insert_only_merge, lookup, pending_against, pending_rows
-from stratiform.operators.storage import SchemaMismatch, write_table
+from stratiform.operators.merge import insert_only_merge, lookup, pending_against, pending_rows
+from stratiform.operators.tables import SchemaMismatch, write_table
 from stratiform.sources.landed import read_table, table_or_empty
 
 SCHEMA = "id bigint, ts timestamp_ntz, v double, fecha date"
@@ -128,7 +128,7 @@ def test_overwrite_from_itself_is_safe(spark, scratch):
 
 
 def test_first_row_per_key_is_deterministic(spark):
-    from stratiform.operators.incremental import first_row_per_key
+    from stratiform.operators.merge import first_row_per_key
     df = spark.createDataFrame([(1, "b", 2.0), (1, "a", 9.0), (1, "a", 3.0), (2, None, 1.0)],
                                "k bigint, s string, v double")
     assert sorted(tuple(r) for r in first_row_per_key(df, ["k"]).collect()) == [(1, "a", 3.0), (2, None, 1.0)]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from conftest import SF_ORACLE as SF_SMALL  # sf0.001 has no orphans; sf0.01 does
 from stratiform import schemas
 from stratiform.operators.aggregates import daily_summary
-from stratiform.operators.incremental import pending_against
+from stratiform.operators.merge import pending_against
 from stratiform.operators.quality import orphans_by_key
 from stratiform.operators.transforms import transform_approaches
 from stratiform.paths import Lake
@@ -85,7 +85,7 @@ def test_changed_transform_reaches_old_rows_only_through_reprocess(spark, scratc
     applied to every old row by the reprocess (schema replaced)."""
     import pytest
 
-    from stratiform.operators.storage import SchemaMismatch, append_table
+    from stratiform.operators.tables import SchemaMismatch, append_table
 
     lake = scenario.two_runs(spark, SF_SMALL)
     out = Lake(scratch("schema"))
@@ -95,7 +95,7 @@ def test_changed_transform_reaches_old_rows_only_through_reprocess(spark, scratc
     widened = old.withColumn("diametro_medio_km", (F.col("diameter_min_km") + F.col("diameter_max_km")) / 2)
     with pytest.raises(SchemaMismatch):
         append_table(widened.limit(1), out.silver_metadata)
-    from stratiform.operators.storage import write_table
+    from stratiform.operators.tables import write_table
     write_table(widened, out.silver_metadata, mode="overwrite", replace_schema=True)
     again = spark.read.parquet(out.silver_metadata)
     assert "diametro_medio_km" in again.columns and again.count() == n_old
