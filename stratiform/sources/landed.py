@@ -15,7 +15,12 @@ from stratiform import schemas
 
 
 def read_feed(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Feed documents.  A malformed document aborts the read (FAILFAST), like a failed pull."""
+    """Feed documents.  A malformed document aborts the read (FAILFAST), like a failed pull.
+
+    JSON lines (the default) are split across tasks by size, so one huge landed
+    file is no hot spot.  ``multi_line`` files are read whole by one task each:
+    use it only for pull-sized documents (a pull covers at most a 7-day window).
+    """
     return (spark.read.schema(schemas.FEED)
             .option("mode", "FAILFAST")
             .option("multiLine", multi_line)
