@@ -104,3 +104,18 @@ def test_ingest_keeps_rejects_and_reads_multiline_documents(spark, tmp_path, scr
     assert ingest_bronze(lake, feed, lookups) is not None
     assert spark.read.parquet(lake.bronze_approaches).count() == 3
     assert [r.id for r in spark.read.parquet(lake.bronze_rejects).collect()] == ["77"]
+
+
+def test_one_large_landed_file_is_read_in_parallel(spark, scratch):
+    from conftest import SF_ORACLE
+    from stratiform.sources.standins import feed_documents, load
+    path = f"{scratch('one-file')}/feed"
+    feed_documents(load(spark, SF_ORACLE, "events")).coalesce(1).write.text(path)  # a single file
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 * 1024))
+    try:
+        feed = read_feed(spark, path)
+        assert feed.rdd.getNumPartitions() > 1
+        assert flatten_feed(feed).count() == 10000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
