@@ -52,3 +52,19 @@ def test_quality_reports_under_skew(spark):
     m = Q.silver_metadata(spark, SF_ORACLE).where(F.col("id") != HOT)
     got = orphans_by_null(a, m).where(F.col("id") == HOT).first().orphan_rows
     assert got == a.where(F.col("id") == HOT).count()
+
+
+def test_anti_join_salts_a_hot_batch_key(spark):
+    from stratiform.operators.merge import anti_by_keys
+    a = _skewed(spark)
+    target = a.where(F.col("fecha") <= "2024-01-10")
+    # key id: the hot id is the one hot key
+    plain = _bag(anti_by_keys(a, target.where(F.col("id") != HOT), ["id"], False, hot_key_rows=10 ** 12))
+    salted = anti_by_keys(a, target.where(F.col("id") != HOT), ["id"], False, hot_key_rows=100, salts=8)
+    assert "__salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+    got = _bag(salted)
+    assert got == plain and sum(1 for r in got if r[0] == HOT) == a.where(F.col("id") == HOT).count()
+    # composite null-safe key, every key salted
+    keys = ["id", "close_approach_date_full"]
+    plain2 = _bag(anti_by_keys(a, target, keys, True, hot_key_rows=10 ** 12))
+    assert _bag(anti_by_keys(a, target, keys, True, hot_key_rows=0, salts=4)) == plain2 and len(plain2) > 0

@@ -46,20 +46,27 @@ def main():
     spark = build_session(extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
                                  "spark.eventLog.compress": "false",
                                  "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                                 # several input splits, as on a cluster (skew splitting groups map outputs)
+                                 "spark.sql.files.maxPartitionBytes": str(256 * 1024),
                                  "spark.sql.shuffle.partitions": "16"})
     ev = load(spark, sf, "events")
     ev = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(HOT)).otherwise(F.col("user_id")))
     a = approaches_from_events(ev).transform(transform_approaches)
     m = Q._fanout_metadata(spark, sf)
     runs = [
-        ("join_then_group (sort-merge, no broadcast)", lambda: _join_then_group(a, m), "-1"),
-        ("auto (measured broadcast of per-entity rows)", lambda: daily_summary(a, m, strategy="auto"), "32MB"),
-        ("preaggregate (above the broadcast bound)", lambda: daily_summary(a, m, strategy="preaggregate"), "-1"),
+        ("join_then_group (sort-merge, no broadcast)", lambda: _join_then_group(a, m), "-1", {}),
+        ("auto (measured broadcast of per-entity rows)", lambda: daily_summary(a, m, strategy="auto"), "32MB", {}),
+        ("preaggregate (above the broadcast bound)", lambda: daily_summary(a, m, strategy="preaggregate"), "-1",
+         {}),
     ]
-    for name, fn, threshold in runs:
-        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
+    for name, fn, threshold, extra in runs:
+        saved = {k: spark.conf.get(k) for k in extra}
+        for k, v in {**extra, "spark.sql.adaptive.autoBroadcastJoinThreshold": threshold}.items():
+            spark.conf.set(k, v)
         spark.sparkContext.setJobGroup(name, name)
         fn().write.format("noop").mode("overwrite").save()
+        for k, v in saved.items():
+            spark.conf.set(k, v)
     spark.stop()
     _report(log_dir, [r[0] for r in runs])
 
@@ -84,7 +91,8 @@ def _report(log_dir, names):
                         tasks[e["Stage ID"]].append(rec)
     print("# Task balance with one id holding a third of the approaches\n")
     print("Generated by `python tools/skew_report.py` (sf0.1 events, every third event re-keyed to one id,")
-    print("per-request metadata; 16 shuffle partitions, not coalesced; Spark event log in a fresh scratch folder). For every")
+    print("per-request metadata; 256 KB input splits; 16 shuffle partitions, not coalesced; Spark event log in a")
+    print("fresh scratch folder). For every")
     print("shuffle-reading stage: tasks, records read in total, and the largest share one task read. The")
     print("broadcast threshold is off for the first and third plan so that they run as they would with")
     print("metadata too large to broadcast.\n")
