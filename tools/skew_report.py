@@ -21,6 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from stratiform import queries as Q  # noqa: E402
 from stratiform.operators.aggregates import daily_summary, summarize  # noqa: E402
+from stratiform.operators.merge import anti_by_keys  # noqa: E402
 from stratiform.operators.transforms import transform_approaches  # noqa: E402
 from stratiform.session import build_session  # noqa: E402
 from stratiform.sources.standins import approaches_from_events, load  # noqa: E402
@@ -53,11 +54,17 @@ def main():
     ev = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(HOT)).otherwise(F.col("user_id")))
     a = approaches_from_events(ev).transform(transform_approaches)
     m = Q._fanout_metadata(spark, sf)
+    target = a.where((F.col("fecha") <= "2024-01-10") & (F.col("id") != HOT))
     runs = [
         ("join_then_group (sort-merge, no broadcast)", lambda: _join_then_group(a, m), "-1", {}),
         ("auto (measured broadcast of per-entity rows)", lambda: daily_summary(a, m, strategy="auto"), "32MB", {}),
         ("preaggregate (above the broadcast bound)", lambda: daily_summary(a, m, strategy="preaggregate"), "-1",
          {}),
+        # pending/merge anti join keyed by id against a target lacking the hot id
+        ("anti join, hot id not salted", lambda: anti_by_keys(a, target, ["id"], False, hot_key_rows=10 ** 12),
+         "-1", {}),
+        ("anti join, hot id salted (threshold 10k rows, 16 salts)",
+         lambda: anti_by_keys(a, target, ["id"], False, hot_key_rows=10_000, salts=16), "-1", {}),
     ]
     for name, fn, threshold, extra in runs:
         saved = {k: spark.conf.get(k) for k in extra}
