@@ -9,6 +9,8 @@ join is a normal shuffle join, with AQE skew handling on the left side.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -81,3 +83,44 @@ def keys_bound(source: DataFrame, keys, extra_per_row: int = 0):
     of fixed-width values.  Measured by a scan of the key columns only."""
     cols = [keys] if isinstance(keys, str) else list(keys)
     return lambda: measured_bytes(source.select(*cols), extra_per_row)
+
+
+# Left keys holding more rows than this are spread over SALTS tasks in a shuffle
+# join (the right side's rows for such a key are replicated once per salt).
+HOT_KEY_ROWS = 1_000_000
+SALTS = 32
+
+
+def skew_safe_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str],
+                   how: str, hot_key_rows: int = HOT_KEY_ROWS, salts: int = SALTS) -> DataFrame:
+    """Equi-join ``left[left_keys] == right[right_keys]`` that survives a hot left key.
+
+    Hot keys are found by a map-side combined count of the left keys (at most
+    rows / ``hot_key_rows`` of them, so the list is small; it is measured before
+    it is broadcast).  Their left rows get a salt from a hash of the row and its
+    input split, and their right rows are replicated once per salt, so every left
+    row still meets all its partners and the result is the same; only the hot
+    keys' right rows are replicated.  For inner, left outer, left semi and left
+    anti joins.  Without hot keys this is the plain join.
+    """
+    cond = reduce(lambda a, b: a & b, [left[lk] == right[rk] for lk, rk in zip(left_keys, right_keys)])
+    hot = (left.groupBy(*left_keys).agg(F.count(F.lit(1)).alias("__n"))
+           .where(F.col("__n") > hot_key_rows).select(*left_keys))
+    if hot.isEmpty():
+        return left.join(right, cond, how)
+    if not fits_broadcast(hot):
+        raise ValueError("too many hot keys to salt; raise hot_key_rows")
+    row_hash = F.xxhash64(*[F.col(c) for c in left.columns], F.spark_partition_id())
+    salted_left = (left.join(F.broadcast(hot.withColumn("__hot_l", F.lit(True))), left_keys, "left")
+                   .withColumn("__salt_l", F.when(F.col("__hot_l"), F.pmod(row_hash, F.lit(salts)))
+                               .otherwise(F.lit(0)).cast("int"))
+                   .drop("__hot_l"))
+    hot_r = F.broadcast(hot.select(*[F.col(lk).alias(rk) for lk, rk in zip(left_keys, right_keys)])
+                        .withColumn("__hot_r", F.lit(True)))
+    salted_right = (right.join(hot_r, right_keys, "left")
+                    .withColumn("__salt_r", F.explode(F.when(F.col("__hot_r"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                                      .otherwise(F.array(F.lit(0)))))
+                    .drop("__hot_r"))
+    cond = reduce(lambda a, b: a & b, [salted_left[lk] == salted_right[rk] for lk, rk in zip(left_keys, right_keys)])
+    joined = salted_left.join(salted_right, cond & (salted_left["__salt_l"] == salted_right["__salt_r"]), how)
+    return joined.drop("__salt_l", "__salt_r")

@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stratiform.operators.joins import fits_broadcast, keys_bound, measured_bytes, sized_join
+from stratiform.operators.joins import (
+    BROADCAST_MAX_BYTES, HOT_KEY_ROWS, SALTS, fits_broadcast, keys_bound, measured_bytes, sized_join,
+    skew_safe_join,
+)
 from stratiform.operators.tables import append_table, check_schema, write_table
 from stratiform.sources.landed import path_exists, read_table, stored_schema
 
@@ -46,12 +49,6 @@ def _match_columns(df: DataFrame, keys: list[str], null_safe: bool, prefix: str)
     return cols
 
 
-# Batch keys holding more rows than this are spread over SALTS tasks in the anti
-# join (the target's copy of such a key is replicated once per salt).
-HOT_KEY_ROWS = 1_000_000
-SALTS = 32
-
-
 def anti_by_keys(batch: DataFrame, target: DataFrame, keys: list[str], null_safe: bool,
                  measure_target: bool = False, hot_key_rows: int = HOT_KEY_ROWS, salts: int = SALTS) -> DataFrame:
     """Rows of ``batch`` with no key match in ``target``.
@@ -63,15 +60,8 @@ def anti_by_keys(batch: DataFrame, target: DataFrame, keys: list[str], null_safe
     A target that grows with history is left to AQE (broadcast only once its
     shuffle has measured it).  ``measure_target`` is for entity-sized targets:
     their key columns are measured first and, under the bound, broadcast, so the
-    batch is not shuffled at all.
-
-    Otherwise a batch key holding more than ``hot_key_rows`` rows would land in one
-    task of the shuffle join, so such keys are salted: found by a map-side
-    combined count (at most rows / ``hot_key_rows`` of them, so the list is small
-    and measured before it is broadcast), their batch rows spread over ``salts``
-    tasks by a hash of the row and its input split, and only their target keys
-    replicated per salt.  Existence does not depend on the salt, so the result is
-    the same rows.
+    batch is not shuffled at all.  Otherwise a batch key holding more than
+    ``hot_key_rows`` rows is salted over ``salts`` tasks (``skew_safe_join``).
     """
     left_cols = _match_columns(batch, keys, null_safe, "__b_")
     right = target.select(*_match_columns(target, keys, null_safe, "__t_"))
@@ -82,28 +72,8 @@ def anti_by_keys(batch: DataFrame, target: DataFrame, keys: list[str], null_safe
         right = F.broadcast(right.distinct())
         cond = reduce(lambda a, b: a & b, [left[b] == right[t] for b, t in zip(bnames, tnames)])
         return left.join(right, cond, "left_anti").select(*batch.columns)
-    hot = (left.groupBy(*bnames).agg(F.count(F.lit(1)).alias("__n"))
-           .where(F.col("__n") > hot_key_rows).select(*bnames))
-    if hot.isEmpty():
-        right = right.distinct()
-        cond = reduce(lambda a, b: a & b, [left[b] == right[t] for b, t in zip(bnames, tnames)])
-        return left.join(right, cond, "left_anti").select(*batch.columns)
-    if not fits_broadcast(hot):
-        raise ValueError("too many hot keys to salt; raise hot_key_rows")
-    hot_b = F.broadcast(hot.withColumn("__hot", F.lit(True)))
-    row_hash = F.xxhash64(*[F.col(c) for c in batch.columns], F.spark_partition_id())
-    salted_left = (left.join(hot_b, bnames, "left")
-                   .withColumn("__salt", F.when(F.col("__hot"), F.pmod(row_hash, F.lit(salts)))
-                               .otherwise(F.lit(0)).cast("int")))
-    hot_t = F.broadcast(hot.select(*[F.col(b).alias(t) for b, t in zip(bnames, tnames)])
-                        .withColumn("__hot", F.lit(True)))
-    salted_right = (right.distinct().join(hot_t, tnames, "left")
-                    .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                                    .otherwise(F.array(F.lit(0)))))
-                    .select(*tnames, F.col("__salt").alias("__t_salt")))
-    cond = reduce(lambda a, b: a & b, [salted_left[b] == salted_right[t] for b, t in zip(bnames, tnames)])
-    cond = cond & (salted_left["__salt"] == salted_right["__t_salt"])
-    return salted_left.join(salted_right, cond, "left_anti").select(*batch.columns)
+    return skew_safe_join(left, right.distinct(), bnames, tnames, "left_anti",
+                          hot_key_rows, salts).select(*batch.columns)
 
 
 def pending_rows(batch: DataFrame, target: DataFrame | None, keys: list[str], null_safe: bool = True,
@@ -200,6 +170,11 @@ def lookup(ids: DataFrame, catalog: DataFrame, key: str = "id", distinct: bool =
     # requests (no pairs inside a key group); the requests may be huge and skewed,
     # so they stay in place when the catalog is small
     answers = catalog.dropDuplicates([key])
+    requests = ids.select(key)
     # the catalog as delivered bounds its de-duplicated form (measured by a scan only)
-    return sized_join(ids.select(key), answers, key, "inner",
-                      size_bound=lambda: measured_bytes(catalog)).select(*catalog.columns)
+    if measured_bytes(catalog) <= BROADCAST_MAX_BYTES:
+        return requests.join(F.broadcast(answers), key, "inner").select(*catalog.columns)
+    # too large to broadcast: a shuffle join in which a hot requested id is salted
+    renamed = answers.withColumnRenamed(key, "__r_key")
+    return skew_safe_join(requests, renamed, [key], ["__r_key"], "inner").select(
+        *[F.col("__r_key").alias(key) if c == key else F.col(c) for c in catalog.columns])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stratiform.functions.expr import official_number, provisional_designation, rebuilt_name
 from stratiform.operators.joins import keys_bound, sized_join
+from stratiform.operators.merge import anti_by_keys
 
 
 def orphans_by_null(left: DataFrame, right: DataFrame, key: str = "id",
@@ -34,8 +35,8 @@ def orphans_by_null(left: DataFrame, right: DataFrame, key: str = "id",
 
 def orphans_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     """Left rows with no partner key at all (missing keys only)."""
-    return sized_join(left, right.select(*keys).distinct(), list(keys), "left_anti",
-                      size_bound=keys_bound(right, keys))
+    # existence only: partner keys broadcast when measured small, else a hot left key is salted
+    return anti_by_keys(left, right, list(keys), null_safe=False, measure_target=True)
 
 
 def integrity_report(approaches: DataFrame, metadata: DataFrame, key: str = "id") -> DataFrame:

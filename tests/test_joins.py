@@ -19,3 +19,15 @@ def test_sized_join_broadcasts_only_under_the_bound(spark):
     plan = _plan(sized_join(big, small, "k", "left", max_bytes=10))
     assert "BroadcastExchange" not in plan.split("Initial Plan")[0] or "SortMergeJoin" in plan
     assert sized_join(big, small, "k", "left", max_bytes=10).count() == 1000
+
+
+def test_skew_safe_join_equals_plain_join(spark):
+    from stratiform.operators.joins import skew_safe_join
+    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("k"),
+                                    F.col("id").alias("v"))
+    right = spark.createDataFrame([(7, "hot"), (7, "hot2"), (1, "one"), (99, "none")], "rk bigint, name string")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain = sorted(tuple(r) for r in left.join(right, left["k"] == right["rk"], how).collect())
+        salted_df = skew_safe_join(left, right, ["k"], ["rk"], how, hot_key_rows=100, salts=8)
+        assert sorted(tuple(r) for r in salted_df.collect()) == plain, how
+        assert "__salt_l" not in salted_df.columns
