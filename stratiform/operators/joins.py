@@ -14,8 +14,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    BooleanType, ByteType, DateType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType,
-    TimestampNTZType, TimestampType,
+    BooleanType, ByteType, DateType, DoubleType, FloatType, IntegerType, LongType, MapType, ShortType,
+    StringType, TimestampNTZType, TimestampType,
 )
 
 # fixed value: largest side shipped to every task (in-memory bound, bytes)
@@ -110,7 +110,9 @@ def skew_safe_join(left: DataFrame, right: DataFrame, left_keys: list[str], righ
         return left.join(right, cond, how)
     if not fits_broadcast(hot):
         raise ValueError("too many hot keys to salt; raise hot_key_rows")
-    row_hash = F.xxhash64(*[F.col(c) for c in left.columns], F.spark_partition_id())
+    # salt from the row's content and its input split (maps cannot be hashed; skip them)
+    hashable = [F.col(f"`{f.name}`") for f in left.schema.fields if not isinstance(f.dataType, MapType)]
+    row_hash = F.xxhash64(*hashable, F.spark_partition_id())
     salted_left = (left.join(F.broadcast(hot.withColumn("__hot_l", F.lit(True))), left_keys, "left")
                    .withColumn("__salt_l", F.when(F.col("__hot_l"), F.pmod(row_hash, F.lit(salts)))
                                .otherwise(F.lit(0)).cast("int"))

@@ -31,3 +31,12 @@ def test_skew_safe_join_equals_plain_join(spark):
         salted_df = skew_safe_join(left, right, ["k"], ["rk"], how, hot_key_rows=100, salts=8)
         assert sorted(tuple(r) for r in salted_df.collect()) == plain, how
         assert "__salt_l" not in salted_df.columns
+
+
+def test_skew_safe_join_with_map_and_dotted_columns(spark):
+    from stratiform.operators.joins import skew_safe_join
+    left = spark.range(500).select((F.col("id") % 2).alias("k"), F.create_map(F.lit("a"), F.col("id")).alias("m"),
+                                   F.col("id").alias("a.b"))
+    right = spark.createDataFrame([(0, "zero")], "rk bigint, name string")
+    got = skew_safe_join(left, right, ["k"], ["rk"], "inner", hot_key_rows=10, salts=4)
+    assert got.count() == 250
