@@ -123,7 +123,8 @@ def recover_orphans(spark: SparkSession, lake: Lake, catalog: DataFrame, ids: Da
     if ids is None:
         sa = read_table(spark, lake.silver_approaches, schemas.SILVER_APPROACHES)
         sm = read_table(spark, lake.silver_metadata, schemas.SILVER_METADATA)
-        ids = orphans_by_key(sa.select("id"), sm, ["id"]).distinct()
+        # one row per id before the anti join (a hot id collapses map-side)
+        ids = orphans_by_key(sa.select("id").distinct(), sm, ["id"])
     wanted = ids.select(F.col("id").cast("string").alias("id"))
     found = lookup(wanted, catalog, distinct=True)
     insert_only_merge(found, lake.bronze_metadata, keys=schemas.METADATA_KEY, schema=schemas.BRONZE_METADATA,
