@@ -132,3 +132,33 @@ def test_first_row_per_key_is_deterministic(spark):
     df = spark.createDataFrame([(1, "b", 2.0), (1, "a", 9.0), (1, "a", 3.0), (2, None, 1.0)],
                                "k bigint, s string, v double")
     assert sorted(tuple(r) for r in first_row_per_key(df, ["k"]).collect()) == [(1, "a", 3.0), (2, None, 1.0)]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 3)), max_size=12)
+
+
+def _model(base, batch, null_safe, dedup):
+    def match(a, b):
+        return a == b if null_safe else (a is not None and a == b)
+    if dedup:
+        seen = {}
+        for r in sorted(batch, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+            seen.setdefault(r[0], r)
+        batch = list(seen.values())
+    return sorted(base + [r for r in batch if not any(match(r[0], t[0]) for t in base)],
+                  key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(base=_rows, batch=_rows, null_safe=st.booleans(), dedup=st.booleans())
+def test_merge_matches_a_python_model(spark, scratch, base, batch, null_safe, dedup):
+    schema = "k bigint, v bigint"
+    path = f"{scratch('prop')}/t"
+    insert_only_merge(spark.createDataFrame(base, schema), path, ["k"])
+    insert_only_merge(spark.createDataFrame(batch, schema), path, ["k"], null_safe=null_safe, dedup_source=dedup)
+    got = sorted((tuple(r) for r in spark.read.parquet(path).collect()),
+                 key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    assert got == _model(base, batch, null_safe, dedup)
