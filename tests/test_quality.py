@@ -37,3 +37,31 @@ def test_null_profile_odd_names(spark):
     df = spark.createDataFrame([(None, 1)], "`a.b` bigint, `it's` bigint")
     got = {r.column: r.nulls for r in null_profile(df).collect()}
     assert got == {"a.b": 1, "it's": 0}
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(left=st.lists(st.one_of(st.none(), st.integers(0, 4)), max_size=12),
+       right=st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.floats(0, 9, allow_nan=False))),
+                      max_size=10))
+def test_counts_equal_the_literal_left_merge(spark, left, right):
+    import pandas as pd
+
+    from stratiform.operators.aggregates import fanout_left_join
+    pl = pd.DataFrame({"id": pd.array(left, dtype="Int64")})
+    pr = pd.DataFrame({"id": pd.array([r[0] for r in right], dtype="Int64"),
+                       "diameter_min_km": [r[1] for r in right]})
+    merged = pl.merge(pr, on="id", how="left")
+    exp = merged[merged["diameter_min_km"].isna()].groupby("id", dropna=False).size()
+    exp = {(None if pd.isna(k) else int(k)): int(v) for k, v in exp.items()}
+    a = spark.createDataFrame([(x,) for x in left], "id bigint")
+    m = spark.createDataFrame(right, "id bigint, diameter_min_km double")
+    got = {r.id: r.orphan_rows for r in orphans_by_null(a, m).collect()}
+    assert got == exp
+    # the weight of the fan-out join equals the plain merge's rows per left row
+    meta = m.selectExpr("id", "diameter_min_km as diameter_max_km", "true as bajo_seguimiento_riesgo")
+    w = sum(max(r.metadata_rows, 1) for r in fanout_left_join(a, meta).collect())
+    assert w == len(merged)
