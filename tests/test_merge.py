@@ -137,7 +137,7 @@ def test_first_row_per_key_is_deterministic(spark):
 from hypothesis import HealthCheck, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
-_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 3)), max_size=12)
+_kv_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 3)), max_size=12)
 
 
 def _model(base, batch, null_safe, dedup):
@@ -153,7 +153,7 @@ def _model(base, batch, null_safe, dedup):
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(base=_rows, batch=_rows, null_safe=st.booleans(), dedup=st.booleans())
+@given(base=_kv_rows, batch=_kv_rows, null_safe=st.booleans(), dedup=st.booleans())
 def test_merge_matches_a_python_model(spark, scratch, base, batch, null_safe, dedup):
     schema = "k bigint, v bigint"
     path = f"{scratch('prop')}/t"
