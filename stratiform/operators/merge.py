@@ -101,7 +101,7 @@ def first_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
 
     Deterministic, unlike ``dropDuplicates``, so a replayed batch keeps the same
     row; and an aggregate, so a hot key collapses map-side instead of being
-    sorted in one task.
+    sorted in one task.  All non-key columns must be orderable (no map columns).
     """
     others = [c for c in df.columns if c not in keys]
     if not others:
