@@ -154,7 +154,8 @@ def insert_only_merge(batch: DataFrame, path: str, keys: list[str], partition_by
     return path
 
 
-def lookup(ids: DataFrame, catalog: DataFrame, key: str = "id", distinct: bool = False) -> DataFrame:
+def lookup(ids: DataFrame, catalog: DataFrame, key: str = "id", distinct: bool = False,
+           max_bytes: int = BROADCAST_MAX_BYTES, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Entities of ``catalog`` for the requested ``ids``.
 
     ``distinct=False`` answers every request, so an id asked for twice comes
@@ -165,16 +166,16 @@ def lookup(ids: DataFrame, catalog: DataFrame, key: str = "id", distinct: bool =
     if distinct:
         # a hot id asked for many times collapses map-side before the semi join
         return sized_join(catalog, ids.select(key).distinct(), key, "left_semi",
-                          size_bound=keys_bound(ids, key))
+                          max_bytes=max_bytes, size_bound=keys_bound(ids, key))
     # one answer per request: a catalog holding an entity twice must not multiply
     # requests (no pairs inside a key group); the requests may be huge and skewed,
     # so they stay in place when the catalog is small
     answers = catalog.dropDuplicates([key])
     requests = ids.select(key)
     # the catalog as delivered bounds its de-duplicated form (measured by a scan only)
-    if measured_bytes(catalog) <= BROADCAST_MAX_BYTES:
+    if measured_bytes(catalog) <= max_bytes:
         return requests.join(F.broadcast(answers), key, "inner").select(*catalog.columns)
     # too large to broadcast: a shuffle join in which a hot requested id is salted
     renamed = answers.withColumnRenamed(key, "__r_key")
-    return skew_safe_join(requests, renamed, [key], ["__r_key"], "inner").select(
+    return skew_safe_join(requests, renamed, [key], ["__r_key"], "inner", hot_key_rows).select(
         *[F.col("__r_key").alias(key) if c == key else F.col(c) for c in catalog.columns])

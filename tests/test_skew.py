@@ -68,3 +68,14 @@ def test_anti_join_salts_a_hot_batch_key(spark):
     keys = ["id", "close_approach_date_full"]
     plain2 = _bag(anti_by_keys(a, target, keys, True, hot_key_rows=10 ** 12))
     assert _bag(anti_by_keys(a, target, keys, True, hot_key_rows=0, salts=4)) == plain2 and len(plain2) > 0
+
+
+def test_lookup_shuffle_path_salts_a_hot_request(spark):
+    from stratiform.operators.merge import lookup
+    ids = _skewed(spark).select(F.col("id").cast("string").alias("id"))
+    catalog = Q.bronze_metadata(spark, SF_ORACLE)
+    broadcast = _bag(lookup(ids, catalog))
+    shuffled = lookup(ids, catalog, max_bytes=0, hot_key_rows=100)
+    assert "__salt" in shuffled._jdf.queryExecution().optimizedPlan().toString()
+    assert _bag(shuffled) == broadcast and len(broadcast) == ids.count()
+    assert _bag(lookup(ids, catalog, distinct=True, max_bytes=0)) == _bag(lookup(ids, catalog, distinct=True))
