@@ -9,12 +9,68 @@ j AS (SELECT c.conv_id, s.speaker, CAST(floor(c.turn / 64.0) AS BIGINT) AS part,
        ELSE '<|user name=' || c.role || '|>' || chr(10) END AS head
   FROM c JOIN s ON c.conv_id IS NOT DISTINCT FROM s.conv_id),
 p AS (SELECT *, coalesce(sum(length(head) + length(text) + 9) OVER (PARTITION BY conv_id, speaker, part
-        ORDER BY turn NULLS FIRST, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM j)
+        ORDER BY turn NULLS FIRST, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos0 FROM j)
 SELECT conv_id, speaker, part, count(*) AS n_turns,
   string_agg(head || text || chr(10) || '<|end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS rendered,
-  coalesce(string_agg(CASE WHEN own THEN CAST(CAST(at + length(head) AS BIGINT) AS VARCHAR) || '-' ||
-    CAST(CAST(at + length(head) + length(text) AS BIGINT) AS VARCHAR) END, ',' ORDER BY turn NULLS FIRST, role, text), '') AS mask_spans,
+  coalesce(string_agg(CASE WHEN own THEN CAST(CAST(pos0 + length(head) AS BIGINT) AS VARCHAR) || '-' ||
+    CAST(CAST(pos0 + length(head) + length(text) AS BIGINT) AS VARCHAR) END, ',' ORDER BY turn NULLS FIRST, role, text), '') AS mask_spans,
   CAST(coalesce(sum(CASE WHEN own THEN length(text) END), 0) AS BIGINT) AS mask_chars
 FROM p GROUP BY conv_id, speaker, part
+""",
+    "op2_contaminated": """
+WITH RECURSIVE masks(m, offs) AS (VALUES ('11111', [0,1,2,3,4]), ('1101011', [0,1,3,5,6]), ('11001011', [0,1,4,6,7]),
+  ('101100011', [0,2,3,7,8])),
+d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\pL\\pN]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\pL\\pN]+') AS w FROM benchmark),
+di AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d),
+ii AS (SELECT item_id, w, unnest(range(1, len(w) + 1)) AS p FROM i WHERE len(w) >= 5),
+ds AS (SELECT doc_id, p, m, [w[p + o] FOR o IN offs] AS seed FROM di, masks WHERE p + offs[5] <= len(w)),
+si AS (SELECT item_id, p, m, [w[p + o] FOR o IN offs] AS seed FROM ii, masks WHERE p + offs[5] <= len(w)),
+hit AS (SELECT DISTINCT doc_id, item_id, ds.p - si.p AS diagonal FROM ds JOIN si ON ds.m = si.m AND ds.seed = si.seed),
+laid AS (SELECT doc_id, item_id, diagonal, ii.p, len(ii.w) AS n_words,
+   CASE WHEN diagonal + ii.p >= 1 AND diagonal + ii.p <= len(d.w) AND d.w[diagonal + ii.p] = ii.w[ii.p] THEN 1 ELSE 0 END AS same
+   FROM hit JOIN d USING (doc_id) JOIN ii USING (item_id)),
+win AS (SELECT *, sum(same) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY p ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS near
+   FROM laid),
+diag AS (SELECT doc_id, item_id, diagonal, n_words, sum(same) AS matches, max(near) AS best_run FROM win
+   GROUP BY doc_id, item_id, diagonal, n_words)
+SELECT doc_id, item_id, CAST(max(matches) AS BIGINT) AS matches, CAST(max(n_words) AS BIGINT) AS n_words,
+  CAST(max(best_run) AS BIGINT) AS best_run
+FROM diag WHERE matches * 100 >= n_words * 80 OR best_run >= 11 GROUP BY doc_id, item_id
+""",
+    "op5_near_duplicate_vectors": """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+   WHERE label IS NOT NULL AND embedding IS NOT NULL),
+n AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS z FROM v),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id
+   AND a.z > 0 AND b.z > 0 AND list_dot_product(a.e, b.e) >= 0.98 * a.z * b.z),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+c AS (SELECT a, min(b) AS root FROM reach GROUP BY a),
+k AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(k.n, 0) AS n_links, root AS component_id, vec_id = root AS kept
+FROM embeddings JOIN c ON vec_id = c.a LEFT JOIN k ON vec_id = k.a
+""",
+    "op7_capture_histories": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+s AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest FROM p),
+k AS (SELECT payload_digest, max(page_id) AS kept FROM s WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN kept IS NOT NULL AND kept <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN kept <> page_id THEN kept END AS refers_to
+FROM s LEFT JOIN k USING (payload_digest)
+""",
+    "op9_near_duplicates": """
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+   ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)] END) AS g FROM d),
+u AS (SELECT doc_id, unnest(g) AS x FROM s),
+both_in AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+half AS (SELECT a, b FROM both_in JOIN s sa ON a = sa.doc_id JOIN s sb ON b = sb.doc_id
+   WHERE 100 * c >= 85 * (len(sa.g) + len(sb.g) - c)),
+links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+c AS (SELECT a, min(b) AS root FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, root AS component_id, doc_id = root AS kept FROM s JOIN c ON doc_id = a
 """,
 }

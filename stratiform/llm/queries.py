@@ -7,9 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratiform.llm.chat import rotate
 from stratiform.llm.common import table
+from stratiform.llm.decontam import contaminated
+from stratiform.llm.embdup import near_duplicate_vectors
 from stratiform.llm.licenses import scan_licenses
+from stratiform.llm.minhash import near_duplicates
 from stratiform.llm.packing import pack_documents
 from stratiform.llm.tokencount import token_counts
+from stratiform.llm.warc import capture_histories, write_archives
+from stratiform.session import new_scratch_dir
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +22,10 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -25,6 +34,20 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+def op7_capture_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_scratch_dir(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return capture_histories(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op10_rotate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per conversation, participant and part; the spans as text, for comparison."""
     return rotate(table(spark, sf_dir, "conversations")).selectExpr(
@@ -33,5 +56,6 @@ def op10_rotate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "aggregate(mask, 0L, (a, m) -> a + m.end - m.start) AS mask_chars")
 
 
-QUERIES = {"op1_pack": op1_pack, "op3_licenses": op3_licenses, "op4_token_counts": op4_token_counts,
-           "op10_rotate": op10_rotate}
+QUERIES = {"op1_pack": op1_pack, "op2_contaminated": op2_contaminated, "op3_licenses": op3_licenses, "op4_token_counts": op4_token_counts,
+           "op5_near_duplicate_vectors": op5_near_duplicate_vectors, "op7_capture_histories": op7_capture_histories,
+           "op9_near_duplicates": op9_near_duplicates, "op10_rotate": op10_rotate}
