@@ -21,6 +21,8 @@ no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,24 +34,37 @@ MASKS = ("11111", "1101011", "11001011", "101100011")
 
 def _words(text):
     """Hashes of the words of a text."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    words = F.array_remove(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+"), "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seed(words, at, mask: str):
-    """Hash of the words a mask looks at; NULL where the mask reaches over the end."""
-    looked = [F.get(words, at + F.lit(i)) for i, bit in enumerate(mask) if bit == "1"]
-    return F.when(looked[-1].isNotNull(), F.xxhash64(F.lit(mask), *looked))
+def _looked(mask: str) -> list[int]:
+    return [i for i, bit in enumerate(mask) if bit == "1"]
+
+
+def _leads(masks: tuple[str, ...]):
+    """Whether a hit has no hit of the same mask one word before it on its diagonal; others would repeat its comparison."""
+    def before(mask: str):
+        same = [F.coalesce(F.get("words", F.col("at") + F.lit(i - 1)) == F.get("iw", F.col("item_at") + F.lit(i - 1)), F.lit(False))
+                for i in _looked(mask)]
+        return reduce(lambda a, b: a & b, same)
 
+    return ~reduce(lambda a, b: a | b, [(F.col("mask") == i) & before(m) for i, m in enumerate(masks)])
 
-def _seeds(words, count, masks):
-    """Seeds of all masks, each with one entry per word: entry ``i`` is mask ``i div count`` at word ``i mod count``."""
-    places = F.sequence(F.lit(0), count - F.lit(1))
 
-    def of(mask):
-        return F.transform(places, lambda at: _seed(words, at, mask))
+def _places(rows: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+    """One row per word place ``at`` and mask, with the hash of the words that the mask looks at.
 
-    return F.concat(*[of(m) for m in masks])
+    The places come from an outer explode: for an inner one the optimizer adds a filter
+    that splits and hashes every text a second time.
+    """
+    def seed(mask: str):
+        looked = [F.get("words", F.col("at") + F.lit(i)) for i in _looked(mask)]
+        return F.when(looked[-1].isNotNull(), F.xxhash64(F.lit(mask), *looked))
+
+    return (rows.select("*", F.posexplode_outer("words").alias("at", "word"))
+            .select("*", F.posexplode(F.array(*[seed(m) for m in masks])).alias("mask", "seed")).drop("word")
+            .where("seed IS NOT NULL"))
 
 
 def _agreement(run: int):
@@ -74,27 +89,22 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = 80, run: int
     """Per contaminated (doc_id, item_id): matching words, the item's words and the best run."""
     shortest = min(len(m) for m in masks)
     known = (items.where(F.col(item_col).isNotNull())
-             .select(F.col(item_col).alias("item_id"), _words(F.col(item_text_col)).alias("iw"))
-             .withColumn("n_words", F.size("iw")).where(F.col("n_words") >= shortest).dropDuplicates(["item_id", "iw"]))
-    seeds = (known.select("item_id", "iw", "n_words", F.posexplode(_seeds(F.col("iw"), F.col("n_words"), masks)).alias("i", "seed"))
-             .where("seed IS NOT NULL"))
-    lean = seeds.select("seed", "item_id", (F.col("i") % F.col("n_words")).alias("item_at")).distinct()
-
-    texts = (docs.where(F.col(id_col).isNotNull())
-             .select(F.col(id_col).alias("doc_id"), _words(F.col(text_col)).alias("words"))
-             .withColumn("n", F.size("words")).where(F.col("n") >= shortest))
-    places = texts.select("doc_id", "words", "n", F.posexplode(_seeds(F.col("words"), F.col("n"), masks)).alias("i", "seed"))
-    at = (F.col("i") % F.col("n")).alias("at")
+             .select(F.col(item_col).alias("item_id"), _words(F.col(item_text_col)).alias("words"))
+             .withColumn("n_words", F.size("words")).where(F.col("n_words") >= shortest).dropDuplicates(["item_id", "words"]))
+    lean = _places(known, masks).select("seed", "item_id", "mask", F.col("at").alias("item_at")).distinct()
+    known = known.withColumnRenamed("words", "iw")
+
+    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), _words(F.col(text_col)).alias("words"))
+    places = _places(texts, masks)
     if measured_bytes(lean) <= max_broadcast and measured_bytes(known) <= max_broadcast:
-        laid = (places.where("seed IS NOT NULL").join(F.broadcast(lean), "seed")
-                .select("doc_id", "words", "item_id", (at - F.col("item_at")).alias("diagonal"))
-                .join(F.broadcast(known), "item_id"))
+        laid = (places.drop("mask").join(F.broadcast(lean), "seed").join(F.broadcast(known), "item_id").where(_leads(masks))
+                .withColumn("diagonal", F.col("at") - F.col("item_at")))
     else:
-        hits = (places.where("seed IS NOT NULL").select("doc_id", at, "seed").join(lean, "seed")
+        hits = (places.select("doc_id", "at", "seed").join(lean, "seed")
                 .select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct())
         laid = hits.join(texts, "doc_id").join(known, "item_id")
     found = _agreement(run)
-    verified = (laid.select("doc_id", "item_id", "n_words", found.alias("found"))
+    verified = (laid.select("doc_id", "item_id", "n_words", F.explode(F.array(found)).alias("found"))  # computed once
                 .select("doc_id", "item_id", F.col("n_words").cast("bigint").alias("n_words"),
                         F.col("found.matches").alias("matches"), F.col("found.best").alias("best_run"))
                 .where((F.col("matches") * 100 >= F.col("n_words") * percent) | (F.col("best_run") >= run_hits)))
