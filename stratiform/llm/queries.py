@@ -12,7 +12,9 @@ from stratiform.llm.embdup import near_duplicate_vectors
 from stratiform.llm.licenses import scan_licenses
 from stratiform.llm.minhash import near_duplicates
 from stratiform.llm.packing import pack_documents
+from stratiform.llm.quality import score_quality
 from stratiform.llm.tokencount import token_counts
+from stratiform.llm.toxicity import score_toxicity
 from stratiform.llm.warc import capture_histories, write_archives
 from stratiform.session import new_scratch_dir
 
@@ -38,12 +40,21 @@ def op5_near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    return score_quality(table(spark, sf_dir, "documents"), trusted)
+
+
 def op7_capture_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_scratch_dir(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
     return capture_histories(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
@@ -57,5 +68,6 @@ def op10_rotate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_pack": op1_pack, "op2_contaminated": op2_contaminated, "op3_licenses": op3_licenses, "op4_token_counts": op4_token_counts,
-           "op5_near_duplicate_vectors": op5_near_duplicate_vectors, "op7_capture_histories": op7_capture_histories,
+           "op5_near_duplicate_vectors": op5_near_duplicate_vectors, "op6_quality": op6_quality,
+           "op7_capture_histories": op7_capture_histories, "op8_toxicity": op8_toxicity,
            "op9_near_duplicates": op9_near_duplicates, "op10_rotate": op10_rotate}
