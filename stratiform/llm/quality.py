@@ -4,7 +4,9 @@ The model is counted on trusted text.  Its counts, and the continuation counts o
 lower orders, are tables sharded by n-gram; the probabilities of all n-grams that occur
 in the corpus come from joins of those shards, order by order.  A document's perplexity
 is the sum over its own n-gram counts, and it is rejected above a quantile of the
-perplexities of trusted documents of its language that were not counted.
+perplexities of trusted documents of its language that were not counted, times a margin.
+A short text's perplexity is unsteady, so it is judged together with a fixed number of
+characters of average trusted text.
 
 The probability table is broadcast only while it measures under a fixed bound;
 beyond it the documents' n-grams are joined by shuffle.
@@ -30,6 +32,8 @@ from stratiform.operators.joins import sized_join
 
 ORDER = 4
 QUANTILE = 0.995
+MARGIN = 1.2  # a document is rejected above the quantile times this
+PRIOR_CHARS = 64  # characters of average trusted text that a short text is weighed with
 _CHUNK = 1 << 20
 
 
@@ -120,9 +124,9 @@ def gram_probabilities(trained: DataFrame, asked: DataFrame) -> DataFrame:
     return lower.select("g", F.log("p").alias("logp"))
 
 
-def score_quality(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, id_col: str = "doc_id",
+def score_quality(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN, id_col: str = "doc_id",
                   text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Per doc_id: lang, n_chars, perplexity, the threshold of its language and kept.
+    """Per doc_id: lang, n_chars, perplexity, the same weighed for short texts, the threshold of its language and kept.
 
     ``trusted`` holds the ids of trusted documents in ``doc_id``.  Half of them, by the
     crc32 of the id, is counted; the other half sets the thresholds.
@@ -138,14 +142,17 @@ def score_quality(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTIL
               .agg(F.sum("c").alias("n_chars"), F.sum(F.col("c") * F.col("logp")).alias("logp")))
     named = docs.select("doc_id", "lang").groupBy("doc_id").agg(F.min("lang").alias("lang"))
     scored = staged(named.join(scored, "doc_id", "left").select(
-        "doc_id", "lang", F.coalesce("n_chars", F.lit(0)).alias("n_chars"), F.exp(-F.col("logp") / F.col("n_chars")).alias("perplexity")),
-        "perplexity")
+        "doc_id", "lang", F.coalesce("n_chars", F.lit(0)).alias("n_chars"), "logp",
+        F.exp(-F.col("logp") / F.col("n_chars")).alias("perplexity")), "perplexity")
     held = scored.join(ids.where(fold(folds=2) == 1), "doc_id", "left_semi").where("perplexity IS NOT NULL")
-    bound = F.percentile_approx("perplexity", quantile, 100_000)
+    usual = held.agg((F.sum("logp") / F.sum("n_chars")).alias("usual")).first()["usual"] or 0.0
+    weighed = F.exp(-(F.col("logp") + F.lit(PRIOR_CHARS * usual)) / (F.col("n_chars") + F.lit(PRIOR_CHARS)))
+    scored, held = scored.withColumn("weighed", weighed), held.withColumn("weighed", weighed)
+    bound = F.percentile_approx("weighed", quantile, 100_000) * F.lit(margin)
     by_lang = held.groupBy("lang").agg(bound.alias("own"))
     overall = held.agg(bound.alias("overall")).first()["overall"]
     every = F.lit(overall).cast("double")
     return (sized_join(scored, by_lang.where("lang IS NOT NULL"), "lang", "left")
-            .select("doc_id", "lang", "n_chars", "perplexity", F.coalesce("own", every).alias("threshold"))
+            .select("doc_id", "lang", "n_chars", "perplexity", "weighed", F.coalesce("own", every).alias("threshold"))
             .withColumn("kept", F.col("perplexity").isNotNull()
-                        & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))))
+                        & F.coalesce(F.col("weighed") <= F.col("threshold"), F.lit(True))))
