@@ -65,8 +65,12 @@ def to_double(c) -> Column:
 
 
 def to_id(c, strict: bool = True) -> Column:
-    """Identifier text -> bigint.  ``strict`` raises on bad text (ANSI cast); else NULL."""
-    return _c(c).cast("bigint") if strict else _c(c).try_cast("bigint")
+    """Identifier text -> bigint.  ``strict`` raises on bad text, under any session setting; else NULL."""
+    value = _c(c).try_cast("bigint")
+    if not strict:
+        return value
+    bad = F.raise_error(F.concat(F.lit("not an identifier: "), _c(c).cast("string"))).cast("bigint")
+    return F.when(value.isNull() & _c(c).isNotNull(), bad).otherwise(value)
 
 
 def parse_timestamp(c, fmt: str | None = None) -> Column:

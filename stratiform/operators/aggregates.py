@@ -14,15 +14,17 @@ from stratiform.operators.joins import BROADCAST_MAX_BYTES, keys_bound, sized_jo
 AGG_FUNCTIONS = ("count", "mean", "max", "min", "sum")
 
 
-def _agg(fn: str, c: Column) -> Column:
+def _agg(fn: str, c: Column, kind: str) -> Column:
+    if kind in ("float", "double"):  # NaN counts as missing; other types have none
+        c = nan_to_null(c)
     if fn == "count":
         return F.count(c)
     if fn == "mean":
-        return F.avg(nan_to_null(c))
+        return F.avg(c)
     if fn == "max":
-        return F.max(nan_to_null(c))
+        return F.max(c)
     if fn == "min":
-        return F.min(nan_to_null(c))
+        return F.min(c)
     if fn == "sum":
         # a flag or number summed as double; a group with only NULLs gives 0.0
         return F.coalesce(F.sum(nan_to_null(c.cast("double"))), F.lit(0.0))
@@ -36,10 +38,11 @@ def summarize(df: DataFrame, by: str | Sequence[str], spec: Sequence[tuple[str,
     Rows whose group key is NULL are dropped before grouping.
     """
     keys = [by] if isinstance(by, str) else list(by)
+    kinds = dict(df.dtypes)
     kept = df
     for k in keys:
         kept = kept.where(F.col(k).isNotNull())
-    out = kept.groupBy(*keys).agg(*[_agg(fn, F.col(src)).alias(name) for name, src, fn in spec])
+    out = kept.groupBy(*keys).agg(*[_agg(fn, F.col(src), kinds[src]).alias(name) for name, src, fn in spec])
     if round_cols:
         out = out.select(*[round_half_even(c, scale).alias(c) if c in round_cols else F.col(c)
                            for c in out.columns])

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    BooleanType, ByteType, DateType, DoubleType, FloatType, IntegerType, LongType, MapType, ShortType,
+    BooleanType, ByteType, DateType, DoubleType, FloatType, IntegerType, LongType, ShortType,
     StringType, TimestampNTZType, TimestampType,
 )
 
@@ -97,8 +97,8 @@ def skew_safe_join(left: DataFrame, right: DataFrame, left_keys: list[str], righ
 
     Hot keys are found by a map-side combined count of the left keys (at most
     rows / ``hot_key_rows`` of them, so the list is small; it is measured before
-    it is broadcast).  Their left rows get a salt from a hash of the row and its
-    input split, and their right rows are replicated once per salt, so every left
+    it is broadcast).  Their left rows get a salt from a hash of the row's
+    place, and their right rows are replicated once per salt, so every left
     row still meets all its partners and the result is the same; only the hot
     keys' right rows are replicated.  For inner, left outer, left semi and left
     anti joins.  Without hot keys this is the plain join.
@@ -108,16 +108,14 @@ def skew_safe_join(left: DataFrame, right: DataFrame, left_keys: list[str], righ
            .where(F.col("__n") > hot_key_rows).select(*left_keys))
     if hot.isEmpty():
         return left.join(right, cond, how)
-    if not fits_broadcast(hot):
-        raise ValueError("too many hot keys to salt; raise hot_key_rows")
-    # salt from the row's content and its input split (maps cannot be hashed; skip them)
-    hashable = [F.col(f"`{f.name}`") for f in left.schema.fields if not isinstance(f.dataType, MapType)]
-    row_hash = F.xxhash64(*hashable, F.spark_partition_id())
-    salted_left = (left.join(F.broadcast(hot.withColumn("__hot_l", F.lit(True))), left_keys, "left")
+    small = F.broadcast if fits_broadcast(hot) else (lambda df: df)  # beyond the bound the list is joined by shuffle
+    # salt from the row's place, so equal rows of one input split spread too
+    row_hash = F.xxhash64(F.monotonically_increasing_id())
+    salted_left = (left.join(small(hot.withColumn("__hot_l", F.lit(True))), left_keys, "left")
                    .withColumn("__salt_l", F.when(F.col("__hot_l"), F.pmod(row_hash, F.lit(salts)))
                                .otherwise(F.lit(0)).cast("int"))
                    .drop("__hot_l"))
-    hot_r = F.broadcast(hot.select(*[F.col(lk).alias(rk) for lk, rk in zip(left_keys, right_keys)])
+    hot_r = small(hot.select(*[F.col(lk).alias(rk) for lk, rk in zip(left_keys, right_keys)])
                         .withColumn("__hot_r", F.lit(True)))
     salted_right = (right.join(hot_r, right_keys, "left")
                     .withColumn("__salt_r", F.explode(F.when(F.col("__hot_r"), F.sequence(F.lit(0), F.lit(salts - 1)))

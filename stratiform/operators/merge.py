@@ -119,8 +119,9 @@ def partition_range_filter(batch: DataFrame, target: DataFrame, column: str, bou
     """
     lo, hi = bounds if bounds is not None else batch.agg(F.min(column), F.max(column)).first()
     if lo is None:
-        return target.where(F.lit(False))
-    return target.where(F.col(column).between(F.lit(lo), F.lit(hi)))
+        return target.where(F.col(column).isNull())
+    # a stored NULL partition may hold null-safe matches
+    return target.where(F.col(column).between(F.lit(lo), F.lit(hi)) | F.col(column).isNull())
 
 
 def insert_only_merge(batch: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None,
@@ -161,16 +162,17 @@ def lookup(ids: DataFrame, catalog: DataFrame, key: str = "id", distinct: bool =
     ``distinct=False`` answers every request, so an id asked for twice comes
     back twice (the per-request behaviour); ``distinct=True`` answers each id once.
     Ids with no catalog entry are skipped.  An entity the catalog holds more than
-    once is answered with one of its rows.
+    once is answered with its smallest row.
     """
     if distinct:
         # a hot id asked for many times collapses map-side before the semi join
-        return sized_join(catalog, ids.select(key).distinct(), key, "left_semi",
-                          max_bytes=max_bytes, size_bound=keys_bound(ids, key))
+        found = sized_join(catalog, ids.select(key).distinct(), key, "left_semi",
+                           max_bytes=max_bytes, size_bound=keys_bound(ids, key))
+        return first_row_per_key(found, [key])
     # one answer per request: a catalog holding an entity twice must not multiply
     # requests (no pairs inside a key group); the requests may be huge and skewed,
     # so they stay in place when the catalog is small
-    answers = catalog.dropDuplicates([key])
+    answers = first_row_per_key(catalog, [key])
     requests = ids.select(key)
     # the catalog as delivered bounds its de-duplicated form (measured by a scan only)
     if measured_bytes(catalog) <= max_bytes:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stratiform.session import scratch_root
 from stratiform.sources.landed import path_exists, stored_schema
 
 
@@ -45,47 +44,51 @@ def _writer(df: DataFrame, mode: str, partition_by: list[str] | None, rebalance:
     return df.write.mode(mode)
 
 
-def _norm_uri(uri: str) -> str:
-    # "file:///a" and "file:/a" name the same file; collapse the slashes after the scheme
-    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):/+", r"\1:/", uri).rstrip("/")
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
 
-def _qualified(spark: SparkSession, path: str) -> str:
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    except Exception:  # no SparkContext (Spark Connect): compare the text as given
-        return _norm_uri(path if ":" in path.split("/")[0] else f"file:{path}")
-    return _norm_uri(fs.makeQualified(hpath).toUri().toString())
-
-
-def reads_from(df: DataFrame, path: str) -> bool:
-    """Whether any file scanned by ``df`` lies under ``path``.
-
-    ``inputFiles`` comes from the driver's file listing and is already qualified,
-    so only the root is qualified (one call, not one per file).
-    """
-    root = _qualified(df.sparkSession, path) + "/"
-    return any(_norm_uri(f).startswith(root) for f in df.inputFiles())
+def stored_layout(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of the table at ``path``, from its folder names (first branch only)."""
+    fs, hpath = _file_system(spark, path)
+    found, here = [], path
+    while True:
+        names = [s.getPath().getName() for s in fs.listStatus(hpath(here)) if s.isDirectory() and "=" in s.getPath().getName()]
+        if not names:
+            return found
+        found.append(names[0].split("=", 1)[0])
+        here = f"{here}/{names[0]}"
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
                 replace_schema: bool = False, rebalance: bool = True) -> str:
     """Save ``df`` as Parquet.  A changed schema is refused unless ``replace_schema``.
 
-    Overwriting a table with a frame that reads that same table would delete its
-    input first; such a frame is checkpointed (reliably, into the shared
-    checkpoint folder) before the overwrite.
+    An overwrite is written to a new folder beside the table and switched in when it is
+    complete, so a failed write leaves the old table, and ``df`` may read the table it
+    replaces.  An append must have the stored partition columns: rows written beside
+    partition folders would not be read back.
     """
-    if mode == "overwrite" and path_exists(df.sparkSession, path) and reads_from(df, path):
-        scratch_root(df.sparkSession)  # make sure a checkpoint folder is set
-        df = df.checkpoint(eager=True)
-    if not replace_schema:
-        stored = stored_schema(df.sparkSession, path)
+    spark = df.sparkSession
+    exists = path_exists(spark, path)
+    if exists and not replace_schema:
+        stored = stored_schema(spark, path)
         if stored is not None:
             check_schema(df.schema, stored, partition_by)
-    _writer(df, mode, partition_by, rebalance).parquet(path)
+            if mode == "append" and stored_layout(spark, path) != list(partition_by or []):
+                raise SchemaMismatch(f"partition columns differ from the stored table: {stored_layout(spark, path)}")
+    if mode != "overwrite" or not exists:
+        _writer(df, mode, partition_by, rebalance).parquet(path)
+        return path
+    fresh = f"{path.rstrip('/')}__new-{uuid.uuid4().hex[:12]}"
+    _writer(df, "error", partition_by, rebalance).parquet(fresh)
+    fs, hpath = _file_system(spark, path)
+    fs.delete(hpath(path), True)
+    if not fs.rename(hpath(fresh), hpath(path)):
+        raise OSError(f"could not move {fresh} to {path}")
+    spark.catalog.refreshByPath(path)
     return path
 
 

@@ -176,7 +176,7 @@ ORACLES.update({
   FROM ({_joined_sql()}) WHERE fecha IS NOT NULL GROUP BY fecha""",
     "agg_flag_sum": f"""
   SELECT a.id, COALESCE(SUM(CAST(m.bajo_seguimiento_riesgo AS DOUBLE)), 0.0) AS cantidad_bajo_seguimiento_riesgo
-  FROM ({SILVER_APPROACHES}) a LEFT JOIN ({silver_meta_of(CATALOG_OK)}) m ON a.id = m.id
+  FROM ({SILVER_APPROACHES}) a LEFT JOIN ({SILVER_METADATA}) m ON a.id = m.id
   WHERE a.id IS NOT NULL GROUP BY a.id""",
     "agg_null_key": """
   SELECT l.quality, COUNT(d.doc_id) AS documents
@@ -283,8 +283,7 @@ ORACLES.update({
        s AS ({BRONZE_METADATA})
   SELECT * FROM t UNION ALL SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.id = s.id)""",
     "gold_roundtrip": daily_summary_sql(SILVER_APPROACHES, SILVER_METADATA),
-    "partition_roundtrip": f"""
-  SELECT * FROM ({SILVER_APPROACHES}) WHERE fecha BETWEEN DATE '2024-01-04' AND DATE '2024-01-10'""",
+    "partition_roundtrip": SILVER_APPROACHES,
     "migrate_layout": f"""
   SELECT 'bronze/approaches' AS "table", COUNT(*) AS rows FROM events UNION ALL
   SELECT 'bronze/metadata', COUNT(*) FROM part UNION ALL

@@ -24,6 +24,7 @@ from stratiform.operators.quality import integrity_report
 from stratiform.operators.tables import Move, migrate_layout
 from stratiform.paths import Lake
 from stratiform.plans.jobs import recover_orphans, reprocess_silver, run_all, run_gold, run_silver
+from stratiform.session import DEFAULT_CONF
 from stratiform.sources.landed import literal_ids, read_feed, read_lookup_documents, table_or_empty
 
 TABLES = {
@@ -56,7 +57,6 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     r.add_argument("--lookups", required=True, help="landed lookup documents")
     r.add_argument("--multi-line", action="store_true", help="one document per file")
     r.add_argument("--distinct-lookups", action="store_true")
-    r.add_argument("--catch-up", action="store_true")
     sub.add_parser("silver")
     sub.add_parser("gold")
     sub.add_parser("reprocess")
@@ -70,14 +70,16 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     args = ap.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName(f"stratiform-{args.cmd}").getOrCreate()
+    for name, value in DEFAULT_CONF.items():  # a submitted session plans as the library's own
+        if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
+            spark.conf.set(name, value)
     lake = Lake(args.root, args.source)
     if args.cmd == "run":
         res = run_all(spark, lake, read_feed(spark, args.feed, args.multi_line), _catalog(spark, args.lookups),
-                      args.distinct_lookups, args.catch_up)
+                      args.distinct_lookups)
         res.integrity.show()
     elif args.cmd == "silver":
-        # without a pull at hand there is no day range to scope to: compare everything
-        run_silver(spark, lake, None).show()
+        run_silver(spark, lake).show()
     elif args.cmd == "gold":
         run_gold(spark, lake)
     elif args.cmd == "reprocess":

@@ -25,7 +25,8 @@ from stratiform.sources.landed import path_exists, read_table
 
 def _append_or_create(df: DataFrame, path: str, partition_by=None) -> None:
     if path_exists(df.sparkSession, path):
-        append_table(df, path, partition_by=partition_by)
+        if not df.isEmpty():  # nothing pending: leave the table as it is
+            append_table(df, path, partition_by=partition_by)
     else:
         write_table(df, path, mode="overwrite", partition_by=partition_by)
 
@@ -35,7 +36,7 @@ def ingest_bronze(lake: Lake, feed: DataFrame, catalog: DataFrame, distinct_look
 
     Approaches merge on (id, day) and metadata on id, insert-only.  By default
     every approach row asks for its entity, as a per-request lookup does.
-    Objects without a close approach are appended to the rejects table.
+    Objects without a close approach are merged into the rejects table, once each.
     Returns the (first, last) day of the pull, or None for an empty pull.
     """
     # The parsed batch feeds several jobs (partition range, approach merge, lookups,
@@ -52,30 +53,26 @@ def ingest_bronze(lake: Lake, feed: DataFrame, catalog: DataFrame, distinct_look
                           schema=schemas.BRONZE_METADATA, measure_target=True)
         rejects = rejected_objects(objects)
         if not rejects.isEmpty():  # cheap on the cached objects; keeps empty appends out
-            _append_or_create(rejects, lake.bronze_rejects)
+            insert_only_merge(rejects, lake.bronze_rejects, keys=rejects.columns, null_safe=True)
     finally:
         objects.unpersist()
     return None if lo is None else (lo, hi)
 
 
-def run_silver(spark: SparkSession, lake: Lake, fecha_range=None) -> DataFrame:
+def run_silver(spark: SparkSession, lake: Lake) -> DataFrame:
     """Transform only the bronze rows silver does not hold yet, append them, then
     return the integrity report of the complete silver tables (lazy).
 
-    ``fecha_range=(first, last)`` limits the approach comparison to those days on
-    both sides (partition pruning), so a run costs the size of its pull instead of
-    the whole history.  It is exact when earlier runs completed, because the
-    silver key (id, timestamp) determines the day the same way bronze's does;
-    ``None`` compares everything (catch-up after a failed run).
+    All of bronze is compared with all of silver (key columns only): bronze's day comes
+    from another field than silver's, so no range of days bounds what may match, and rows
+    that an earlier run left behind are found whenever they are.
     """
     ba = read_table(spark, lake.bronze_approaches, schemas.BRONZE_APPROACHES)
     bm = read_table(spark, lake.bronze_metadata, schemas.BRONZE_METADATA)
-    silver_a = lake.silver_approaches
-    if fecha_range is not None:
-        ba = ba.where(F.col("fecha").between(F.lit(fecha_range[0]), F.lit(fecha_range[1])))
     # Pending uses the null-safe key; anything it lets through cannot match with
     # plain equality either, so the append needs no second anti join.
-    pa = _pending_in_range(spark, ba.transform(transform_approaches), silver_a, fecha_range)
+    pa = pending_against(spark, ba.transform(transform_approaches), lake.silver_approaches,
+                         schemas.SILVER_APPROACHES_KEY, schemas.SILVER_APPROACHES, null_safe=True)
     pm = pending_against(spark, bm.transform(transform_metadata), lake.silver_metadata,
                          schemas.METADATA_KEY, schemas.SILVER_METADATA, null_safe=True, measure_target=True)
     _append_or_create(pa, lake.silver_approaches, schemas.APPROACHES_PARTITION)
@@ -84,15 +81,6 @@ def run_silver(spark: SparkSession, lake: Lake, fecha_range=None) -> DataFrame:
                             read_table(spark, lake.silver_metadata, schemas.SILVER_METADATA))
 
 
-def _pending_in_range(spark: SparkSession, batch: DataFrame, path: str, fecha_range) -> DataFrame:
-    if fecha_range is None or not path_exists(spark, path):
-        return pending_against(spark, batch, path, schemas.SILVER_APPROACHES_KEY,
-                               schemas.SILVER_APPROACHES, null_safe=True)
-    target = read_table(spark, path, schemas.SILVER_APPROACHES).where(
-        F.col("fecha").between(F.lit(fecha_range[0]), F.lit(fecha_range[1])))
-    return pending_rows(batch, target, schemas.SILVER_APPROACHES_KEY, null_safe=True)
-
-
 def run_gold(spark: SparkSession, lake: Lake) -> None:
     """Recompute the daily summary from the whole silver layer; overwrite gold."""
     summary = daily_summary(read_table(spark, lake.silver_approaches, schemas.SILVER_APPROACHES),
@@ -138,12 +126,9 @@ class RunResult:
 
 
 def run_all(spark: SparkSession, lake: Lake, feed: DataFrame, catalog: DataFrame,
-            distinct_lookups: bool = False, catch_up: bool = False) -> RunResult:
-    """bronze -> silver -> gold for one pull.
-
-    Silver compares only the days the pull touched unless ``catch_up``.
-    """
-    days = ingest_bronze(lake, feed, catalog, distinct_lookups)
-    report = run_silver(spark, lake, None if catch_up else (days or (None, None)))
+            distinct_lookups: bool = False) -> RunResult:
+    """bronze -> silver -> gold for one pull; silver also takes up what earlier runs left."""
+    ingest_bronze(lake, feed, catalog, distinct_lookups)
+    report = run_silver(spark, lake)
     run_gold(spark, lake)
     return RunResult(lake, report)

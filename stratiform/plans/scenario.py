@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 
 from stratiform.operators.nested import flatten_lookups
 from stratiform.paths import Lake
-from stratiform.plans.jobs import recover_orphans, run_all, run_silver
+from stratiform.plans.jobs import recover_orphans, run_all, run_gold, run_silver
 from stratiform.session import new_scratch_dir
 from stratiform.sources.landed import read_feed, read_lookup_documents
 from stratiform.sources.standins import broken_lookup_rule, feed_documents, land_text, load, lookup_documents
@@ -24,8 +24,6 @@ RUN1_REF = dt.date(2024, 1, 10)
 RUN1_AS_OF = dt.datetime(2024, 1, 10, 12, 0, 0)
 RUN2_REF = dt.date(2024, 1, 13)
 
-_cache: dict[tuple, Lake] = {}
-
 
 def land_feed(spark: SparkSession, sf: str, root: str, ref, as_of=None, tag: str = "feed") -> str:
     events = feed_window(load(spark, sf, "events"), "ts", ref, as_of=as_of)
@@ -43,10 +41,7 @@ def catalog_from(spark: SparkSession, path: str):
 
 
 def two_runs(spark: SparkSession, sf: str, tag: str = "two-runs", distinct_lookups: bool = False) -> Lake:
-    """Lake after run 1 and run 2 (bronze, silver, gold).  Built once per session, sf and tag."""
-    key = (id(spark), sf, tag, distinct_lookups)
-    if key in _cache:
-        return _cache[key]
+    """Lake after run 1 and run 2 (bronze, silver, gold), built afresh."""
     root = new_scratch_dir(spark, tag)
     lake = Lake(root)
     catalog = catalog_from(spark, land_lookups(spark, sf, root, broken=True))
@@ -54,18 +49,14 @@ def two_runs(spark: SparkSession, sf: str, tag: str = "two-runs", distinct_looku
     run_all(spark, lake, read_feed(spark, f1), catalog, distinct_lookups)
     f2 = land_feed(spark, sf, root, RUN2_REF, None, "feed-run2")
     run_all(spark, lake, read_feed(spark, f2), catalog, distinct_lookups)
-    _cache[key] = lake
     return lake
 
 
 def recovered(spark: SparkSession, sf: str) -> Lake:
     """Two runs, then the orphan recovery with answers that now parse, then silver again."""
-    key = (id(spark), sf, "recovered")
-    if key in _cache:
-        return _cache[key]
     lake = two_runs(spark, sf, tag="two-runs-for-recovery")
     clean = catalog_from(spark, land_lookups(spark, sf, lake.root, broken=False, tag="lookups-retry"))
     recover_orphans(spark, lake, clean)
     run_silver(spark, lake)
-    _cache[key] = lake
+    run_gold(spark, lake)
     return lake

@@ -69,6 +69,12 @@ def scratch_root(spark: SparkSession) -> str:
     d = _configured_checkpoint_dir(spark)
     if d:
         return d.rstrip("/")
+    try:
+        master = spark.conf.get("spark.master", "local")
+    except Exception:
+        master = "local"
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="stratiform-ckpt-")
     try:
         spark.sparkContext.setCheckpointDir(local)
