@@ -64,10 +64,10 @@ ORACLES = {
 }
 
 
-# --- windows of the two pulls (fixed values, same as plans/scenario.py) -----------
-RUN1_WHERE = ("ts >= TIMESTAMP '2024-01-04 00:00:00' AND ts < TIMESTAMP '2024-01-11 00:00:00' "
-              "AND ts <= TIMESTAMP '2024-01-10 12:00:00'")
-RUN2_WHERE = "ts >= TIMESTAMP '2024-01-07 00:00:00' AND ts < TIMESTAMP '2024-01-14 00:00:00'"
+# --- the two deliveries and the single pull (fixed values, same as plans/scenario.py) -----------
+RUN1_WHERE = "ts <= TIMESTAMP '2024-01-17 12:00:00'"
+RUN2_WHERE = "ts >= TIMESTAMP '2024-01-14 00:00:00'"
+PULL_WHERE = "ts >= TIMESTAMP '2024-01-07 00:00:00' AND ts < TIMESTAMP '2024-01-14 00:00:00'"
 
 
 def bronze_approaches_where(where: str) -> str:
@@ -109,7 +109,12 @@ FEED_FLAT = """
   FROM events"""
 
 FANOUT_METADATA = silver_meta_of(f"""
-  SELECT m.* FROM ({bronze_approaches_where(RUN1_WHERE)}) r JOIN ({BRONZE_METADATA}) m ON r.id = m.id""")
+  SELECT m.* FROM ({BRONZE_APPROACHES}) r JOIN ({BRONZE_METADATA}) m ON r.id = m.id""")
+
+REJECTS = """
+  SELECT strftime(ts, '%Y-%m-%d') AS feed_day, CAST(user_id AS VARCHAR) AS id,
+         CAST(user_id AS VARCHAR) || ' (' || event_type || ')' AS name
+  FROM events WHERE event_type = 'error'"""
 
 BROKEN = "p_name LIKE 'hot %'"
 CATALOG_OK = f"SELECT * FROM ({BRONZE_METADATA}) WHERE CAST(id AS BIGINT) NOT IN (SELECT p_partkey FROM part WHERE {BROKEN})"
@@ -238,7 +243,7 @@ ORACLES.update({
   SELECT * FROM r WHERE rebuilt_name IS DISTINCT FROM name""",
     "peek_top5": f"""
   SELECT * FROM ({BRONZE_APPROACHES}) ORDER BY close_approach_date_full, id LIMIT 5""",
-    "window_7d": bronze_approaches_where(RUN2_WHERE),
+    "window_7d": bronze_approaches_where(PULL_WHERE),
     "pending_by_id": f"""
   SELECT CAST(id AS BIGINT) AS id, name, absolute_magnitude_h, diameter_min_km, diameter_max_km,
          is_potentially_hazardous, is_sentry_object, nasa_jpl_url
@@ -255,8 +260,8 @@ ORACLES.update({
     "pending_missing_target": f"""
   SELECT CAST(id AS BIGINT) AS id, name, close_approach_date, close_approach_date_full,
          relative_velocity_km_per_second, miss_distance_km, orbiting_body, is_potentially_hazardous, fecha
-  FROM ({bronze_approaches_where(RUN2_WHERE)})""",
-    "merge_create": bronze_approaches_where(RUN1_WHERE),
+  FROM ({BRONZE_APPROACHES})""",
+    "merge_create": BRONZE_APPROACHES,
     "merge_insert_by_day": f"""
   WITH t AS ({bronze_approaches_where(RUN1_WHERE)}), s AS ({bronze_approaches_where(RUN2_WHERE)})
   SELECT * FROM t UNION ALL
@@ -287,6 +292,8 @@ ORACLES.update({
     "migrate_layout": f"""
   SELECT 'bronze/approaches' AS "table", COUNT(*) AS rows FROM events UNION ALL
   SELECT 'bronze/metadata', COUNT(*) FROM part UNION ALL
+  SELECT 'silver/approaches', COUNT(*) FROM events UNION ALL
+  SELECT 'silver/metadata', COUNT(*) FROM part UNION ALL
   SELECT 'gold/daily_summary', COUNT(*) FROM (SELECT DISTINCT CAST(ts AS DATE) FROM events)""",
     "feed_flatten": FEED_FLAT,
     "feed_count_check": """
@@ -297,9 +304,9 @@ ORACLES.update({
     "lookup_quarantine": f"SELECT p_partkey AS id FROM part WHERE {BROKEN}",
     "lookup_semi": f"""
   SELECT * FROM ({BRONZE_METADATA}) m
-  WHERE m.id IN (SELECT id FROM ({bronze_approaches_where(RUN1_WHERE)}))""",
+  WHERE m.id IN (SELECT id FROM ({BRONZE_APPROACHES}))""",
     "lookup_per_request": f"""
-  SELECT m.* FROM ({bronze_approaches_where(RUN1_WHERE)}) r JOIN ({BRONZE_METADATA}) m ON r.id = m.id""",
+  SELECT m.* FROM ({BRONZE_APPROACHES}) r JOIN ({BRONZE_METADATA}) m ON r.id = m.id""",
     "incremental_two_runs": f"WITH {TWO_RUNS} SELECT * FROM sa",
     "reprocess_equals_incremental": f"WITH {TWO_RUNS} SELECT * FROM sa",
     "e2e_daily_summary": f"WITH {TWO_RUNS} {daily_summary_sql('SELECT * FROM sa', 'SELECT * FROM sm')}",
@@ -322,4 +329,27 @@ ORACLES.update({
   SELECT 'silver', 'metadata', COUNT(*) FROM sm UNION ALL
   SELECT 'gold', 'daily_summary', COUNT(DISTINCT fecha) FROM sa""",
     "stream_ingest": f"WITH {TWO_RUNS} SELECT * FROM ba",
+    "gold_after_recovery": f"""
+  WITH {TWO_RUNS},
+  orphan AS (SELECT DISTINCT a.id FROM sa a WHERE NOT EXISTS (SELECT 1 FROM sm WHERE sm.id = a.id)),
+  rsm AS (SELECT * FROM sm UNION ALL SELECT * FROM ({SILVER_METADATA}) WHERE id IN (SELECT id FROM orphan))
+  {daily_summary_sql('SELECT * FROM sa', 'SELECT * FROM rsm')}""",
+    "silver_rerun_stable": silver_of(f"""
+  SELECT * REPLACE (CASE WHEN orbiting_body = 'error' THEN NULL
+                         WHEN hour(close_approach_date_full) < 6 THEN close_approach_date_full - INTERVAL 1 DAY
+                         ELSE close_approach_date_full END AS close_approach_date_full)
+  FROM ({BRONZE_APPROACHES})"""),
+    "silver_backlog": SILVER_APPROACHES,
+    "feed_rejects": REJECTS,
+    "rejects_rerun": REJECTS,
+    "schema_replace_roundtrip": SILVER_METADATA,
+    "lookup_quarantine_content": """
+  SELECT CASE WHEN p_partkey % 5 = 4 THEN 'parsed' ELSE 'quarantined' END AS state,
+         CASE WHEN p_partkey % 5 NOT IN (1, 2) THEN p_partkey END AS id FROM part""",
+    "lookup_literal_ids": f"""
+  SELECT * FROM ({BRONZE_METADATA}) WHERE CAST(id AS BIGINT) IN (1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 1000000000000)""",
+    "agg_typed": """
+  SELECT user_id, MIN(ts) AS first_ts, MAX(ts) AS last_ts, MIN(event_type) AS first_type, MAX(event_id) AS last_event_id,
+         COUNT(value) FILTER (WHERE event_id % 7 <> 0) AS readings
+  FROM events WHERE user_id IS NOT NULL GROUP BY user_id""",
 })

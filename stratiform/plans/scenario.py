@@ -1,15 +1,17 @@
-"""Two overlapping pulls over the test tables, landed as JSON and run through all layers.
+"""Two overlapping deliveries of the whole test table, landed as JSON and run through all layers.
 
-Run 1 is pulled at noon of its last day, so it holds only the approaches known
-by then; run 2 overlaps it by four days.  Lookup answers for some entities come
-back broken (not valid JSON), which leaves orphans for the recovery job.
+A delivery is several pulls landed together.  The first ends at noon of a day, so it
+holds only the approaches known by then; the second reaches back behind that day.
+Together they cover every row.  Lookup answers for some entities come back broken
+(not valid JSON), which leaves orphans for the recovery job.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratiform.operators.nested import flatten_lookups
 from stratiform.paths import Lake
@@ -20,9 +22,19 @@ from stratiform.sources.standins import broken_lookup_rule, feed_documents, land
 from stratiform.sources.window import feed_window
 
 # fixed values of the scenario
-RUN1_REF = dt.date(2024, 1, 10)
-RUN1_AS_OF = dt.datetime(2024, 1, 10, 12, 0, 0)
-RUN2_REF = dt.date(2024, 1, 13)
+RUN1_UNTIL = "2024-01-17 12:00:00"
+RUN2_FROM = "2024-01-14 00:00:00"
+RUN2_REF = dt.date(2024, 1, 13)  # last day of the single pull
+
+
+def delivered(events: DataFrame, run: int) -> DataFrame:
+    """The events of delivery 1 or 2."""
+    at = F.lit(RUN1_UNTIL if run == 1 else RUN2_FROM).cast("timestamp_ntz")
+    return events.where(F.col("ts") <= at if run == 1 else F.col("ts") >= at)
+
+
+def land_delivery(spark: SparkSession, sf: str, root: str, run: int) -> str:
+    return land_text(feed_documents(delivered(load(spark, sf, "events"), run)), f"{root}/landing/feed-run{run}")
 
 
 def land_feed(spark: SparkSession, sf: str, root: str, ref, as_of=None, tag: str = "feed") -> str:
@@ -45,10 +57,9 @@ def two_runs(spark: SparkSession, sf: str, tag: str = "two-runs", distinct_looku
     root = new_scratch_dir(spark, tag)
     lake = Lake(root)
     catalog = catalog_from(spark, land_lookups(spark, sf, root, broken=True))
-    f1 = land_feed(spark, sf, root, RUN1_REF, RUN1_AS_OF, "feed-run1")
-    run_all(spark, lake, read_feed(spark, f1), catalog, distinct_lookups)
-    f2 = land_feed(spark, sf, root, RUN2_REF, None, "feed-run2")
-    run_all(spark, lake, read_feed(spark, f2), catalog, distinct_lookups)
+    for run in (1, 2):
+        feed = read_feed(spark, land_delivery(spark, sf, root, run))
+        run_all(spark, lake, feed, catalog, distinct_lookups)
     return lake
 
 

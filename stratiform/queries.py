@@ -21,7 +21,7 @@ from stratiform.operators.aggregates import (
 from stratiform.operators.merge import insert_only_merge, lookup, pending_against
 from stratiform.operators.inspect import peek
 from stratiform.operators.joins import keys_bound, sized_join
-from stratiform.operators.nested import feed_element_check, flatten_feed, flatten_lookups
+from stratiform.operators.nested import feed_element_check, feed_rejects, flatten_feed, flatten_lookups
 from stratiform.operators.quality import (
     duplicate_keys, integrity_report, name_lossless, null_profile, orphans_by_key, orphans_by_null,
 )
@@ -29,9 +29,9 @@ from stratiform.operators.tables import Move, migrate_layout, write_table
 from stratiform.operators.transforms import transform_approaches, transform_metadata
 from stratiform.paths import Lake
 from stratiform.plans import scenario
-from stratiform.plans.jobs import reprocess_silver
+from stratiform.plans.jobs import ingest_bronze, reprocess_silver, run_silver
 from stratiform.session import new_scratch_dir
-from stratiform.sources.landed import quarantined_ids, read_feed, read_lookup_documents, read_table
+from stratiform.sources.landed import literal_ids, quarantined_ids, read_feed, read_lookup_documents, read_table
 from stratiform.sources.standins import (
     approaches_from_events, broken_lookup_rule, feed_documents, land_text, load, lookup_documents,
     metadata_from_part,
@@ -59,10 +59,8 @@ def silver_metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _run_events(spark, sf, run: int) -> DataFrame:
-    ev = load(spark, sf, "events")
-    if run == 1:
-        return feed_window(ev, "ts", scenario.RUN1_REF, as_of=scenario.RUN1_AS_OF)
-    return feed_window(ev, "ts", scenario.RUN2_REF)
+    """One of two overlapping deliveries that together hold all events."""
+    return scenario.delivered(load(spark, sf, "events"), run)
 
 
 def _run_bronze(spark, sf, run: int) -> DataFrame:
@@ -70,8 +68,8 @@ def _run_bronze(spark, sf, run: int) -> DataFrame:
 
 
 def _fanout_metadata(spark, sf) -> DataFrame:
-    """Metadata as per-request lookups of run 1: an entity comes back once per approach."""
-    return lookup(_run_bronze(spark, sf, 1).select("id"), bronze_metadata(spark, sf)).transform(transform_metadata)
+    """Metadata as per-request lookups: an entity comes back once per approach."""
+    return lookup(bronze_approaches(spark, sf).select("id"), bronze_metadata(spark, sf)).transform(transform_metadata)
 
 
 def _documents_labels(spark, sf):
@@ -128,6 +126,16 @@ def q_agg_flag_sum(spark, sf):
     return summarize(joined, "id", [("cantidad_bajo_seguimiento_riesgo", "bajo_seguimiento_riesgo", "sum")])
 
 
+def q_agg_typed(spark, sf):
+    """Extremes of times, texts and whole numbers, and a count that skips NaN."""
+    ev = load(spark, sf, "events").withColumn(
+        "reading", F.when(F.col("event_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("value")))
+    return summarize(ev, "user_id", [
+        ("first_ts", "ts", "min"), ("last_ts", "ts", "max"), ("first_type", "event_type", "min"),
+        ("last_event_id", "event_id", "max"), ("readings", "reading", "count"),
+    ])
+
+
 def q_agg_null_key(spark, sf):
     docs, labels = _documents_labels(spark, sf)
     joined = sized_join(docs.select("doc_id"), labels.select("doc_id", "quality"), "doc_id", "left")
@@ -233,7 +241,7 @@ def q_peek_top5(spark, sf):
 
 
 def q_window_7d(spark, sf):
-    return _run_bronze(spark, sf, 2)
+    return approaches_from_events(feed_window(load(spark, sf, "events"), "ts", scenario.RUN2_REF))
 
 
 # --- incremental and storage ------------------------------------------------------
@@ -269,14 +277,14 @@ def q_pending_by_key(spark, sf):
 
 def q_pending_missing_target(spark, sf):
     root = _stage(spark, "pending-missing")
-    batch = _run_bronze(spark, sf, 2).withColumn("id", to_id("id"))
+    batch = bronze_approaches(spark, sf).withColumn("id", to_id("id"))
     return pending_against(spark, batch, f"{root}/never_written", schemas.SILVER_APPROACHES_KEY,
                            schemas.SILVER_APPROACHES, null_safe=True)
 
 
 def q_merge_create(spark, sf):
     path = f"{_stage(spark, 'merge-create')}/bronze_approaches"
-    insert_only_merge(_run_bronze(spark, sf, 1), path, schemas.BRONZE_APPROACHES_KEY,
+    insert_only_merge(bronze_approaches(spark, sf), path, schemas.BRONZE_APPROACHES_KEY,
                       partition_by=schemas.APPROACHES_PARTITION, schema=schemas.BRONZE_APPROACHES)
     return read_table(spark, path, schemas.BRONZE_APPROACHES)
 
@@ -338,11 +346,15 @@ def q_migrate_layout(spark, sf):
     old = f"{root}/old"
     write_table(bronze_approaches(spark, sf), f"{old}/bronze_approaches")
     write_table(bronze_metadata(spark, sf), f"{old}/bronze_metadata")
+    write_table(silver_approaches(spark, sf), f"{old}/silver_approaches")
+    write_table(silver_metadata(spark, sf), f"{old}/silver_metadata")
     write_table(q_daily_summary(spark, sf), f"{old}/daily_summary")
     new = Lake(f"{root}/new")
     return migrate_layout(spark, [
         Move("bronze/approaches", f"{old}/bronze_approaches", new.bronze_approaches, ("fecha",)),
         Move("bronze/metadata", f"{old}/bronze_metadata", new.bronze_metadata),
+        Move("silver/approaches", f"{old}/silver_approaches", new.silver_approaches, ("fecha",)),
+        Move("silver/metadata", f"{old}/silver_metadata", new.silver_metadata),
         Move("gold/daily_summary", f"{old}/daily_summary", new.gold_daily_summary),
     ])
 
@@ -378,14 +390,39 @@ def q_lookup_quarantine(spark, sf):
     return quarantined_ids(quarantine)
 
 
+def q_lookup_quarantine_content(spark, sf):
+    """Documents that are JSON but wrong: a text for a number or a flag, no object, no id."""
+    value = F.col("value")
+    kind = F.get_json_object(value, "$.id").cast("bigint") % 5
+    wrong = (F.when(kind == 0, F.regexp_replace(value, r'"absolute_magnitude_h":[0-9.]+', '"absolute_magnitude_h":"oops"'))
+             .when(kind == 1, F.lit("[]"))
+             .when(kind == 2, F.regexp_replace(value, r'"id":"\d+",', ""))
+             .when(kind == 3, F.regexp_replace(value, r'"is_sentry_object":(true|false)', '"is_sentry_object":"yes"'))
+             .otherwise(value))
+    docs = lookup_documents(load(spark, sf, "part")).select(wrong.alias("value"))
+    parsed, quarantine = read_lookup_documents(spark, land_text(docs, f"{_stage(spark, 'lookups-wrong')}/landing"))
+    return (parsed.select(F.lit("parsed").alias("state"), to_id("id").alias("id"))
+            .unionByName(quarantined_ids(quarantine).select(F.lit("quarantined").alias("state"), "id")))
+
+
+# fixed values: ids named by hand, one of them unknown
+LITERAL_IDS = (1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 10**12)
+
+
+def q_lookup_literal_ids(spark, sf):
+    parsed, _ = _landed_lookups(spark, sf, broken=False)
+    wanted = literal_ids(spark, LITERAL_IDS).select(F.col("id").cast("string").alias("id"))
+    return lookup(wanted, flatten_lookups(parsed), distinct=True)
+
+
 def q_lookup_semi(spark, sf):
     parsed, _ = _landed_lookups(spark, sf, broken=False)
-    return lookup(_run_bronze(spark, sf, 1).select("id"), flatten_lookups(parsed), distinct=True)
+    return lookup(bronze_approaches(spark, sf).select("id"), flatten_lookups(parsed), distinct=True)
 
 
 def q_lookup_per_request(spark, sf):
     parsed, _ = _landed_lookups(spark, sf, broken=False)
-    return lookup(_run_bronze(spark, sf, 1).select("id"), flatten_lookups(parsed), distinct=False)
+    return lookup(bronze_approaches(spark, sf).select("id"), flatten_lookups(parsed), distinct=False)
 
 
 # --- jobs over two landed pulls ---------------------------------------------------------
@@ -436,6 +473,64 @@ def q_stream_ingest(spark, sf):
     return read_table(spark, lake.bronze_approaches, schemas.BRONZE_APPROACHES)
 
 
+def q_gold_after_recovery(spark, sf):
+    """The daily summary once the orphans of the two deliveries have been looked up again."""
+    lake = scenario.recovered(spark, sf)
+    return read_table(spark, lake.gold_daily_summary, schemas.GOLD_DAILY_SUMMARY)
+
+
+def q_silver_rerun_stable(spark, sf):
+    """Three silver runs over bronze whose full time is on the day before, or unknown, for some rows."""
+    lake = Lake(_stage(spark, "silver-rerun"))
+    full = F.col("close_approach_date_full")
+    moved = (F.when(F.col("orbiting_body") == "error", F.lit(None))
+             .when(F.hour(full) < 6, full - F.expr("INTERVAL 1 DAY")).otherwise(full))
+    write_table(bronze_approaches(spark, sf).withColumn("close_approach_date_full", moved), lake.bronze_approaches,
+                partition_by=schemas.APPROACHES_PARTITION)
+    write_table(bronze_metadata(spark, sf), lake.bronze_metadata)
+    for _ in range(3):
+        run_silver(spark, lake)
+    return read_table(spark, lake.silver_approaches, schemas.SILVER_APPROACHES)
+
+
+def q_silver_backlog(spark, sf):
+    """A silver run, two bronze loads without one, then a silver run that takes up both."""
+    lake = Lake(_stage(spark, "silver-backlog"))
+    bronze, full = bronze_approaches(spark, sf), F.col("close_approach_date_full")
+    first, second = (F.lit(x).cast("timestamp_ntz") for x in (scenario.RUN2_FROM, scenario.RUN1_UNTIL))
+    write_table(bronze_metadata(spark, sf), lake.bronze_metadata)
+    write_table(bronze.where(full < first), lake.bronze_approaches, partition_by=schemas.APPROACHES_PARTITION)
+    run_silver(spark, lake)
+    for part in ((full >= first) & (full <= second), full > second):
+        write_table(bronze.where(part), lake.bronze_approaches, mode="append", partition_by=schemas.APPROACHES_PARTITION)
+    run_silver(spark, lake)
+    return read_table(spark, lake.silver_approaches, schemas.SILVER_APPROACHES)
+
+
+def _feed_with_rejects(spark, sf) -> DataFrame:
+    docs = feed_documents(load(spark, sf, "events"), without_approach=F.col("event_type") == "error")
+    return read_feed(spark, land_text(docs, f"{_stage(spark, 'feed-rejects')}/landing"))
+
+
+def q_feed_rejects(spark, sf):
+    return feed_rejects(_feed_with_rejects(spark, sf))
+
+
+def q_rejects_rerun(spark, sf):
+    """The rejects table after the same delivery was taken twice."""
+    lake, feed = Lake(_stage(spark, "rejects-rerun")), _feed_with_rejects(spark, sf)
+    for _ in range(2):
+        ingest_bronze(lake, feed, bronze_metadata(spark, sf))
+    return read_table(spark, lake.bronze_rejects)
+
+
+def q_schema_replace_roundtrip(spark, sf):
+    path = f"{_stage(spark, 'schema-replace')}/metadata"
+    write_table(bronze_metadata(spark, sf), path)
+    write_table(silver_metadata(spark, sf), path, replace_schema=True)
+    return read_table(spark, path, schemas.SILVER_METADATA)
+
+
 def q_layer_counts(spark, sf):
     lake = scenario.two_runs(spark, sf)
     return layer_counts({
@@ -500,6 +595,15 @@ QUERIES = {
     "e2e_daily_summary_distinct": q_e2e_daily_summary_distinct,
     "integrity_report": q_integrity_report,
     "orphan_recovery": q_orphan_recovery,
+    "gold_after_recovery": q_gold_after_recovery,
+    "silver_rerun_stable": q_silver_rerun_stable,
+    "silver_backlog": q_silver_backlog,
+    "feed_rejects": q_feed_rejects,
+    "rejects_rerun": q_rejects_rerun,
+    "schema_replace_roundtrip": q_schema_replace_roundtrip,
+    "lookup_quarantine_content": q_lookup_quarantine_content,
+    "lookup_literal_ids": q_lookup_literal_ids,
+    "agg_typed": q_agg_typed,
     "layer_counts": q_layer_counts,
     "stream_ingest": q_stream_ingest,
 }

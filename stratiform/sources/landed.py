@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stratiform import schemas
 
@@ -30,16 +30,19 @@ def read_feed(spark: SparkSession, path: str, multi_line: bool = False) -> DataF
 def read_lookup_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Lookup documents split into (parsed, quarantine).
 
-    A document that is not valid JSON is not fatal: it goes to the quarantine
-    frame with its raw text, the rest goes on.  Both frames are lazy and
-    derived from one text scan; nothing is collected.
+    A document that is not valid JSON, is no object, holds a value of another type or
+    has no id is not fatal: it goes to the quarantine frame with its raw text, the rest
+    goes on.  Both frames are lazy; nothing is collected.
     """
-    raw = spark.read.text(path)
-    valid = F.try_parse_json(F.col("value")).isNotNull()
-    parsed = (raw.where(valid)
-              .select(F.from_json(F.col("value"), schemas.LOOKUP).alias("doc"))
-              .select("doc.*"))
-    quarantine = raw.where(~valid).select(F.col("value").alias("_corrupt_record"))
+    known = StructType([*schemas.LOOKUP.fields, StructField("_corrupt_record", StringType())])
+    doc = F.from_json("value", known, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    # through explode the parsed value is computed once a line, not once a use
+    docs = spark.read.text(path).select("value", F.explode(F.array(doc)).alias("doc"))
+    # text after the object, such as a second one on the line, is not seen by the parser
+    whole = F.col("value").rlike(r"\}\s*$") & ~F.col("value").rlike(r"\}\s*\{")
+    good = whole & F.col("doc.id").isNotNull() & F.col("doc._corrupt_record").isNull()
+    parsed = docs.where(good).select(*[F.col("doc")[f].alias(f) for f in schemas.LOOKUP.names])
+    quarantine = docs.where(~good).select(F.col("value").alias("_corrupt_record"))
     return parsed, quarantine
 
 

@@ -72,24 +72,26 @@ def metadata_from_part(part: DataFrame) -> DataFrame:
 
 # --- landing writers -----------------------------------------------------------
 
-def feed_documents(events: DataFrame, rows_per_document: int = FEED_ROWS_PER_DOCUMENT) -> DataFrame:
+def feed_documents(events: DataFrame, rows_per_document: int = FEED_ROWS_PER_DOCUMENT, without_approach=None) -> DataFrame:
     """Feed JSON text, one document per line: ``{element_count, near_earth_objects: {day: [..]}}``.
 
     Documents hold one day and at most ``rows_per_document`` consecutive event
-    ids, so no document (and no collect_list group) grows with the data.
+    ids, so no document (and no collect_list group) grows with the data.  Rows matching
+    ``without_approach`` get an empty list of close approaches.
     """
     miss = _miss_distance(events)
+    approaches = F.lit(1) if without_approach is None else F.when(without_approach, 0).otherwise(1)
     obj = F.struct(
         F.col("user_id").cast("string").alias("id"),
         F.concat(F.col("user_id").cast("string"), F.lit(" ("), F.col("event_type"), F.lit(")")).alias("name"),
         (F.col("event_type") == F.lit(HAZARD_EVENT)).alias("is_potentially_hazardous_asteroid"),
-        F.array(F.struct(
+        F.slice(F.array(F.struct(
             F.date_format("ts", FEED_DAY_FORMAT).alias("close_approach_date"),
             F.date_format("ts", FEED_TIME_FORMAT).alias("close_approach_date_full"),
             F.struct(F.col("value").cast("string").alias("kilometers_per_second")).alias("relative_velocity"),
             F.struct(miss.cast("string").alias("kilometers")).alias("miss_distance"),
             F.col("event_type").alias("orbiting_body"),
-        )).alias("close_approach_data"),
+        )), F.lit(1), approaches).alias("close_approach_data"),
     )
     grouped = (events
                .withColumn("_day", F.date_format("ts", FEED_DAY_FORMAT))

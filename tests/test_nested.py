@@ -89,6 +89,15 @@ def test_lookup_flatten_and_quarantine(spark, tmp_path):
     assert [r.id for r in quarantined_ids(quarantine).collect()] == [99]
 
 
+def test_wrong_lookup_documents_are_quarantined(spark, tmp_path):
+    one = json.dumps(LOOKUP)
+    wrong = [json.dumps(dict(LOOKUP, absolute_magnitude_h="oops")), json.dumps(dict(LOOKUP, is_sentry_object="yes")), "[]",
+             json.dumps({k: v for k, v in LOOKUP.items() if k != "id"}), one + one, one + " and more", "null", "7"]
+    parsed, quarantine = read_lookup_documents(spark, _land(tmp_path, "wrong", [one, *wrong, json.dumps({"id": "8"})]))
+    assert sorted(r.id for r in parsed.collect()) == ["2433", "8"]
+    assert sorted(r[0] for r in quarantine.collect()) == sorted(wrong)
+
+
 def test_ingest_keeps_rejects_and_reads_multiline_documents(spark, tmp_path, scratch):
     from stratiform.paths import Lake
     from stratiform.plans.jobs import ingest_bronze
