@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,3 +30,9 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
 def fold(id_col: str = "doc_id", folds: int = 3):
     """crc32 of the id as text, modulo ``folds``; NULL id gives NULL."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(folds)
+
+
+def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; a worker that has returned them all gives its unused Arrow memory back before it waits."""
+    yield from batches
+    pa.default_memory_pool().release_unused()

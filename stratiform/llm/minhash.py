@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.llm import texthash
-from stratiform.llm.common import staged
+from stratiform.llm.common import freed, staged
 from stratiform.llm.components import connected_components
 from stratiform.operators.joins import sized_join
 
@@ -98,7 +98,7 @@ def document_features(docs: DataFrame, shingle: int, m: int = HALVES, h: int = R
               + ", ".join(f"{c} bigint" for c in _BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _features(batches, shingle, m, h)
+        return freed(_features(batches, shingle, m, h))
 
     return docs.mapInArrow(run, schema)
 
@@ -106,7 +106,7 @@ def document_features(docs: DataFrame, shingle: int, m: int = HALVES, h: int = R
 def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
     """(doc_id, set): the sorted distinct shingle hashes of every row."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
             for texts in texthash.chunks(batch.column(1)):
@@ -117,6 +117,9 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets).view(np.int64)))], ["doc_id", "set"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return freed(sets_of(batches))
+
     return docs.mapInArrow(run, "doc_id bigint, set array<bigint>")
 
 

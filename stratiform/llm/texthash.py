@@ -18,7 +18,7 @@ _BASE = 0x9E3779B97F4A7C15 & ~7 | 3
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _STEP = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: dict[int, np.ndarray] = {}
-CHUNK = 1 << 20
+CHUNK = 1 << 18  # bytes of text hashed at once: a dozen arrays of 8 bytes each stand beside them
 
 
 def _power(base: int, n: int) -> np.ndarray:
