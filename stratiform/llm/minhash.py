@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from stratiform.llm import texthash
 from stratiform.llm.common import freed, staged
 from stratiform.llm.components import connected_components
-from stratiform.operators.joins import sized_join
+from stratiform.operators.joins import fits_broadcast, sized_join, skew_safe_join
 
 HALVES = 7  # half keys of each collection: 49 tables
 ROWS = 3  # minimum hashes of a half key
@@ -147,14 +147,24 @@ def _confirm(pairs: DataFrame, features: DataFrame, docs: DataFrame, shingle: in
     return both.where(common * 100 >= union * percent).select("a", "b")
 
 
+def _attached(rows: DataFrame, known: DataFrame, keys: list[str], known_keys: list[str]) -> DataFrame:
+    """Left join with one row per key; rows stay in place while ``known`` is small, beyond it a hot key is salted."""
+    if fits_broadcast(known):
+        return rows.join(F.broadcast(known), [rows[a] == known[b] for a, b in zip(keys, known_keys)], "left")
+    return skew_safe_join(rows, known, keys, known_keys, "left")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, m: int = HALVES, h: int = ROWS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest id reachable by links) and kept."""
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     features = staged(document_features(docs, shingle, m, h), "features")
     known = features.where("doc_id IS NOT NULL AND n > 0")
-    classes = known.groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("rep"))
-    members = staged(known.join(classes, ["n", "fp1", "fp2"]), "members")
+    prints = ["n", "fp1", "fp2"]
+    classes = staged(known.groupBy(*prints).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+                     .select(*[F.col(c).alias(f"of_{c}") for c in prints], "rep"), "classes")
+    members = staged(_attached(known, classes, prints, [f"of_{c}" for c in prints])
+                     .select(*known.columns, F.coalesce("rep", "doc_id").alias("rep")), "members")
     reps = members.where("doc_id = rep").dropDuplicates(["doc_id"])
 
     tables = F.flatten(F.transform("u", lambda a, i: F.transform(F.col("v"), lambda b, j: F.xxhash64(a, b, i, j))))
@@ -182,8 +192,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, m: int
     second = _confirm(across, reps, docs, shingle, percent, "across")
     joined = connected_components(first.union(second))
 
-    named = (members.select("doc_id", "rep").distinct()
-             .join(joined, F.col("rep") == F.col("id"), "left")
+    named = (_attached(members.select("doc_id", "rep").distinct(), joined, ["rep"], ["id"])
              .select("doc_id", F.coalesce("component", "rep").alias("root"))
              .groupBy("doc_id").agg(F.min("root").alias("root")))
     return (features.select("doc_id", "n").join(named, "doc_id", "left")
