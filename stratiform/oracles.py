@@ -295,6 +295,12 @@ ORACLES.update({
   SELECT 'silver/approaches', COUNT(*) FROM events UNION ALL
   SELECT 'silver/metadata', COUNT(*) FROM part UNION ALL
   SELECT 'gold/daily_summary', COUNT(*) FROM (SELECT DISTINCT CAST(ts AS DATE) FROM events)""",
+    "migrate_layout_rows": f"""
+  SELECT *, 'bronze/approaches' AS "table" FROM ({BRONZE_APPROACHES}) UNION ALL BY NAME
+  SELECT *, 'bronze/metadata' AS "table" FROM ({BRONZE_METADATA}) UNION ALL BY NAME
+  SELECT * REPLACE (CAST(id AS VARCHAR) AS id), 'silver/approaches' AS "table" FROM ({SILVER_APPROACHES}) UNION ALL BY NAME
+  SELECT * REPLACE (CAST(id AS VARCHAR) AS id), 'silver/metadata' AS "table" FROM ({SILVER_METADATA}) UNION ALL BY NAME
+  SELECT *, 'gold/daily_summary' AS "table" FROM ({daily_summary_sql(SILVER_APPROACHES, SILVER_METADATA)})""",
     "feed_flatten": FEED_FLAT,
     "feed_count_check": """
   SELECT COUNT(DISTINCT (CAST(ts AS DATE), floor(event_id / 100))) AS documents,

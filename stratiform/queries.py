@@ -7,6 +7,8 @@ folder (``spark.checkpoint.dir``) and return a lazy read of the result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -341,7 +343,8 @@ def q_partition_roundtrip(spark, sf):
     return read_table(spark, path, schemas.SILVER_APPROACHES)
 
 
-def q_migrate_layout(spark, sf):
+def _migrated(spark, sf) -> tuple[Lake, DataFrame]:
+    """The five tables moved from a flat layout to the lake's, and what the migration reports."""
     root = _stage(spark, "migrate")
     old = f"{root}/old"
     write_table(bronze_approaches(spark, sf), f"{old}/bronze_approaches")
@@ -350,7 +353,7 @@ def q_migrate_layout(spark, sf):
     write_table(silver_metadata(spark, sf), f"{old}/silver_metadata")
     write_table(q_daily_summary(spark, sf), f"{old}/daily_summary")
     new = Lake(f"{root}/new")
-    return migrate_layout(spark, [
+    return new, migrate_layout(spark, [
         Move("bronze/approaches", f"{old}/bronze_approaches", new.bronze_approaches, ("fecha",)),
         Move("bronze/metadata", f"{old}/bronze_metadata", new.bronze_metadata),
         Move("silver/approaches", f"{old}/silver_approaches", new.silver_approaches, ("fecha",)),
@@ -359,6 +362,23 @@ def q_migrate_layout(spark, sf):
     ])
 
 
+def q_migrate_layout(spark, sf):
+    return _migrated(spark, sf)[1]
+
+
+def q_migrate_layout_rows(spark, sf):
+    """Every row of the five migrated tables, side by side; columns that a table lacks are NULL."""
+    lake, _ = _migrated(spark, sf)
+    bronze = [read_table(spark, lake.bronze_approaches, schemas.BRONZE_APPROACHES),
+              read_table(spark, lake.bronze_metadata, schemas.BRONZE_METADATA)]
+    silver = [read_table(spark, lake.silver_approaches, schemas.SILVER_APPROACHES),
+              read_table(spark, lake.silver_metadata, schemas.SILVER_METADATA)]
+    named = [("bronze/approaches", bronze[0]), ("bronze/metadata", bronze[1]),
+             *((n, df.withColumn("id", F.col("id").cast("string"))) for n, df in zip(("silver/approaches", "silver/metadata"), silver)),
+             ("gold/daily_summary", read_table(spark, lake.gold_daily_summary, schemas.GOLD_DAILY_SUMMARY))]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [df.withColumn("table", F.lit(n)) for n, df in named])
+
+
 # --- nested sources -----------------------------------------------------------------
 
 def _landed_feed(spark, sf) -> DataFrame:
@@ -583,6 +603,7 @@ QUERIES = {
     "gold_roundtrip": q_gold_roundtrip,
     "partition_roundtrip": q_partition_roundtrip,
     "migrate_layout": q_migrate_layout,
+    "migrate_layout_rows": q_migrate_layout_rows,
     "feed_flatten": q_feed_flatten,
     "feed_count_check": q_feed_count_check,
     "lookup_flatten": q_lookup_flatten,
