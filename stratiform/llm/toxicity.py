@@ -7,11 +7,13 @@ power of the stretch it spans in both, so inserted characters weaken a match but
 break it.  Landmarks turn the kernel into a short feature vector (Nystrom), and a
 squared-hinge support vector machine separates insulting from other units.
 
-Training uses the labelled sentences of a bounded sample (``sample_docs`` documents a
-class).  Which unit makes them toxic is not labelled: witnesses are the units that stand
-in many different surroundings in toxic documents and hardly in others (copies of one
-document repeat their surroundings, so they count once).  A text's margin is the largest
-of its units, a logistic curve fitted on the sample's documents turns it into a score.
+Training uses the labelled sentences of a bounded sample (``sample_docs`` distinct texts
+a class, so copies of one text never crowd out others).  Which unit makes them toxic is
+not labelled: witnesses are the units that stand in different surroundings in toxic
+texts significantly more often than in others (near copies repeat their surroundings, so
+they count once).  Where no unit is significant, all units that lean to the toxic texts
+are trained on.  A text's margin is the largest of its units, a logistic curve fitted on
+the sample's texts turns it into a score.
 
 Defined results: NULL and empty texts, and texts without words, score the curve's lower
 end; labels are used in training alone; rows with a NULL id are scored and never
@@ -20,6 +22,7 @@ trained on; without labels of both classes every score is 0; every row gives one
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -33,7 +36,8 @@ from stratiform.operators.joins import sized_join
 
 SAMPLE_DOCS = 2000  # labelled documents of each class
 CANDIDATES = 600  # units looked at as witnesses
-WITNESS_SHARE = 0.01  # surroundings a witness has, as a share of the toxic documents
+WITNESS_LEAST = 3  # surroundings that a witness has at least
+FALSE_SHARE = 0.05  # of the witnesses, expected to lean to the toxic texts by chance
 LANDMARKS = 64
 HARD_ROUNDS, HARD_UNITS = 2, 1000  # rounds of adding the hardest other units of the sample
 NEGATIVES = 3000  # other units trained on
@@ -226,12 +230,35 @@ def _curve(margin: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
+def _chance(k1: int, k0: int, share: float) -> float:
+    """Probability that ``k1`` or more of ``k1 + k0`` places are toxic by chance, at the sample's ``share`` of toxic texts."""
+    n = k1 + k0
+    log = lambda k: (math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+                     + k * math.log(share) + (n - k) * math.log1p(-share))
+    return min(1.0, sum(math.exp(log(k)) for k in range(k1, n + 1)))
+
+
+def _significant(pairs: list[tuple[int, int, int]], tested: int, share: float) -> set[tuple[int, int]]:
+    """The (k1, k0) that pass at FALSE_SHARE among ``tested`` units (Benjamini-Hochberg), of (k1, k0, units with them)."""
+    ranked = sorted((_chance(k1, k0, share), k1, k0, n) for k1, k0, n in pairs)
+    rank, passed = 0, 0
+    for i, (p, _, _, n) in enumerate(ranked):
+        rank += n
+        if p <= FALSE_SHARE * rank / tested:
+            passed = i + 1
+    return {(k1, k0) for _, k1, k0, _ in ranked[:passed]}
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, decay: float = DECAY) -> dict | None:
     """The model learnt from labelled rows (doc_id, toxic) of ``labels`` and the texts of ``docs``."""
     known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    # one document for every distinct text of a class
+    prints = docs.select("doc_id", F.xxhash64(F.lower(F.coalesce("text", F.lit("")))).alias("print"))
+    distinct = staged(sized_join(prints, known, "doc_id", "inner").groupBy("toxic", "print")
+                      .agg(F.min("doc_id").alias("doc_id")).select("doc_id", "toxic").distinct(), "distinct-texts")
     picked = None
     for value in (1, 0):
-        some = known.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
+        some = distinct.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
         picked = some if picked is None else picked.union(some)
     picked = staged(picked, "sample")
 
@@ -255,9 +282,15 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, de
         F.count_distinct(F.when(F.col("toxic") == 1, F.col("around"))).alias("in_toxic"),
         F.count(F.when(F.col("toxic") == 0, 1)).alias("in_other")), "unit-counts")
     leaning = F.col("in_toxic") / F.lit(size[1]) - 20 * F.col("in_other") / F.lit(size[0])
-    suspects = (counts.where((leaning > 0) & (F.length("unit") >= 3) & (F.col("in_toxic") >= 3))
-                .orderBy(leaning.desc(), "unit").limit(CANDIDATES).select("unit", "in_toxic").collect())
-    witnesses = [r["unit"] for r in suspects if r["in_toxic"] >= WITNESS_SHARE * size[1]]
+    leans = counts.where((leaning > 0) & (F.length("unit") >= 3))
+    often = F.col("in_toxic") >= WITNESS_LEAST
+    tested = counts.where(often & (F.length("unit") >= 3)).count()
+    pairs = [tuple(r) for r in leans.where(often).groupBy("in_toxic", "in_other").count().collect()]
+    passed = _significant(pairs, tested, size[1] / (size[0] + size[1]))
+    if passed:
+        bar = counts.sparkSession.createDataFrame(sorted(passed), "in_toxic bigint, in_other bigint")
+        leans = leans.join(F.broadcast(bar), ["in_toxic", "in_other"], "left_semi")
+    witnesses = [r["unit"] for r in leans.orderBy(leaning.desc(), "unit").limit(CANDIDATES).select("unit").collect()]
     if not witnesses:
         return None
     other = counts.where((F.col("in_other") > 0) & ~F.col("unit").isin(witnesses))
