@@ -138,18 +138,19 @@ class Scanner:
         raw = text.encode("utf-8", "surrogatepass").lower()
         words = _WORD.findall(raw)
         if self.anchor.search(raw) is None:
-            return len(words), 0, None, None, "", "", 0.0, []
+            return len(words), 0, None, None, None, "", "", 0.0, []
         first_of: dict[bytes, list[int]] = {}
         for i, w in enumerate(words):
             if w in self.wanted:
                 first_of.setdefault(w, []).append(i)
-        n_base, first, last, base, labels, score, spans = 0, None, None, set(), set(), 0.0, []
+        n_base, first, last, latest, base, labels, score, spans = 0, None, None, None, set(), set(), 0.0, []
         for phrase, label in self.phrases:
             for i in first_of.get(phrase[0], ()):
                 if tuple(words[i:i + len(phrase)]) == phrase:
                     n_base += 1
                     first = i if first is None else min(first, i)
                     last = i + len(phrase) - 1 if last is None else max(last, i + len(phrase) - 1)
+                    latest = i if latest is None else max(latest, i)
                     base.add(label)
         for label, automaton in self.automata:
             places = sorted({i for w in automaton.first_words for i in first_of.get(w, ())})
@@ -166,7 +167,7 @@ class Scanner:
                     score = max(score, min(share, 0.99))
         if base:
             score = max(score, 0.5)
-        return len(words), n_base, first, last, ",".join(sorted(base)), ",".join(sorted(base | labels)), score, spans
+        return len(words), n_base, first, last, latest, ",".join(sorted(base)), ",".join(sorted(base | labels)), score, spans
 
 
 _scanners: dict[tuple, Scanner] = {}
@@ -174,13 +175,17 @@ _scanners: dict[tuple, Scanner] = {}
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: word count, phrase places, labels, score and the accepted spans (label, first word, last word)."""
+    """Per row: word count, phrase places, labels, score and the accepted spans (label, first word, last word).
+
+    ``first_word`` and ``last_start`` are the smallest and the largest start of a phrase, ``last_word`` is the last
+    word that a phrase covers.
+    """
     templates = TEMPLATES if templates is None else templates
     phrases = BASE_PHRASES if phrases is None else phrases
     key = (tuple(sorted(templates.items())), tuple(sorted(phrases.items())))
     span = pa.struct([("label", pa.string()), ("first", pa.int64()), ("last", pa.int64())])
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.list_(span)]
-    names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.list_(span)]
+    names = ["n_words", "n_base", "first_word", "last_word", "last_start", "base_labels", "labels", "score", "spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _scanners:
@@ -191,12 +196,12 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, phra
             cols = []
             for i, kind in enumerate(types):
                 values = [r[i] for r in rows]
-                if i == 7:
+                if i == 8:
                     values = [[dict(zip(("label", "first", "last"), s)) for s in v] for v in values]
                 cols.append(pa.array(values, kind))
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["doc_id", *names])
 
     kept = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return kept.mapInArrow(run, "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
-                                "base_labels string, labels string, score double, "
+                                "last_start bigint, base_labels string, labels string, score double, "
                                 "spans array<struct<label:string,first:bigint,last:bigint>>")

@@ -29,7 +29,9 @@ def op2_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+    """The places are starts of base phrases, the smallest and the largest."""
+    return scan_licenses(table(spark, sf_dir, "documents")).selectExpr(
+        "doc_id", "n_words", "n_base", "first_word", "last_start AS last_word", "base_labels", "labels", "score")
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
