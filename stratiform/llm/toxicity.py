@@ -11,7 +11,8 @@ Training uses the labelled sentences of a bounded sample (``sample_docs`` distin
 a class, so copies of one text never crowd out others).  Which unit makes them toxic is
 not labelled: witnesses are the units that stand in different surroundings in toxic
 texts significantly more often than in others (near copies repeat their surroundings, so
-they count once).  Where no unit is significant, all units that lean to the toxic texts
+they count once).  Significant units too short for a subsequence get a positive margin
+as they are.  Where no unit is significant, all units that lean to the toxic texts
 are trained on.  A text's margin is the largest of its units, a logistic curve fitted on
 the sample's texts turns it into a score.
 
@@ -158,6 +159,7 @@ class Scorer:
         self.kernel = Kernel(model["landmarks"], model["decay"])
         self.weights, self.bias = np.array(model["weights"]), model["bias"]
         self.slope, self.shift = model["slope"], model["shift"]
+        self.short = set(model["short"])
         self.cache: dict[str, float] = {}
 
     def margins(self, texts: list[str]) -> np.ndarray:
@@ -178,7 +180,8 @@ class Scorer:
             parts = [_windows(u) for u in some]
             value = self.kernel.weighted([w for p in parts for w in p], self.weights) + self.bias
             begin = np.r_[0, np.cumsum([len(p) for p in parts])[:-1]]
-            out += np.maximum.reduceat(value, begin).tolist()
+            top = np.maximum.reduceat(value, begin).tolist()
+            out += [max(m, 1.0) if u in self.short else m for u, m in zip(some, top)]
         return out
 
     def scores(self, texts: list[str]) -> np.ndarray:
@@ -282,18 +285,20 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, de
         F.count_distinct(F.when(F.col("toxic") == 1, F.col("around"))).alias("in_toxic"),
         F.count(F.when(F.col("toxic") == 0, 1)).alias("in_other")), "unit-counts")
     leaning = F.col("in_toxic") / F.lit(size[1]) - 20 * F.col("in_other") / F.lit(size[0])
-    leans = counts.where((leaning > 0) & (F.length("unit") >= 3))
+    leans = counts.where(leaning > 0)
     often = F.col("in_toxic") >= WITNESS_LEAST
-    tested = counts.where(often & (F.length("unit") >= 3)).count()
+    tested = counts.where(often).count()
     pairs = [tuple(r) for r in leans.where(often).groupBy("in_toxic", "in_other").count().collect()]
     passed = _significant(pairs, tested, size[1] / (size[0] + size[1]))
     if passed:
         bar = counts.sparkSession.createDataFrame(sorted(passed), "in_toxic bigint, in_other bigint")
         leans = leans.join(F.broadcast(bar), ["in_toxic", "in_other"], "left_semi")
-    witnesses = [r["unit"] for r in leans.orderBy(leaning.desc(), "unit").limit(CANDIDATES).select("unit").collect()]
-    if not witnesses:
+    ranked, brief = leans.orderBy(leaning.desc(), "unit"), F.length("unit") < 3
+    witnesses = [r["unit"] for r in ranked.where(~brief).limit(CANDIDATES).select("unit").collect()]
+    short = sorted(r["unit"] for r in ranked.where(brief).limit(CANDIDATES).select("unit").collect()) if passed else []
+    if not witnesses and not short:
         return None
-    other = counts.where((F.col("in_other") > 0) & ~F.col("unit").isin(witnesses))
+    other = counts.where((F.col("in_other") > 0) & ~F.col("unit").isin([*witnesses, *short]))
     frequent = other.orderBy(F.col("in_other").desc(), "unit").limit(NEGATIVES // 2)
     chance = other.orderBy(F.xxhash64("unit"), "unit").limit(NEGATIVES // 2)
     negatives = sorted({r["unit"] for r in frequent.union(chance).collect()})
@@ -307,11 +312,15 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, de
     root = vector[:, strong] / np.sqrt(value[strong])  # landmarks to the space of the kernel
 
     def fitted(negatives: list[str]) -> dict:
+        if not positives:  # short witnesses alone
+            return {"landmarks": landmarks, "decay": decay, "weights": [0.0] * len(landmarks), "bias": -1.0, "slope": 1.0,
+                    "shift": 0.0, "short": short}
         words = positives + negatives
         y = np.r_[np.ones(len(positives)), -np.ones(len(negatives))]
         weight = np.where(y > 0, 0.5 / len(positives), 0.5 / len(negatives)) * len(y)
         w, bias = _svm(compare(words) @ root, y, weight)
-        return {"landmarks": landmarks, "decay": decay, "weights": (root @ w).tolist(), "bias": bias, "slope": 1.0, "shift": 0.0}
+        return {"landmarks": landmarks, "decay": decay, "weights": (root @ w).tolist(), "bias": bias, "slope": 1.0, "shift": 0.0,
+                "short": short}
 
     model = fitted(negatives)
     for _ in range(HARD_ROUNDS):  # the sample's other units that the model takes for insults
