@@ -72,5 +72,66 @@ links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
 reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
 c AS (SELECT a, min(b) AS root FROM reach GROUP BY a)
 SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, root AS component_id, doc_id = root AS kept FROM s JOIN c ON doc_id = a
+""",
+    "op11_repeated_passages": """
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+   FROM documents),
+win AS (SELECT doc_id, p, array_to_string(w[p:p + 49], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d)),
+first AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS q FROM win JOIN first USING (s) WHERE m < doc_id),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS q FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY q) AS t FROM word ANTI JOIN gone USING (doc_id, q) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op12_collocations": """
+WITH piece AS (SELECT row_number() OVER () AS id, lang, list_filter(string_split_regex(x, '[\\x20\\x09]+'), lambda y: y <> '') AS w
+   FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS x FROM documents)),
+spot AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM piece),
+gram AS (SELECT lang, w[i:i + k - 1] AS g FROM spot, range(1, 6) AS s(k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, g, count(*) AS a FROM gram GROUP BY lang, g HAVING count(*) >= 100),
+size AS (SELECT lang, count(*) AS n FROM spot GROUP BY lang),
+cand AS (SELECT lang, g, a FROM f WHERE len(g) >= 2),
+inner_of AS (SELECT DISTINCT lang, g[i:j] AS g, a FROM (SELECT lang, g, a, i, unnest(range(i + 1, len(g) + 1)) AS j
+   FROM (SELECT lang, g, a, unnest(range(1, len(g))) AS i FROM cand WHERE len(g) > 2)) WHERE j - i + 1 < len(g)),
+left_over AS (SELECT c.* FROM cand c WHERE NOT EXISTS (SELECT 1 FROM inner_of o WHERE o.lang = c.lang AND o.g = c.g AND o.a >= c.a)),
+cut AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM left_over),
+scored AS (SELECT cut.lang, cut.g, cut.a, k, x.a AS l, y.a AS r, n,
+   (1000::HUGEINT * cut.a * n) // (x.a::HUGEINT * y.a) AS score
+   FROM cut JOIN f x ON x.lang = cut.lang AND x.g = cut.g[1:k] JOIN f y ON y.lang = cut.lang AND y.g = cut.g[k + 1:]
+   JOIN size ON size.lang = cut.lang),
+least AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS o FROM scored),
+ranked AS (SELECT *, array_to_string(g, ' ') AS phrase FROM least WHERE o = 1)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM ranked) WHERE rank <= 2000
+""",
+    "op13_filter_audit": """
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+   min(doc_id) OVER (PARTITION BY text) AS first FROM t),
+m AS (SELECT doc_id, part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+   100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text), regexp_matches(text, '[#$%&*|]'),
+   coalesce(doc_id > first, false)] AS fails FROM w),
+marks AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+j AS (SELECT part, fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM m LEFT JOIN marks USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM j GROUP BY ALL),
+l(x) AS (VALUES (1), (2), (3), (4), (5)),
+o AS (SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM l a, l b, l c, l d, l e
+   WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT o, unnest(range(1, 6)) AS step FROM o),
+r AS (SELECT part, o, step, n, good, toxic, fails, fails[o[step]] AS here,
+   len(list_filter(o[1:step - 1], lambda x: fails[x])) > 0 AS gone, len(list_filter(fails, lambda x: x)) = 1 AS alone FROM c, s),
+g AS (SELECT part, o, step, sum(n) FILTER (WHERE NOT gone AND NOT here) AS kept, sum(n) FILTER (WHERE here AND NOT gone) AS removed,
+   sum(n) FILTER (WHERE here AND gone) AS redundant, sum(n) FILTER (WHERE here AND alone) AS unique_fails,
+   sum(good) FILTER (WHERE here AND NOT gone) AS good_lost, sum(toxic) FILTER (WHERE here AND NOT gone) AS toxic_lost
+   FROM r GROUP BY part, o, step)
+SELECT part, array_to_string(list_transform(o, lambda x: substr('ABCDE', x, 1)), '') AS filter_order, CAST(step AS INTEGER) AS step,
+  CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, o[step]) AS BIGINT) AS shapley
+FROM g
 """,
 }

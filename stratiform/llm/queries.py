@@ -6,12 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stratiform.llm.chat import rotate
+from stratiform.llm.collocations import collocations
 from stratiform.llm.common import table
 from stratiform.llm.decontam import contaminated
 from stratiform.llm.embdup import near_duplicate_vectors
+from stratiform.llm.filteraudit import filter_interactions
 from stratiform.llm.licenses import scan_licenses
 from stratiform.llm.minhash import near_duplicates
 from stratiform.llm.packing import pack_documents
+from stratiform.llm.passages import repeated_passages
 from stratiform.llm.quality import score_quality
 from stratiform.llm.tokencount import token_counts
 from stratiform.llm.toxicity import score_toxicity
@@ -69,7 +72,22 @@ def op10_rotate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "aggregate(mask, 0L, (a, m) -> a + m.end - m.start) AS mask_chars")
 
 
+def op11_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"), window=50).selectExpr(
+        "doc_id", "n_words", "aggregate(removed, 0L, (n, s) -> n + s.end - s.start) AS n_removed", "sha2(kept, 256) AS kept_sha256")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=100, top=2_000)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {"op1_pack": op1_pack, "op2_contaminated": op2_contaminated, "op3_licenses": op3_licenses, "op4_token_counts": op4_token_counts,
            "op5_near_duplicate_vectors": op5_near_duplicate_vectors, "op6_quality": op6_quality,
            "op7_capture_histories": op7_capture_histories, "op8_toxicity": op8_toxicity,
-           "op9_near_duplicates": op9_near_duplicates, "op10_rotate": op10_rotate}
+           "op9_near_duplicates": op9_near_duplicates, "op10_rotate": op10_rotate,
+           "op11_repeated_passages": op11_repeated_passages, "op12_collocations": op12_collocations,
+           "op13_filter_audit": op13_filter_audit}
