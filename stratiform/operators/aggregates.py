@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratiform.functions.exact import exact_mean, exact_partials, exact_sum, merged_mean
 from stratiform.functions.expr import nan_to_null, round_half_even
 from stratiform.operators.joins import BROADCAST_MAX_BYTES, keys_bound, sized_join
 
@@ -20,14 +21,15 @@ def _agg(fn: str, c: Column, kind: str) -> Column:
     if fn == "count":
         return F.count(c)
     if fn == "mean":
-        return F.avg(c)
+        return F.avg(c) if kind.startswith("decimal") else exact_mean(c.cast("double"))
     if fn == "max":
         return F.max(c)
     if fn == "min":
         return F.min(c)
     if fn == "sum":
         # a flag or number summed as double; a group with only NULLs gives 0.0
-        return F.coalesce(F.sum(nan_to_null(c.cast("double"))), F.lit(0.0))
+        total = F.sum(c.cast("double")) if kind == "boolean" else exact_sum(c.cast("double"))
+        return F.coalesce(total, F.lit(0.0))
     raise ValueError(f"unknown aggregate {fn!r}; expected one of {AGG_FUNCTIONS}")
 
 
@@ -58,9 +60,7 @@ DAILY_ROUNDED = ("velocidad_promedio_km_s", "velocidad_maxima_km_s", "distancia_
 
 
 def _daily_join_first(a: DataFrame, m: DataFrame, key: str, day: str) -> DataFrame:
-    meta = m.select(key, F.col("bajo_seguimiento_riesgo").cast("double").alias("bajo_seguimiento_riesgo"),
-                    "diameter_max_km")
-    joined = sized_join(a, meta, key, "left")
+    joined = sized_join(a, m.select(key, "bajo_seguimiento_riesgo", "diameter_max_km"), key, "left")
     return summarize(joined, day, [
         ("cantidad_aproximaciones", key, "count"),
         ("velocidad_promedio_km_s", "relative_velocity_km_per_second", "mean"),
@@ -113,7 +113,27 @@ def _weight() -> Column:
     return F.greatest(F.coalesce(F.col("_matches"), F.lit(0)), F.lit(1)).cast("bigint")
 
 
-def _finish(out: DataFrame) -> DataFrame:
+def _states(key: str) -> list[Column]:
+    """Mergeable aggregates of approaches: counts, exact sums, extremes."""
+    v, d = F.col("relative_velocity_km_per_second"), F.col("miss_distance_km")
+    return [F.count(F.col(key)).alias("n_key"), F.count(F.lit(1)).alias("n_rows"), *exact_partials(v, "v"), *exact_partials(d, "d"),
+            F.max(nan_to_null(v)).alias("max_v"), F.min(nan_to_null(d)).alias("min_d")]
+
+
+def approach_partials(a: DataFrame, key: str = "id", day: str = "fecha") -> DataFrame:
+    """One mergeable row per (day, id); rows without a day are left out."""
+    return a.where(F.col(day).isNotNull()).groupBy(day, key).agg(*_states(key))
+
+
+def _finish(states: DataFrame, day: str) -> DataFrame:
+    """Daily rows from states that carry a weight, their flags and their largest diameter."""
+    w = F.col("_w")
+    out = states.groupBy(day).agg(
+        F.sum(F.col("n_key") * w).cast("bigint").alias("cantidad_aproximaciones"),
+        merged_mean("v", w).alias("velocidad_promedio_km_s"), F.max("max_v").alias("velocidad_maxima_km_s"),
+        F.min("min_d").alias("distancia_minima_km"), merged_mean("d", w).alias("distancia_promedio_km"),
+        F.coalesce(F.sum("_flags"), F.lit(0.0)).alias("cantidad_bajo_seguimiento_riesgo"),
+        F.max("_dmax").alias("diametro_maximo_km"))
     return out.select(*[round_half_even(c).alias(c) if c in DAILY_ROUNDED else F.col(c) for c in DAILY_COLUMNS])
 
 
@@ -121,53 +141,29 @@ def _daily_broadcast_entities(a: DataFrame, m: DataFrame, key: str, day: str) ->
     """Approaches stay where they are (no shuffle); the per-entity rows are broadcast.
 
     Only the metadata is shuffled (to collapse duplicates to one row per id), so
-    neither a hot id nor a duplicated entity multiplies work.
+    neither a hot id nor a duplicated entity multiplies work.  Rows are summed per (day, weight)
+    first, so that the row-wise sums are whole numbers and the few weighted ones wide decimals.
     """
-    v = nan_to_null(F.col("relative_velocity_km_per_second"))
-    d = nan_to_null(F.col("miss_distance_km"))
-    w = _weight()
-    j = a.where(F.col(day).isNotNull()).join(F.broadcast(_per_entity(m, key)), key, "left")
-    out = j.groupBy(day).agg(
-        F.coalesce(F.sum(F.when(F.col(key).isNotNull(), w)), F.lit(0)).cast("bigint")
-        .alias("cantidad_aproximaciones"),
-        F.try_divide(F.sum(v * w), F.sum(F.when(v.isNotNull(), w))).alias("velocidad_promedio_km_s"),
-        F.max(v).alias("velocidad_maxima_km_s"),
-        F.min(d).alias("distancia_minima_km"),
-        F.try_divide(F.sum(d * w), F.sum(F.when(d.isNotNull(), w))).alias("distancia_promedio_km"),
-        F.coalesce(F.sum("_flags"), F.lit(0.0)).alias("cantidad_bajo_seguimiento_riesgo"),
-        F.max("_dmax").alias("diametro_maximo_km"),
-    )
-    return _finish(out)
+    j = a.where(F.col(day).isNotNull()).join(F.broadcast(_per_entity(m, key)), key, "left").withColumn("_w", _weight())
+    return _finish(j.groupBy(day, "_w").agg(*_states(key), F.sum("_flags").alias("_flags"), F.max("_dmax").alias("_dmax")), day)
 
 
-def _daily_preaggregated(a: DataFrame, m: DataFrame, key: str, day: str) -> DataFrame:
-    """Same result, shaped for a metadata side too large to broadcast.
+def summary_of_partials(partials: DataFrame, m: DataFrame, key: str = "id", day: str = "fecha",
+                        max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """The daily summary from ``approach_partials`` and metadata.
 
-    Approaches collapse to one partial row per (day, id) before any shuffle and
-    metadata to one row per id, so the join moves compact rows and a hot id or a
-    duplicated entity never lands whole in one task.  The join fan-out is
-    replayed as a weight on the sums and counts; max/min are unaffected by it.
+    The join moves compact rows, and a hot id or a duplicated entity never lands whole in one task.  The
+    join fan-out is replayed as a weight on the sums and counts; max/min are unaffected by it.
     """
-    v = nan_to_null(F.col("relative_velocity_km_per_second"))
-    d = nan_to_null(F.col("miss_distance_km"))
-    per_key = (a.where(F.col(day).isNotNull())
-               .groupBy(day, key)
-               .agg(F.count(F.col(key)).alias("_n_key"),
-                    F.count(F.lit(1)).alias("_n_rows"),
-                    F.sum(v).alias("_sv"), F.count(v).alias("_nv"), F.max(v).alias("_maxv"),
-                    F.sum(d).alias("_sd"), F.count(d).alias("_nd"), F.min(d).alias("_mind")))
-    j = per_key.join(_per_entity(m, key), key, "left")
-    w = _weight()
-    out = j.groupBy(day).agg(
-        F.sum(F.col("_n_key") * w).alias("cantidad_aproximaciones"),
-        F.try_divide(F.sum(F.col("_sv") * w), F.sum(F.col("_nv") * w)).alias("velocidad_promedio_km_s"),
-        F.max("_maxv").alias("velocidad_maxima_km_s"),
-        F.min("_mind").alias("distancia_minima_km"),
-        F.try_divide(F.sum(F.col("_sd") * w), F.sum(F.col("_nd") * w)).alias("distancia_promedio_km"),
-        F.coalesce(F.sum(F.col("_n_rows") * F.col("_flags")), F.lit(0.0)).alias("cantidad_bajo_seguimiento_riesgo"),
-        F.max("_dmax").alias("diametro_maximo_km"),
-    )
-    return _finish(out)
+    j = sized_join(partials, _per_entity(m, key), key, "left", max_bytes=max_bytes,
+                   size_bound=keys_bound(m, key, ENTITY_VALUE_BYTES))
+    return _finish(j.withColumn("_w", _weight()).withColumn("_flags", F.col("n_rows") * F.col("_flags")), day)
+
+
+def _daily_preaggregated(a: DataFrame, m: DataFrame, key: str, day: str) -> DataFrame:
+    """Same result, shaped for a metadata side too large to broadcast: approaches collapse to
+    one partial row per (day, id) before any shuffle and metadata to one row per id."""
+    return summary_of_partials(approach_partials(a, key, day), m, key, day, max_bytes=0)
 
 
 def daily_summary(approaches: DataFrame, metadata: DataFrame, key: str = "id", day: str = "fecha",
@@ -175,6 +171,8 @@ def daily_summary(approaches: DataFrame, metadata: DataFrame, key: str = "id", d
     """Per day: approaches (fan-out of duplicated metadata included), mean/max velocity,
     min/mean distance, flagged approaches (double), largest diameter; rounded to 2.
 
+    Sums are exact whole numbers until the last step, so all plans, partitionings and retries give the same doubles.
+
     ``auto`` measures the metadata keys first (one scan of the key column): the
     per-entity rows take at most that plus 24 bytes per metadata row.  Under the bound
     the per-entity rows are broadcast and the approaches are never shuffled, so

@@ -18,6 +18,8 @@ from pyspark.sql.types import (
     StringType, TimestampNTZType, TimestampType,
 )
 
+from stratiform.session import new_scratch_dir
+
 # fixed value: largest side shipped to every task (in-memory bound, bytes)
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 16  # row header and null bits, per row
@@ -92,29 +94,32 @@ SALTS = 32
 
 
 def skew_safe_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str],
-                   how: str, hot_key_rows: int = HOT_KEY_ROWS, salts: int = SALTS) -> DataFrame:
+                   how: str, hot_key_rows: int = HOT_KEY_ROWS, salts: int = SALTS, left_rows: int | None = None) -> DataFrame:
     """Equi-join ``left[left_keys] == right[right_keys]`` that survives a hot left key.
 
-    Hot keys are found by a map-side combined count of the left keys (at most
-    rows / ``hot_key_rows`` of them, so the list is small; it is measured before
-    it is broadcast).  Their left rows get a salt from a hash of the row's
-    place, and their right rows are replicated once per salt, so every left
-    row still meets all its partners and the result is the same; only the hot
-    keys' right rows are replicated.  For inner, left outer, left semi and left
-    anti joins.  Without hot keys this is the plain join.
+    A left side of at most ``hot_key_rows`` rows holds no hot key, so its rows are counted first (``left_rows`` when
+    the caller knows them).  Beyond that, hot keys are found by a map-side combined count of the left keys (at most
+    rows / ``hot_key_rows`` of them).  The list is written once and measured before it is broadcast.  The left rows of a hot
+    key are dealt over ``salts`` tasks by their place, and its right rows are replicated once per salt, so every left
+    row still meets all its partners and the result is the same.  A place is only a fixed thing in stored files: where
+    there is a hot key, ``left`` is written to the shared folder first, so that a task run again deals its rows alike.
+    For inner, left outer, left semi and left anti joins.  Without hot keys this is the plain join.
     """
     cond = reduce(lambda a, b: a & b, [left[lk] == right[rk] for lk, rk in zip(left_keys, right_keys)])
-    hot = (left.groupBy(*left_keys).agg(F.count(F.lit(1)).alias("__n"))
-           .where(F.col("__n") > hot_key_rows).select(*left_keys))
+    if left_rows is None:
+        left_rows = left.count()
+    if left_rows <= hot_key_rows:
+        return left.join(right, cond, how)
+    hot = _stored(left.groupBy(*left_keys).agg(F.count(F.lit(1)).alias("__n"))
+                  .where(F.col("__n") > hot_key_rows).select(*left_keys), "hot-keys")
     if hot.isEmpty():
         return left.join(right, cond, how)
     small = F.broadcast if fits_broadcast(hot) else (lambda df: df)  # beyond the bound the list is joined by shuffle
-    # salt from the row's place, so equal rows of one input split spread too
-    row_hash = F.xxhash64(F.monotonically_increasing_id())
-    salted_left = (left.join(small(hot.withColumn("__hot_l", F.lit(True))), left_keys, "left")
-                   .withColumn("__salt_l", F.when(F.col("__hot_l"), F.pmod(row_hash, F.lit(salts)))
+    placed = _stored(left, "hot-rows").withColumn("__place", F.monotonically_increasing_id())
+    salted_left = (placed.join(small(hot.withColumn("__hot_l", F.lit(True))), left_keys, "left")
+                   .withColumn("__salt_l", F.when(F.col("__hot_l"), F.pmod(F.xxhash64("__place"), F.lit(salts)))
                                .otherwise(F.lit(0)).cast("int"))
-                   .drop("__hot_l"))
+                   .select(*left.columns, "__salt_l"))
     hot_r = small(hot.select(*[F.col(lk).alias(rk) for lk, rk in zip(left_keys, right_keys)])
                         .withColumn("__hot_r", F.lit(True)))
     salted_right = (right.join(hot_r, right_keys, "left")
@@ -124,3 +129,9 @@ def skew_safe_join(left: DataFrame, right: DataFrame, left_keys: list[str], righ
     cond = reduce(lambda a, b: a & b, [salted_left[lk] == salted_right[rk] for lk, rk in zip(left_keys, right_keys)])
     joined = salted_left.join(salted_right, cond & (salted_left["__salt_l"] == salted_right["__salt_r"]), how)
     return joined.drop("__salt_l", "__salt_r")
+
+
+def _stored(df: DataFrame, tag: str) -> DataFrame:
+    path = new_scratch_dir(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,7 +17,7 @@ from stratiform.operators.joins import (
     BROADCAST_MAX_BYTES, HOT_KEY_ROWS, SALTS, fits_broadcast, keys_bound, measured_bytes, sized_join,
     skew_safe_join,
 )
-from stratiform.operators.tables import append_table, check_schema, write_table
+from stratiform.operators.tables import append_table, write_table
 from stratiform.sources.landed import path_exists, read_table, stored_schema
 
 
@@ -49,8 +49,8 @@ def _match_columns(df: DataFrame, keys: list[str], null_safe: bool, prefix: str)
     return cols
 
 
-def anti_by_keys(batch: DataFrame, target: DataFrame, keys: list[str], null_safe: bool,
-                 measure_target: bool = False, hot_key_rows: int = HOT_KEY_ROWS, salts: int = SALTS) -> DataFrame:
+def anti_by_keys(batch: DataFrame, target: DataFrame, keys: list[str], null_safe: bool, measure_target: bool = False,
+                 hot_key_rows: int = HOT_KEY_ROWS, salts: int = SALTS, batch_rows: int | None = None) -> DataFrame:
     """Rows of ``batch`` with no key match in ``target``.
 
     Only the key columns of ``target`` are read, and repeated target keys are
@@ -61,7 +61,8 @@ def anti_by_keys(batch: DataFrame, target: DataFrame, keys: list[str], null_safe
     shuffle has measured it).  ``measure_target`` is for entity-sized targets:
     their key columns are measured first and, under the bound, broadcast, so the
     batch is not shuffled at all.  Otherwise a batch key holding more than
-    ``hot_key_rows`` rows is salted over ``salts`` tasks (``skew_safe_join``).
+    ``hot_key_rows`` rows is salted over ``salts`` tasks (``skew_safe_join``, which counts
+    the batch unless ``batch_rows`` says how many rows it has at most).
     """
     left_cols = _match_columns(batch, keys, null_safe, "__b_")
     right = target.select(*_match_columns(target, keys, null_safe, "__t_"))
@@ -73,15 +74,15 @@ def anti_by_keys(batch: DataFrame, target: DataFrame, keys: list[str], null_safe
         cond = reduce(lambda a, b: a & b, [left[b] == right[t] for b, t in zip(bnames, tnames)])
         return left.join(right, cond, "left_anti").select(*batch.columns)
     return skew_safe_join(left, right.distinct(), bnames, tnames, "left_anti",
-                          hot_key_rows, salts).select(*batch.columns)
+                          hot_key_rows, salts, batch_rows).select(*batch.columns)
 
 
 def pending_rows(batch: DataFrame, target: DataFrame | None, keys: list[str], null_safe: bool = True,
-                 measure_target: bool = False) -> DataFrame:
+                 measure_target: bool = False, batch_rows: int | None = None) -> DataFrame:
     """Rows not yet present downstream.  NULL keys match each other when ``null_safe``."""
     if target is None:
         return batch
-    return anti_by_keys(batch, target, keys, null_safe, measure_target)
+    return anti_by_keys(batch, target, keys, null_safe, measure_target, batch_rows=batch_rows)
 
 
 def pending_against(spark: SparkSession, batch: DataFrame, target_path: str, keys: list[str],
@@ -110,6 +111,11 @@ def first_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return picked.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
 
 
+def batch_extent(batch: DataFrame, column: str) -> tuple:
+    """(least, largest) of ``column`` and the rows of ``batch``, in one pass."""
+    return tuple(batch.agg(F.min(column), F.max(column), F.count(F.lit(1))).first())
+
+
 def partition_range_filter(batch: DataFrame, target: DataFrame, column: str, bounds=None) -> DataFrame:
     """Restrict ``target`` to the [min, max] of ``column`` in ``batch``.
 
@@ -127,7 +133,8 @@ def partition_range_filter(batch: DataFrame, target: DataFrame, column: str, bou
 def insert_only_merge(batch: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None,
                       null_safe: bool = False, dedup_source: bool = False, prune_on: str | None = None,
                       schema: StructType | None = None, measure_target: bool = False,
-                      prune_bounds: tuple | None = None) -> str:
+                      prune_bounds: tuple | None = None, batch_rows: int | None = None,
+                      observation: Observation | None = None) -> str:
     """Append the rows of ``batch`` whose key is not in the table at ``path``.
 
     Every unmatched source row is inserted, duplicates inside the batch
@@ -135,34 +142,34 @@ def insert_only_merge(batch: DataFrame, path: str, keys: list[str], partition_by
     never match and are inserted again) unless ``null_safe``.  A missing table is
     created from the whole batch.  ``prune_on`` names a partition column the keys
     determine, so only the target partitions the batch can touch are read.
-    ``prune_bounds`` passes that column's (min, max) in the batch when already known.
-    ``measure_target`` broadcasts an entity-sized target after measuring it.
+    ``prune_bounds`` passes that column's (min, max) in the batch when already known, ``batch_rows`` the rows it has at most.
+    ``measure_target`` broadcasts an entity-sized target after measuring it.  ``observation`` counts what is written.
     """
     spark = batch.sparkSession
     if dedup_source:
         batch = first_row_per_key(batch, keys)
     if not path_exists(spark, path):
-        write_table(batch, path, mode="overwrite", partition_by=partition_by)
+        write_table(batch, path, mode="overwrite", partition_by=partition_by, observation=observation)
         return path
     stored = stored_schema(spark, path)
-    if stored is not None:
-        check_schema(batch.schema, stored, partition_by)
     target = read_table(spark, path, schema or stored or batch.schema)
     if prune_on is not None:
+        if prune_bounds is None:
+            *prune_bounds, batch_rows = batch_extent(batch, prune_on)
         target = partition_range_filter(batch, target, prune_on, prune_bounds)
-    fresh = anti_by_keys(batch, target, keys, null_safe, measure_target)
-    append_table(fresh.select(*batch.columns), path, partition_by=partition_by)
+    fresh = anti_by_keys(batch, target, keys, null_safe, measure_target, batch_rows=batch_rows)
+    append_table(fresh.select(*batch.columns), path, partition_by=partition_by, observation=observation)  # checks the schema
     return path
 
 
 def lookup(ids: DataFrame, catalog: DataFrame, key: str = "id", distinct: bool = False,
-           max_bytes: int = BROADCAST_MAX_BYTES, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+           max_bytes: int = BROADCAST_MAX_BYTES, hot_key_rows: int = HOT_KEY_ROWS, rows: int | None = None) -> DataFrame:
     """Entities of ``catalog`` for the requested ``ids``.
 
     ``distinct=False`` answers every request, so an id asked for twice comes
     back twice (the per-request behaviour); ``distinct=True`` answers each id once.
     Ids with no catalog entry are skipped.  An entity the catalog holds more than
-    once is answered with its smallest row.
+    once is answered with its smallest row.  ``rows`` is the number of requests, when known.
     """
     if distinct:
         # a hot id asked for many times collapses map-side before the semi join
@@ -179,5 +186,5 @@ def lookup(ids: DataFrame, catalog: DataFrame, key: str = "id", distinct: bool =
         return requests.join(F.broadcast(answers), key, "inner").select(*catalog.columns)
     # too large to broadcast: a shuffle join in which a hot requested id is salted
     renamed = answers.withColumnRenamed(key, "__r_key")
-    return skew_safe_join(requests, renamed, [key], ["__r_key"], "inner", hot_key_rows).select(
+    return skew_safe_join(requests, renamed, [key], ["__r_key"], "inner", hot_key_rows, left_rows=rows).select(
         *[F.col("__r_key").alias(key) if c == key else F.col(c) for c in catalog.columns])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.functions.expr import (
@@ -43,6 +43,13 @@ def flatten_objects(objects: DataFrame) -> DataFrame:
             .withColumn("fecha", day_of("close_approach_date")))
 
 
+def objects_extent(objects: DataFrame) -> tuple:
+    """First and last day, rows that can be flattened, and all objects of a parsed pull, in one pass."""
+    first = F.get(F.col("o.close_approach_data"), 0)
+    day = day_of(parse_timestamp(first["close_approach_date"], FEED_DAY_FORMAT))
+    return tuple(objects.agg(F.min(day), F.max(day), F.count(first), F.count(F.lit(1))).first())
+
+
 def feed_rejects(feed: DataFrame) -> DataFrame:
     """Objects whose close-approach list is empty or missing (they cannot be flattened)."""
     return rejected_objects(feed_objects(feed))
@@ -54,15 +61,24 @@ def rejected_objects(objects: DataFrame) -> DataFrame:
         F.col("_feed_day").alias("feed_day"), F.col("o.id").alias("id"), F.col("o.name").alias("name"))
 
 
+def _held() -> Column:
+    """The objects a feed document holds."""
+    return F.aggregate(F.map_values("near_earth_objects"), F.lit(0).cast("bigint"),
+                       lambda acc, arr: acc + F.coalesce(F.size(arr), F.lit(0)).cast("bigint"))
+
+
+def declared_matches() -> Column:
+    """Whether a feed document holds as many objects as it declares."""
+    return F.col("element_count").eqNullSafe(_held())
+
+
 def feed_element_check(feed: DataFrame) -> DataFrame:
     """Declared ``element_count`` against the objects each document really holds.
 
     Computed per document as a row expression (no shuffle), then one global
     partial/final aggregate.
     """
-    actual = F.aggregate(F.map_values("near_earth_objects"), F.lit(0).cast("bigint"),
-                         lambda acc, arr: acc + F.coalesce(F.size(arr), F.lit(0)).cast("bigint"))
-    per_doc = feed.select(F.col("element_count").alias("declared"), actual.alias("actual"))
+    per_doc = feed.select(F.col("element_count").alias("declared"), _held().alias("actual"))
     return per_doc.agg(
         F.count(F.lit(1)).alias("documents"),
         F.coalesce(F.sum("declared"), F.lit(0)).cast("bigint").alias("declared_total"),

@@ -6,10 +6,11 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from stratiform.operators.observed import observed
 from stratiform.sources.landed import path_exists, stored_schema
 
 
@@ -32,16 +33,16 @@ def check_schema(incoming: StructType, stored: StructType, partition_by: Iterabl
                              f"extra={extra} changed_type={changed}")
 
 
-def _writer(df: DataFrame, mode: str, partition_by: list[str] | None, rebalance: bool):
+def _writer(df: DataFrame, mode: str, partition_by: list[str] | None, rebalance: bool, observation: Observation | None = None):
     # AQE sizes the write tasks (advisory partition size): hot partition values are
     # split, small outputs merged, so repeated small appends do not pile up files
-    if partition_by:
-        if rebalance:
-            df = df.hint("rebalance", *partition_by)
-        return df.write.mode(mode).partitionBy(*partition_by)
     if rebalance:
-        df = df.hint("rebalance")
-    return df.write.mode(mode)
+        df = df.hint("rebalance", *(partition_by or []))
+    if observation is not None:
+        # past the last shuffle: a result task counts once, however often it or an earlier one is retried
+        df = observed(df, observation)
+    writer = df.write.mode(mode)
+    return writer.partitionBy(*partition_by) if partition_by else writer
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -63,13 +64,13 @@ def stored_layout(spark: SparkSession, path: str) -> list[str]:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
-                replace_schema: bool = False, rebalance: bool = True) -> str:
+                replace_schema: bool = False, rebalance: bool = True, observation: Observation | None = None) -> str:
     """Save ``df`` as Parquet.  A changed schema is refused unless ``replace_schema``.
 
     An overwrite is written to a new folder beside the table and switched in when it is
     complete, so a failed write leaves the old table, and ``df`` may read the table it
     replaces.  An append must have the stored partition columns: rows written beside
-    partition folders would not be read back.
+    partition folders would not be read back.  ``observation`` takes the counts of the rows written (``observed``).
     """
     spark = df.sparkSession
     exists = path_exists(spark, path)
@@ -80,20 +81,45 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
             if mode == "append" and stored_layout(spark, path) != list(partition_by or []):
                 raise SchemaMismatch(f"partition columns differ from the stored table: {stored_layout(spark, path)}")
     if mode != "overwrite" or not exists:
-        _writer(df, mode, partition_by, rebalance).parquet(path)
+        _writer(df, mode, partition_by, rebalance, observation).parquet(path)
         return path
     fresh = f"{path.rstrip('/')}__new-{uuid.uuid4().hex[:12]}"
-    _writer(df, "error", partition_by, rebalance).parquet(fresh)
+    _writer(df, "error", partition_by, rebalance, observation).parquet(fresh)
     fs, hpath = _file_system(spark, path)
-    fs.delete(hpath(path), True)
-    if not fs.rename(hpath(fresh), hpath(path)):
-        raise OSError(f"could not move {fresh} to {path}")
+    switch_folders(fs, hpath, path, fresh)
     spark.catalog.refreshByPath(path)
     return path
 
 
-def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None, rebalance: bool = True) -> str:
-    return write_table(df, path, mode="append", partition_by=partition_by, rebalance=rebalance)
+def switch_folders(fs, hpath, path: str, fresh: str) -> None:
+    """Put the folder ``fresh`` in place of ``path``; the old one is moved aside first and moved back when that fails.
+
+    A reader that lists the table between the two moves finds none; one that listed it before
+    keeps reading the old files until they are deleted at the end.
+    """
+    aside = f"{path.rstrip('/')}__old-{uuid.uuid4().hex[:12]}"
+    if not fs.rename(hpath(path), hpath(aside)):
+        raise OSError(f"could not move {path} aside; the new rows are in {fresh}")
+    moved = False
+    try:
+        moved = fs.rename(hpath(fresh), hpath(path))
+    finally:
+        if not moved and not fs.rename(hpath(aside), hpath(path)):
+            raise OSError(f"the table {path} is in {aside}, the new rows are in {fresh}: neither could be moved")
+    if not moved:
+        raise OSError(f"could not move {fresh} to {path}; the old table is back in place")
+    fs.delete(hpath(aside), True)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str], observation: Observation | None = None) -> str:
+    """Overwrite only the partitions that ``df`` holds rows of; the others stay as they are."""
+    _writer(df, "overwrite", partition_by, True, observation).option("partitionOverwriteMode", "dynamic").parquet(path)
+    return path
+
+
+def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None, rebalance: bool = True,
+                 observation: Observation | None = None) -> str:
+    return write_table(df, path, mode="append", partition_by=partition_by, rebalance=rebalance, observation=observation)
 
 
 @dataclass(frozen=True)

@@ -359,3 +359,65 @@ ORACLES.update({
          COUNT(value) FILTER (WHERE event_id % 7 <> 0) AS readings
   FROM events WHERE user_id IS NOT NULL GROUP BY user_id""",
 })
+
+
+# columns of the layer tables, for counts of NULLs
+_LAYER_COLUMNS = {
+    ("bronze", "approaches", "ba"): "id name close_approach_date close_approach_date_full relative_velocity_km_per_second "
+                                    "miss_distance_km orbiting_body is_potentially_hazardous fecha",
+    ("bronze", "metadata", "bm"): "id name absolute_magnitude_h diameter_min_km diameter_max_km is_potentially_hazardous "
+                                  "is_sentry_object nasa_jpl_url",
+    ("silver", "approaches", "sa"): "id close_approach_date_full relative_velocity_km_per_second miss_distance_km orbiting_body "
+                                    "fecha hora",
+    ("silver", "metadata", "sm"): "id absolute_magnitude_h diameter_min_km diameter_max_km is_potentially_hazardous is_sentry_object "
+                                  "numero_oficial designacion_provisional tiene_designacion_oficial incertidumbre_diametro_km "
+                                  "bajo_seguimiento_riesgo",
+    ("gold", "daily_summary", "ds"): "fecha cantidad_aproximaciones velocidad_promedio_km_s velocidad_maxima_km_s distancia_minima_km "
+                                     "distancia_promedio_km cantidad_bajo_seguimiento_riesgo diametro_maximo_km",
+}
+
+
+def _report_sql() -> str:
+    parts = ["SELECT 'landed' AS layer, 'feed' AS \"table\", 'rows' AS measure, CAST(NULL AS VARCHAR) AS \"column\", "
+             "(SELECT count(*) FROM docs) AS n", "SELECT 'landed', 'feed', 'breaks', 'element_count', 0"]
+    for (layer, table, cte), columns in _LAYER_COLUMNS.items():
+        parts.append(f"SELECT '{layer}', '{table}', 'rows', NULL, count(*) FROM {cte}")
+        parts += [f"SELECT '{layer}', '{table}', 'nulls', '{c}', count(*) FILTER (WHERE {c} IS NULL) FROM {cte}" for c in columns.split()]
+    docs = " UNION ALL ".join(f"SELECT DISTINCT {i} AS run, CAST(ts AS DATE) AS d, floor(event_id / 100) AS b FROM events WHERE {w}"
+                              for i, w in enumerate((RUN1_WHERE, RUN2_WHERE)))
+    summary = daily_summary_sql("SELECT * FROM sa", "SELECT * FROM sm")
+    return f"WITH {TWO_RUNS}, ds AS ({summary}), docs AS ({docs}) " + " UNION ALL ".join(parts)
+
+
+ORACLES.update({
+    "agg_mean_exact": f"""
+  WITH s AS (SELECT *, miss_distance_km * pow(10.0, hora - 15) AS spread FROM ({SILVER_APPROACHES}))
+  SELECT orbiting_body, {_r2('AVG(relative_velocity_km_per_second)')} AS velocity_mean, {_r2('AVG(miss_distance_km)')} AS distance_mean,
+         {_r2('AVG(spread)')} AS spread_mean
+  FROM s WHERE orbiting_body IS NOT NULL GROUP BY orbiting_body""",
+    "silver_stream": SILVER_APPROACHES,
+    "gold_incremental": ORACLES["gold_after_recovery"],
+    "stream_dedup": f"""
+  WITH r1 AS (SELECT DISTINCT * FROM ({FEED_FLAT} WHERE {RUN1_WHERE})), r2 AS (SELECT DISTINCT * FROM ({FEED_FLAT} WHERE {RUN2_WHERE}))
+  SELECT * FROM r1 UNION ALL
+  SELECT * FROM r2 WHERE NOT EXISTS (SELECT 1 FROM r1 WHERE r1.id = r2.id AND r1.close_approach_date = r2.close_approach_date)""",
+    "merge_bucketed": ORACLES["merge_insert_by_id"],
+    "lookup_clustered": f"""
+  SELECT * FROM ({SILVER_APPROACHES}) WHERE id IN (1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 1000000000000)""",
+    "run_report": _report_sql(),
+    "lookup_quarantine_strict": f"""
+  SELECT CASE WHEN p_partkey % 6 IN (0, 2, 3) THEN 'quarantined' ELSE 'parsed' END AS state, p_partkey AS id,
+         CASE WHEN p_partkey % 6 = 1 THEN '}} {{' || name WHEN p_partkey % 6 IN (4, 5) THEN name END AS name,
+         CASE WHEN p_partkey % 6 IN (0, 2, 3) THEN 'not one JSON value' END AS reason
+  FROM part JOIN ({BRONZE_METADATA}) m ON m.id = CAST(p_partkey AS VARCHAR)""",
+    "layer_diff": f"""
+  WITH s AS ({SILVER_APPROACHES}),
+  c AS (SELECT CASE WHEN day(fecha) = 20 THEN NULL ELSE fecha END AS fecha,
+               CASE WHEN day(fecha) = 11 AND hora = 0 THEN 2 ELSE 1 END AS n
+        FROM s WHERE NOT (day(fecha) = 9 AND orbiting_body = 'error')),
+  l AS (SELECT fecha, count(*) AS n, max(day(fecha) = 3 AND hora = 5) AS bent FROM s GROUP BY fecha),
+  r AS (SELECT fecha, sum(n) AS n FROM c GROUP BY fecha)
+  SELECT coalesce(l.fecha, r.fecha) AS fecha, coalesce(l.n, 0) AS left_rows, CAST(coalesce(r.n, 0) AS BIGINT) AS right_rows
+  FROM l FULL JOIN r ON l.fecha IS NOT DISTINCT FROM r.fecha
+  WHERE l.n IS DISTINCT FROM r.n OR coalesce(bent, false)""",
+})

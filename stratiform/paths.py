@@ -55,3 +55,13 @@ class Lake:
     @property
     def gold_daily_summary(self) -> str:
         return self.path("gold", "daily_summary")
+
+    @property
+    def gold_partials(self) -> str:
+        """Mergeable state of the summary, one row per (day, id)."""
+        return self.path("gold", "daily_partials")
+
+    @property
+    def gold_by_day(self) -> str:
+        """The daily summary, one partition per day."""
+        return self.path("gold", "daily_summary_by_day")

@@ -9,57 +9,87 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform import schemas
 from stratiform.operators.aggregates import daily_summary
 from stratiform.operators.merge import insert_only_merge, lookup, pending_against, pending_rows
-from stratiform.operators.nested import feed_objects, flatten_objects, rejected_objects
+from stratiform.operators.nested import declared_matches, feed_objects, flatten_objects, objects_extent, rejected_objects
+from stratiform.operators.observed import WriteLog, observed
 from stratiform.operators.quality import integrity_report, orphans_by_key
 from stratiform.operators.tables import append_table, write_table
 from stratiform.operators.transforms import transform_approaches, transform_metadata
 from stratiform.paths import Lake
 from stratiform.sources.landed import path_exists, read_table
+from stratiform.streaming.gold_increment import run_gold_increment
+from stratiform.streaming.silver_stream import run_silver_new_files, silver_integrity
+
+
+def _append_or_create(df: DataFrame, path: str, partition_by=None, observation: Observation | None = None) -> bool:
+    """Add rows to a table that may not exist yet; False when there were none to add."""
+    if not path_exists(df.sparkSession, path):
+        write_table(df, path, mode="overwrite", partition_by=partition_by, observation=observation)
+        return True
+    if partition_by:  # an append of no rows adds no file to a partitioned table
+        append_table(df, path, partition_by=partition_by, observation=observation)
+        return True
+    # it would add an empty file to another one: ask first, on rows that the append then takes over
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        some = not df.isEmpty()
+        if some:
+            append_table(df, path, observation=observation)
+        return some
+    finally:
+        df.unpersist()
 
 
-def _append_or_create(df: DataFrame, path: str, partition_by=None) -> None:
-    if path_exists(df.sparkSession, path):
-        if not df.isEmpty():  # nothing pending: leave the table as it is
-            append_table(df, path, partition_by=partition_by)
-    else:
-        write_table(df, path, mode="overwrite", partition_by=partition_by)
+def _watch(log: WriteLog | None) -> Observation | None:
+    return None if log is None else Observation()
 
 
-def ingest_bronze(lake: Lake, feed: DataFrame, catalog: DataFrame, distinct_lookups: bool = False):
+def ingest_bronze(lake: Lake, feed: DataFrame, catalog: DataFrame, distinct_lookups: bool = False, log: WriteLog | None = None):
     """Feed documents -> bronze approaches; their ids -> catalog lookups -> bronze metadata.
 
     Approaches merge on (id, day) and metadata on id, insert-only.  By default
     every approach row asks for its entity, as a per-request lookup does.
     Objects without a close approach are merged into the rejects table, once each.
-    Returns the (first, last) day of the pull, or None for an empty pull.
+    Returns the (first, last) day of the pull, or None for an empty pull.  ``log`` takes the counts of the writes.
     """
     # The parsed batch feeds several jobs (partition range, approach merge, lookups,
     # rejects): parse the documents once.  Lost blocks are rebuilt from the landed files.
-    objects = feed_objects(feed).persist(StorageLevel.MEMORY_AND_DISK)
+    seen = _watch(log)
+    documents = feed if log is None else observed(feed.select("element_count", "near_earth_objects"), seen, {"element_count": ~declared_matches()}, columns=())
+    objects = feed_objects(documents).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         approaches = flatten_objects(objects)
-        lo, hi = approaches.agg(F.min("fecha"), F.max("fecha")).first()
-        metadata = lookup(approaches.select("id"), catalog, distinct=distinct_lookups)
+        rejects = rejected_objects(objects)
+        lo, hi, rows, held = objects_extent(objects)
+        _note(log, "landed", "feed", seen)
+        metadata = lookup(approaches.select("id"), catalog, distinct=distinct_lookups, rows=rows)
+        seen = _watch(log)
         insert_only_merge(approaches, lake.bronze_approaches, keys=schemas.BRONZE_APPROACHES_KEY,
                           partition_by=schemas.APPROACHES_PARTITION, prune_on="fecha", prune_bounds=(lo, hi),
-                          schema=schemas.BRONZE_APPROACHES)
-        insert_only_merge(metadata, lake.bronze_metadata, keys=schemas.METADATA_KEY,
-                          schema=schemas.BRONZE_METADATA, measure_target=True)
-        rejects = rejected_objects(objects)
-        if not rejects.isEmpty():  # cheap on the cached objects; keeps empty appends out
-            insert_only_merge(rejects, lake.bronze_rejects, keys=rejects.columns, null_safe=True)
+                          schema=schemas.BRONZE_APPROACHES, batch_rows=rows, observation=seen)
+        _note(log, "bronze", "approaches", seen)
+        seen = _watch(log)
+        insert_only_merge(metadata, lake.bronze_metadata, keys=schemas.METADATA_KEY, schema=schemas.BRONZE_METADATA,
+                          measure_target=True, batch_rows=rows, observation=seen)
+        _note(log, "bronze", "metadata", seen)
+        if held > rows:  # keeps empty appends out
+            insert_only_merge(rejects, lake.bronze_rejects, keys=rejects.columns, null_safe=True, batch_rows=held - rows)
     finally:
         objects.unpersist()
     return None if lo is None else (lo, hi)
 
 
-def run_silver(spark: SparkSession, lake: Lake) -> DataFrame:
+def _note(log: WriteLog | None, layer: str, table: str, seen: Observation | None, replaces: bool = False) -> None:
+    if log is not None:
+        log.take(layer, table, seen, replaces)
+
+
+def run_silver(spark: SparkSession, lake: Lake, log: WriteLog | None = None) -> DataFrame:
     """Transform only the bronze rows silver does not hold yet, append them, then
     return the integrity report of the complete silver tables (lazy).
 
@@ -75,17 +105,22 @@ def run_silver(spark: SparkSession, lake: Lake) -> DataFrame:
                          schemas.SILVER_APPROACHES_KEY, schemas.SILVER_APPROACHES, null_safe=True)
     pm = pending_against(spark, bm.transform(transform_metadata), lake.silver_metadata,
                          schemas.METADATA_KEY, schemas.SILVER_METADATA, null_safe=True, measure_target=True)
-    _append_or_create(pa, lake.silver_approaches, schemas.APPROACHES_PARTITION)
-    _append_or_create(pm, lake.silver_metadata)
+    for frame, path, table, parts in ((pa, lake.silver_approaches, "approaches", schemas.APPROACHES_PARTITION),
+                                      (pm, lake.silver_metadata, "metadata", None)):
+        seen = _watch(log)
+        if _append_or_create(frame, path, parts, seen):
+            _note(log, "silver", table, seen)
     return integrity_report(read_table(spark, lake.silver_approaches, schemas.SILVER_APPROACHES),
                             read_table(spark, lake.silver_metadata, schemas.SILVER_METADATA))
 
 
-def run_gold(spark: SparkSession, lake: Lake) -> None:
+def run_gold(spark: SparkSession, lake: Lake, log: WriteLog | None = None) -> None:
     """Recompute the daily summary from the whole silver layer; overwrite gold."""
     summary = daily_summary(read_table(spark, lake.silver_approaches, schemas.SILVER_APPROACHES),
                             read_table(spark, lake.silver_metadata, schemas.SILVER_METADATA))
-    write_table(summary, lake.gold_daily_summary, mode="overwrite", replace_schema=True)
+    seen = _watch(log)
+    write_table(summary, lake.gold_daily_summary, mode="overwrite", replace_schema=True, observation=seen)
+    _note(log, "gold", "daily_summary", seen, replaces=True)
 
 
 def reprocess_silver(spark: SparkSession, source: Lake, target: Lake | None = None) -> DataFrame:
@@ -126,9 +161,21 @@ class RunResult:
 
 
 def run_all(spark: SparkSession, lake: Lake, feed: DataFrame, catalog: DataFrame,
-            distinct_lookups: bool = False) -> RunResult:
-    """bronze -> silver -> gold for one pull; silver also takes up what earlier runs left."""
-    ingest_bronze(lake, feed, catalog, distinct_lookups)
-    report = run_silver(spark, lake)
-    run_gold(spark, lake)
+            distinct_lookups: bool = False, log: WriteLog | None = None) -> RunResult:
+    """bronze -> silver -> gold for one pull; silver also takes up what earlier runs left.  ``log`` takes the counts of all writes."""
+    ingest_bronze(lake, feed, catalog, distinct_lookups, log)
+    report = run_silver(spark, lake, log)
+    run_gold(spark, lake, log)
     return RunResult(lake, report)
+
+
+def run_all_new(spark: SparkSession, lake: Lake, feed: DataFrame, catalog: DataFrame, checkpoint: str,
+                distinct_lookups: bool = False) -> RunResult:
+    """bronze -> silver -> gold for one pull, reading only new files of each layer and writing only the days they touch.
+
+    The summary is the table of days (``Lake.gold_by_day``); its rows are those of a full run.
+    """
+    ingest_bronze(lake, feed, catalog, distinct_lookups)
+    run_silver_new_files(spark, lake, checkpoint)
+    run_gold_increment(spark, lake, checkpoint)
+    return RunResult(lake, silver_integrity(spark, lake))

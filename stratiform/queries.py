@@ -20,10 +20,14 @@ from stratiform.functions.expr import (
 from stratiform.operators.aggregates import (
     daily_summary, distinct_keys, fanout_left_join, layer_counts, summarize,
 )
+from stratiform.operators.bucketed import merge_bucketed
+from stratiform.operators.clustered import lookup_keys, write_clustered
+from stratiform.operators.fingerprints import layer_diff
 from stratiform.operators.merge import insert_only_merge, lookup, pending_against
 from stratiform.operators.inspect import peek
 from stratiform.operators.joins import keys_bound, sized_join
 from stratiform.operators.nested import feed_element_check, feed_rejects, flatten_feed, flatten_lookups
+from stratiform.operators.observed import WriteLog
 from stratiform.operators.quality import (
     duplicate_keys, integrity_report, name_lossless, null_profile, orphans_by_key, orphans_by_null,
 )
@@ -39,7 +43,9 @@ from stratiform.sources.standins import (
     metadata_from_part,
 )
 from stratiform.sources.window import feed_window, in_day_window
+from stratiform.streaming.dedup_stream import ingest_unrepeated
 from stratiform.streaming.feed_stream import ingest_available
+from stratiform.streaming.silver_stream import run_silver_new_files
 
 
 # --- stand-in layers (lazy, whole tables) -----------------------------------
@@ -562,6 +568,98 @@ def q_layer_counts(spark, sf):
     })
 
 
+def q_agg_mean_exact(spark, sf):
+    """Means per body whose sums do not depend on the order of rows, beside those of values from 1e-9 to 1e12."""
+    rows = silver_approaches(spark, sf).withColumn("spread", F.col("miss_distance_km") * F.expr("pow(10.0D, hora - 15)"))
+    return summarize(rows, "orbiting_body", [
+        ("velocity_mean", "relative_velocity_km_per_second", "mean"), ("distance_mean", "miss_distance_km", "mean"),
+        ("spread_mean", "spread", "mean")], round_cols=("velocity_mean", "distance_mean", "spread_mean"))
+
+
+def q_silver_stream(spark, sf):
+    """Silver taken from new bronze files only: one landing, then two at once, then none."""
+    root = _stage(spark, "silver-stream")
+    lake, checkpoint = Lake(root), f"{root}/_checkpoints"
+    bronze, full = bronze_approaches(spark, sf), F.col("close_approach_date_full")
+    first, second = (F.lit(x).cast("timestamp_ntz") for x in (scenario.RUN2_FROM, scenario.RUN1_UNTIL))
+    write_table(bronze_metadata(spark, sf), lake.bronze_metadata)
+    for parts in ((full < first,), ((full >= first) & (full <= second), full > second), ()):
+        for part in parts:
+            write_table(bronze.where(part), lake.bronze_approaches, mode="append", partition_by=schemas.APPROACHES_PARTITION)
+        run_silver_new_files(spark, lake, checkpoint)
+    return read_table(spark, lake.silver_approaches, schemas.SILVER_APPROACHES)
+
+
+def q_gold_incremental(spark, sf):
+    """The summary by day after two deliveries and the recovery of the orphans, each run writing only the days it touched."""
+    lake = scenario.recovered_by_increment(spark, sf)
+    return read_table(spark, lake.gold_by_day, schemas.GOLD_DAILY_SUMMARY)
+
+
+def q_stream_dedup(spark, sf):
+    """Two overlapping landings and, after a restart, the second one landed again."""
+    root = _stage(spark, "stream-dedup")
+    lake, landing = Lake(root), f"{root}/landing/feed"
+    for run in (1, 2, 2):
+        feed_documents(_run_events(spark, sf, run)).write.mode("append").text(landing)
+        ingest_unrepeated(spark, landing, lake, f"{root}/_checkpoints/feed")
+    return read_table(spark, lake.bronze_approaches, schemas.BRONZE_APPROACHES)
+
+
+def q_merge_bucketed(spark, sf):
+    """As by id, into a table that is stored in buckets of the id."""
+    path = f"{_stage(spark, 'merge-bucketed')}/bronze_metadata"
+    name = "bucketed_" + path.split("/")[-2].replace("-", "_")
+    for batch in (lookup(_run_bronze(spark, sf, 1).select("id"), bronze_metadata(spark, sf)), bronze_metadata(spark, sf)):
+        stored = merge_bucketed(batch, name, path, "id", schemas.BRONZE_METADATA)
+    return stored
+
+
+def q_lookup_clustered(spark, sf):
+    """All approaches of a few entities from a table that is ordered by id within its days."""
+    path = f"{_stage(spark, 'clustered')}/silver_approaches"
+    write_clustered(silver_approaches(spark, sf), path, "id", schemas.APPROACHES_PARTITION)
+    return lookup_keys(spark, path, schemas.SILVER_APPROACHES, "id", LITERAL_IDS)
+
+
+def q_run_report(spark, sf):
+    """Rows and NULLs of every layer, from the two runs' writes alone."""
+    log = WriteLog()
+    scenario.two_runs(spark, sf, tag="two-runs-observed", log=log)
+    return log.report(spark)
+
+
+def q_lookup_quarantine_strict(spark, sf):
+    """Lookup lines with two objects, with braces inside a text, cut off, and whole ones."""
+    value = F.col("value")
+    kind = F.get_json_object(value, "$.id").cast("bigint") % 6
+    landed = (F.when(kind == 0, F.concat(value, F.lit(" "), value))
+              .when(kind == 1, F.regexp_replace(value, '"name":"', '"name":"} {'))
+              .when(kind == 2, F.expr("left(value, length(value) - 1)"))
+              .when(kind == 3, F.concat(value, F.lit("] {")))
+              .otherwise(value))
+    path = f"{_stage(spark, 'lookups-strict')}/landing"
+    docs = lookup_documents(load(spark, sf, "part")).select(landed.alias("value"))
+    parsed, quarantine = read_lookup_documents(spark, land_text(docs, path))
+    bad = quarantine.select("file_path", "reason", F.regexp_extract("_corrupt_record", r'"id":"(\d+)"', 1).cast("bigint").alias("id"))
+    return (parsed.select(F.lit("parsed").alias("state"), to_id("id").alias("id"), "name", F.lit(None).cast("string").alias("reason"))
+            .unionByName(bad.select(F.when(F.col("file_path").contains("/landing/"), "quarantined").alias("state"), "id",
+                                    F.lit(None).cast("string").alias("name"), "reason")))
+
+
+def q_layer_diff(spark, sf):
+    """The days on which a copy of silver was altered: a row changed, one doubled, one lost, a day moved to no day."""
+    silver = silver_approaches(spark, sf)
+    day = F.dayofmonth("fecha")
+    bent = F.when((day == 3) & (F.col("hora") == 5), F.col("miss_distance_km") + 0.5).otherwise(F.col("miss_distance_km"))
+    copy = (silver.withColumn("miss_distance_km", bent)
+            .where(~((day == 9) & (F.col("orbiting_body") == "error")))
+            .withColumn("n", F.when((day == 11) & (F.col("hora") == 0), 2).otherwise(1))
+            .select(*[c for c in silver.columns if c != "fecha"], F.when(day == 20, F.lit(None)).otherwise(F.col("fecha")).alias("fecha"),
+                    F.explode(F.sequence(F.lit(1), F.col("n"))).alias("_copy")).drop("_copy"))
+    return layer_diff(silver, copy)
+
+
 QUERIES = {
     "daily_summary": q_daily_summary,
     "daily_summary_fanout": q_daily_summary_fanout,
@@ -627,4 +725,13 @@ QUERIES = {
     "agg_typed": q_agg_typed,
     "layer_counts": q_layer_counts,
     "stream_ingest": q_stream_ingest,
+    "agg_mean_exact": q_agg_mean_exact,
+    "silver_stream": q_silver_stream,
+    "gold_incremental": q_gold_incremental,
+    "stream_dedup": q_stream_dedup,
+    "merge_bucketed": q_merge_bucketed,
+    "lookup_clustered": q_lookup_clustered,
+    "run_report": q_run_report,
+    "lookup_quarantine_strict": q_lookup_quarantine_strict,
+    "layer_diff": q_layer_diff,
 }

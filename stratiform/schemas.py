@@ -49,6 +49,7 @@ LOOKUP = StructType([
 ])
 
 # --- layer tables ------------------------------------------------------------
+# The column names of the layer tables.
 BRONZE_APPROACHES = StructType([
     StructField("id", StringType()),
     StructField("name", StringType()),
@@ -107,6 +108,18 @@ GOLD_DAILY_SUMMARY = StructType([
     StructField("diametro_maximo_km", DoubleType()),
 ])
 
+# State of the daily summary: counts, exact sums (see functions.exact) and extremes per (day, id).
+GOLD_PARTIALS = StructType([
+    StructField("fecha", DateType()),
+    StructField("id", LongType()),
+    StructField("n_key", LongType()),
+    StructField("n_rows", LongType()),
+    *[StructField(f"{x}_{p}", DoubleType() if p == "big" else LongType())
+      for x in ("v", "d") for p in ("p3", "p2", "p1", "p0", "big", "n")],
+    StructField("max_v", DoubleType()),
+    StructField("min_d", DoubleType()),
+])
+
 # Table keys (conventions, nothing enforces them) and partition columns.
 BRONZE_APPROACHES_KEY = ["id", "close_approach_date"]
 SILVER_APPROACHES_KEY = ["id", "close_approach_date_full"]

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -83,6 +85,28 @@ def scratch_root(spark: SparkSession) -> str:
         return local
 
 
+_scopes: list[list[str]] = []
+
+
 def new_scratch_dir(spark: SparkSession, tag: str) -> str:
     """A fresh, never reused sub-folder of the shared scratch root."""
-    return f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, remove: Iterable[str | None] = ()) -> Iterator[None]:
+    """Delete the scratch folders named inside the block when it ends, and those in ``remove`` when it ends well.
+
+    Frames read from them must have been written elsewhere by then.
+    """
+    _scopes.append([])
+    try:
+        yield
+        _scopes[-1].extend(p for p in remove if p)
+    finally:
+        for path in _scopes.pop():
+            hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

@@ -7,9 +7,9 @@ per file (``multi_line=True``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructType
 
 from stratiform import schemas
 
@@ -27,22 +27,58 @@ def read_feed(spark: SparkSession, path: str, multi_line: bool = False) -> DataF
             .json(path))
 
 
-def read_lookup_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def _paths(schema: StructType, prefix: str = "$") -> list[tuple[str, str]]:
+    """(path, wanted kind) of every field: object, number, flag or text."""
+    out = []
+    for f in schema.fields:
+        path = f"{prefix}.{f.name}"
+        if isinstance(f.dataType, StructType):
+            out += [(path, "object"), *_paths(f.dataType, path)]
+        else:
+            out.append((path, {DoubleType: "number", LongType: "number", BooleanType: "flag"}.get(type(f.dataType), "text")))
+    return out
+
+
+# the types a JSON value may have to count as the wanted kind; an absent or null value fits any
+_KINDS = {"object": "OBJECT.*", "number": "BIGINT|DECIMAL.*|DOUBLE", "flag": "BOOLEAN", "text": "STRING|BIGINT|DECIMAL.*|DOUBLE|BOOLEAN"}
+
+
+def _typed(doc: Column, schema: StructType, prefix: str = "$") -> list[Column]:
+    out = []
+    for f in schema.fields:
+        path = f"{prefix}.{f.name}"
+        if isinstance(f.dataType, StructType):
+            out.append(F.struct(*_typed(doc, f.dataType, path)).alias(f.name))
+        else:
+            out.append(F.try_variant_get(doc, path, f.dataType.simpleString()).alias(f.name))
+    return out
+
+
+def read_lookup_documents(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
     """Lookup documents split into (parsed, quarantine).
 
-    A document that is not valid JSON, is no object, holds a value of another type or
-    has no id is not fatal: it goes to the quarantine frame with its raw text, the rest
-    goes on.  Both frames are lazy; nothing is collected.
+    A document that is not one whole JSON object, that names a key twice, holds a value of another type or
+    has no id is not fatal: it goes to the quarantine frame with its raw text, its file and the reason, the rest
+    goes on.  Both frames are lazy; nothing is collected.  One document per line, or per file with ``multi_line``.
+
+    Parsing stops after the first value, whatever follows it.  So a document is parsed inside an array and inside an
+    object: only a single value with nothing behind it can be followed by the end of both.
     """
-    known = StructType([*schemas.LOOKUP.fields, StructField("_corrupt_record", StringType())])
-    doc = F.from_json("value", known, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    # through explode the parsed value is computed once a line, not once a use
-    docs = spark.read.text(path).select("value", F.explode(F.array(doc)).alias("doc"))
-    # text after the object, such as a second one on the line, is not seen by the parser
-    whole = F.col("value").rlike(r"\}\s*$") & ~F.col("value").rlike(r"\}\s*\{")
-    good = whole & F.col("doc.id").isNotNull() & F.col("doc._corrupt_record").isNull()
-    parsed = docs.where(good).select(*[F.col("doc")[f].alias(f) for f in schemas.LOOKUP.names])
-    quarantine = docs.where(~good).select(F.col("value").alias("_corrupt_record"))
+    raw = spark.read.text(path, wholetext=multi_line).select("value", F.col("_metadata.file_path").alias("file_path"))
+    in_object = F.try_parse_json(F.concat(F.lit('{"d":'), "value", F.lit("}")))
+    in_array = F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]")))
+    whole = F.when(in_array.isNotNull(), F.try_variant_get(in_object, "$.d", "variant"))
+    # through explode the parsed value is computed once a document, not once a use
+    docs = raw.select("value", "file_path", F.explode(F.array(whole)).alias("doc"))
+    kind = F.schema_of_variant("doc")
+    misfits = [F.when(~F.schema_of_variant(F.try_variant_get("doc", at, "variant")).rlike(f"^({_KINDS[wanted]}|VOID)$"), at)
+               for at, wanted in _paths(schemas.LOOKUP)]
+    reason = (F.when(kind.isNull(), "not one JSON value").when(~kind.startswith("OBJECT"), "no object")
+              .otherwise(F.coalesce(*[F.concat(F.lit("type of "), m) for m in misfits],
+                                    F.when(F.try_variant_get("doc", "$.id", "string").isNull(), "no id"))))
+    judged = docs.select("value", "file_path", "doc", F.explode(F.array(reason)).alias("reason"))
+    parsed = judged.where("reason IS NULL").select(*_typed(F.col("doc"), schemas.LOOKUP))
+    quarantine = judged.where("reason IS NOT NULL").select(F.col("value").alias("_corrupt_record"), "file_path", "reason")
     return parsed, quarantine
 
 

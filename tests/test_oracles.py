@@ -5,8 +5,9 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
+from stratiform.oracles import ORACLES
+from stratiform.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -32,13 +33,13 @@ def _bag(cols, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF_SMALL)
-    res = con.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_SMALL)
+    res = con.execute(ORACLES[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _bag(df.columns, [tuple(r) for r in df.collect()]) == _bag(ocols, res.fetchall())

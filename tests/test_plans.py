@@ -1,20 +1,26 @@
 """Plan shape: no Python in any plan, scans read only what they need."""
 
+import datetime as dt
+
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from stratiform import queries as Q
+from stratiform.plans import jobs, scenario
+from stratiform.plans.jobs import run_silver
 
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(Q.QUERIES))
 def test_no_python_in_plan(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF_SMALL))
-    for marker in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+    """No node that hands rows to a Python worker: their names hold Python, Pandas or Arrow."""
+    plan = _plan(Q.QUERIES[name](spark, SF_SMALL))
+    for marker in ("Python", "Pandas", "InArrow", "ArrowEval"):
         assert marker not in plan, f"{name}: {marker}"
 
 
@@ -29,8 +35,23 @@ def test_pending_reads_only_target_keys(spark):
 
 
 def test_partitioned_read_prunes_folders(spark):
-    plan = _plan(Q.q_partition_roundtrip(spark, SF_SMALL))
-    assert "PartitionFilters: [isnotnull(fecha" in plan
+    """A filter on the day lists and reads the files of those days only."""
+    stored = Q.q_partition_roundtrip(spark, SF_SMALL)
+    days = stored.where(F.col("fecha").between(dt.date(2024, 1, 3), dt.date(2024, 1, 4)))
+    assert "PartitionFilters: [isnotnull(fecha" in _plan(days)
+    assert days.count() == stored.where(F.dayofmonth("fecha").isin(3, 4)).count() > 0
+    assert {f.split("fecha=")[1][:10] for f in days.select("id", F.input_file_name().alias("f")).toPandas()["f"]} == {"2024-01-03", "2024-01-04"}
+
+
+def test_silver_run_reads_only_keys_of_silver(spark, monkeypatch):
+    """What ``run_silver`` compares: all of bronze with the key columns of silver."""
+    lake = scenario.two_runs(spark, SF_SMALL, tag="plan-of-silver")
+    plans = []
+    monkeypatch.setattr(jobs, "append_table", lambda df, *a, **k: plans.append(_plan(df)))
+    monkeypatch.setattr(jobs, "_append_or_create", lambda df, *a, **k: plans.append(_plan(df)))
+    run_silver(spark, lake)
+    assert "ReadSchema: struct<id:bigint,close_approach_date_full:timestamp_ntz>" in plans[0]
+    assert "ReadSchema: struct<id:bigint>" in plans[1]
 
 
 def test_projection_pruned(spark):
@@ -41,22 +62,3 @@ def test_projection_pruned(spark):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "fecha" and df.count() > 0
-
-
-def test_scoped_silver_pending_prunes_both_sides(spark):
-    import datetime as dt
-
-    from pyspark.sql import functions as F
-
-    from stratiform import schemas
-    from stratiform.operators.transforms import transform_approaches
-    from stratiform.plans import scenario
-    from stratiform.plans.jobs import _pending_in_range
-    from stratiform.sources.landed import read_table
-
-    lake = scenario.two_runs(spark, SF_SMALL)
-    days = (dt.date(2024, 1, 7), dt.date(2024, 1, 13))
-    bronze = read_table(spark, lake.bronze_approaches, schemas.BRONZE_APPROACHES).where(
-        F.col("fecha").between(F.lit(days[0]), F.lit(days[1])))
-    plan = _plan(_pending_in_range(spark, bronze.transform(transform_approaches), lake.silver_approaches, days))
-    assert plan.count("PartitionFilters: [isnotnull(fecha") == 2
