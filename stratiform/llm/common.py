@@ -40,18 +40,20 @@ def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def spread_join(left: DataFrame, right: DataFrame, keys: list[str], rows_col: str, how: str = "inner",
-                most_hot: int = 100_000, least_hot: int = 1_000) -> DataFrame:
+                most_hot: int = 100_000, least_hot: int = 1_000, counts: DataFrame | None = None) -> DataFrame:
     """``left`` join ``right`` on ``keys``, where ``right`` has one row per key and says in ``rows_col`` how many rows
     of ``left`` carry it.
 
     A key with more rows than a ``most_hot``-th of all (and than ``least_hot``) is dealt over as many tasks as it
     exceeds that number; its one right row is repeated so often.  The salt is a hash of the left row, so a task
     that is run again deals its rows alike.  There are fewer than ``most_hot`` such keys whatever the input, which bounds the
-    list that is broadcast, and at most that many repeated rows.  ``how`` is inner or left.
+    list that is broadcast, and at most that many repeated rows.  ``how`` is inner or left.  ``counts`` holds keys and
+    rows when ``right`` itself does not.
     """
-    total = right.agg(F.coalesce(F.sum(rows_col), F.lit(0))).first()[0]
+    counts = right if counts is None else counts
+    total = counts.agg(F.coalesce(F.sum(rows_col), F.lit(0))).first()[0]
     bar = max(least_hot, total // most_hot)
-    hot = F.broadcast(right.where(F.col(rows_col) > bar)
+    hot = F.broadcast(counts.where(F.col(rows_col) > bar)
                       .select(*keys, F.ceil(F.col(rows_col) / F.lit(bar)).cast("int").alias("__parts")))
     salt = F.coalesce(F.pmod(F.xxhash64(*[left[c] for c in left.columns]), F.col("__parts")), F.lit(0)).cast("int")
     dealt = left.join(hot, keys, "left").select(*[left[c] for c in left.columns], salt.alias("__salt"))

@@ -11,16 +11,20 @@ hashes, about the square root of what as many independent tables would take.
 2. In every table bucket the member with the most company is the hub; all others are
    compared with it.  Links found so far are joined to components.
 3. Only in buckets that still hold several components, members of different
-   components are compared with each other, so the output never grows with the square
-   of a group that the hubs have joined, and no link is lost.
+   components are compared with each other, in buckets of up to ``PAIRED_MOST`` members.
+4. The members of larger ones share text that is in all of them (boilerplate), so most of them do not link.
+   They are compared by their rarest shingles: two sets that link share one of the first n - ceil(j n) + 1 shingles
+   of either, in the order of how many of these members hold them.  What all share comes last
+   in that order, so it makes no pairs, and no link is lost.
 
 Differing bits of two odd sketches never outnumber the shingles in which two sets
 differ, so pairs above the allowed difference are dropped without error; the rest is
 confirmed on the full sets.
 
 Defined results: NULL and empty texts, and texts without words, have an empty set and
-link with nothing; a NULL id links with nothing and is kept; rows that share an id
-share its component; other columns are not read; an empty table gives no rows.
+link with nothing; a NULL id links with nothing and is kept; rows that share an id are one
+document of several texts, which share its component and bring its links together; equal texts are one class; a very long text is
+hashed whole, as the others are; ids are cast to bigint; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,16 +37,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.llm import texthash
-from stratiform.llm.common import freed, staged
+from stratiform.llm.common import attached, freed, spread_join, staged
 from stratiform.llm.components import connected_components
-from stratiform.operators.joins import fits_broadcast, sized_join, skew_safe_join
+from stratiform.operators.joins import sized_join
 
 HALVES = 10  # half keys of each collection: 100 tables; pairs at the threshold miss all of them in 2 of 10,000 (85 %) or 2 of 1,000 (80 %) cases
 ROWS = 3  # minimum hashes of a half key
+PAIRED_MOST = 64  # members of a bucket that are compared with each other
 WORDS = 16  # longs of an odd sketch
 FOLDED = 8  # longs of the sketch carried into buckets
 _BITS = [f"s{i}" for i in range(WORDS)]
 _FOLD = [f"f{i}" for i in range(FOLDED)]
+_NAME = ["doc_id", "n", "fp1", "fp2"]  # a document's set: rows that share an id may hold several
+_OTHER = np.uint64(0x5851F42D4C957F2D)
 
 
 def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,6 +62,11 @@ def _shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     return [np.unique(texthash.shingle_hashes(words[a:b], k)) for a, b in zip(at[:-1], at[1:])]
 
 
+def _prints(values: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    """The fingerprint of a set."""
+    return np.add.reduce(values), np.add.reduce(texthash.mix(values ^ _OTHER))
+
+
 def _features(batches, k: int, m: int, h: int):
     xor, factor = _functions(2 * m * h)
     for batch in batches:
@@ -73,7 +85,7 @@ def _features(batches, k: int, m: int, h: int):
                 every = np.concatenate([sets[i] for i in full])
                 begin = np.r_[0, np.cumsum(size[full])[:-1]]
                 prints[full, 0] = np.add.reduceat(every, begin)
-                prints[full, 1] = np.add.reduceat(texthash.mix(every ^ np.uint64(0x5851F42D4C957F2D)), begin)
+                prints[full, 1] = np.add.reduceat(texthash.mix(every ^ _OTHER), begin)
                 owner = np.repeat(np.arange(len(full)), size[full])
                 bit = (texthash.mix(every + np.uint64(0x14057B7EF767814F)) >> np.uint64(54)).astype(np.int64)
                 odd = np.bincount(owner * (64 * WORDS) + bit, minlength=len(full) * 64 * WORDS) & 1
@@ -104,7 +116,7 @@ def document_features(docs: DataFrame, shingle: int, m: int = HALVES, h: int = R
 
 
 def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, set): the sorted distinct shingle hashes of every row."""
+    """(doc_id, n, fp1, fp2, set): the sorted distinct shingle hashes of every row, and what names that set."""
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,88 +125,173 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
                 ids = batch.column(0).slice(done, len(texts))
                 done += len(texts)
                 sets = _shingle_sets(texts, shingle)
+                prints = np.array([_prints(s) for s in sets], dtype=np.uint64).reshape(-1, 2)
                 offsets = pa.array(np.r_[0, np.cumsum([len(s) for s in sets])].astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets).view(np.int64)))], ["doc_id", "set"])
+                    [ids, pa.array([len(s) for s in sets], pa.int64()), *(pa.array(prints[:, i].copy().view(np.int64)) for i in (0, 1)),
+                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets).view(np.int64)))], [*_NAME, "set"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return freed(sets_of(batches))
 
-    return docs.mapInArrow(run, "doc_id bigint, set array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, n bigint, fp1 bigint, fp2 bigint, set array<bigint>")
 
 
-def _may_link(bits: list[str], percent: int):
+def _may_link(bits: list[str], percent: int, a: str = "a", b: str = "b"):
     """No pair that links fails this: sizes, and the sketches' differing bits, allow the similarity."""
-    differ = sum((F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in bits[1:]),
-                 F.bit_count(F.col(f"a.{bits[0]}").bitwiseXOR(F.col(f"b.{bits[0]}"))))
-    small, large = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
+    differ = sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in bits[1:]),
+                 F.bit_count(F.col(f"{a}.{bits[0]}").bitwiseXOR(F.col(f"{b}.{bits[0]}"))))
+    small, large = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
     return ((small * 100 >= large * percent)
-            & (differ * (100 + percent) <= (F.col("a.n") + F.col("b.n")) * (100 - percent)))
-
-
-def _confirm(pairs: DataFrame, features: DataFrame, docs: DataFrame, shingle: int, percent: int, tag: str) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    sketches = features.select("doc_id", "n", *_BITS)
-    likely = staged(pairs.alias("p").join(sketches.alias("a"), F.col("p.a") == F.col("a.doc_id"))
-                    .join(sketches.alias("b"), F.col("p.b") == F.col("b.doc_id"))
-                    .where(_may_link(_BITS, percent)).select("p.a", "p.b"), f"{tag}-likely")
-    wanted = likely.select(F.col("a").alias("doc_id")).union(likely.select(F.col("b").alias("doc_id"))).distinct()
-    sets = staged(shingle_sets(sized_join(docs, wanted, "doc_id", "left_semi"), shingle).dropDuplicates(["doc_id"]), f"{tag}-sets")
-    both = (likely.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")), "a")
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b"))
-    common = F.size(F.array_intersect("sa", "sb")).cast("bigint")
-    union = F.size("sa") + F.size("sb") - common
+            & (differ * (100 + percent) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - percent)))
+
+
+def _with_side(pairs: DataFrame, side: str, known: DataFrame, counts: DataFrame) -> DataFrame:
+    """``pairs`` with what is known of one side; a node in very many pairs is dealt over tasks."""
+    return spread_join(pairs, known.withColumnRenamed("node", side), [side], "__rows", counts=counts)
+
+
+def _confirm(pairs: DataFrame, nodes: DataFrame, sets_of, percent: int, tag: str) -> DataFrame:
+    """The pairs (a, b) of nodes whose full sets are similar enough."""
+
+    def counted(pairs: DataFrame, what: str) -> dict[str, DataFrame]:
+        return {side: staged(pairs.groupBy(side).agg(F.count(F.lit(1)).alias("__rows")), f"{tag}-{what}-{side}") for side in "ab"}
+
+    pairs = staged(pairs, f"{tag}-pairs")
+    counts = counted(pairs, "pairs")
+    near = pairs
+    for side in "ab":
+        near = _with_side(near, side, nodes.select("node", F.struct("n", *_BITS).alias(f"x{side}")), counts[side])
+    likely = staged(near.where(_may_link(_BITS, percent, "xa", "xb")).select("a", "b"), f"{tag}-likely")
+    counts = counted(likely, "likely")
+    sets = sets_of(counts["a"].select(F.col("a").alias("node")).union(counts["b"].select(F.col("b").alias("node"))).distinct(), tag)
+    both = likely
+    for side in "ab":
+        both = _with_side(both, side, sets.withColumnRenamed("set", f"set_{side}"), counts[side])
+    common = F.size(F.array_intersect("set_a", "set_b")).cast("bigint")
+    union = F.size("set_a") + F.size("set_b") - common
     return both.where(common * 100 >= union * percent).select("a", "b")
 
 
-def _attached(rows: DataFrame, known: DataFrame, keys: list[str], known_keys: list[str]) -> DataFrame:
-    """Left join with one row per key; rows stay in place while ``known`` is small, beyond it a hot key is salted."""
-    if fits_broadcast(known):
-        return rows.join(F.broadcast(known), [rows[a] == known[b] for a, b in zip(keys, known_keys)], "left")
-    return skew_safe_join(rows, known, keys, known_keys, "left")
+def _sets_reader(nodes: DataFrame, docs: DataFrame, shingle: int, several: bool):
+    """A function from a table of nodes to their (node, set), read from the texts of their documents.
+
+    ``several`` says that ids with more than one text exist, so that an id alone does not name a set.
+    """
+
+    def sets_of(wanted: DataFrame, tag: str) -> DataFrame:
+        named = nodes.join(wanted, "node", "left_semi").select("node", *_NAME)
+        sets = shingle_sets(sized_join(docs, named.select("doc_id").distinct(), "doc_id", "left_semi"), shingle)
+        if several:
+            sets = attached(staged(sets, f"{tag}-texts"), named, _NAME, "inner").select("node", "set")
+        else:
+            sets = sets.select(F.col("doc_id").alias("node"), "set")
+        return staged(sets.dropDuplicates(["node"]), f"{tag}-sets")
+
+    return sets_of
+
+
+def _nodes(reps: DataFrame) -> DataFrame:
+    """One node per set: its document's id, or, for further texts under one id, a negative number of their own."""
+    several = staged(reps.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows"), F.min("fp1").alias("first1"))
+                     .where("__rows > 1"), "several")
+    own = spread_join(reps, several, ["doc_id"], "__rows", "left")
+    first = F.col("__rows").isNull() | (F.col("fp1") == F.col("first1"))
+    other = -(F.pmod(F.xxhash64(*_NAME), F.lit((1 << 62) - 1)) + (1 << 62))
+    return own.select(F.when(first, F.col("doc_id")).otherwise(other).alias("node"), *reps.columns)
+
+
+def _under_one_id(texts: DataFrame, several: DataFrame, nodes: DataFrame) -> DataFrame | None:
+    """Links (a, b) between the nodes of the texts that share an id, None when no id has several texts."""
+    if several.isEmpty():
+        return None
+    named = nodes.select(F.col("doc_id").alias("rep"), *_NAME[1:], "node")
+    owned = staged(attached(spread_join(texts, several, ["doc_id"], "__rows").drop("__rows"), named, ["rep", *_NAME[1:]], "inner")
+                   .select("doc_id", "node"), "owned")
+    least = staged(owned.groupBy("doc_id").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("__rows")), "least-owned")
+    return (spread_join(owned, least, ["doc_id"], "__rows").where("node <> least")
+            .select(F.col("least").alias("a"), F.col("node").alias("b")))
+
+
+def _rare_pairs(members: DataFrame, nodes: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Pairs of members (node, component) of different components that share one of their rarest shingles."""
+    sets = sets_of(members.select("node"), "crowd")
+    held = sets.select("node", F.size("set").alias("n"), F.explode("set").alias("x"))
+    counts = staged(held.groupBy("x").agg(F.count(F.lit(1)).alias("holders")), "holders")
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100.0)) + 1
+    rare = (spread_join(held, counts, ["x"], "holders").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("holders", "x"))).alias("all"))
+            .select("node", F.explode(F.slice("all", F.lit(1), prefix.cast("int"))).alias("s"))
+            .where("s.holders > 1").select("node", F.col("s.x").alias("x")))
+    rare = staged(rare.join(members, "node"), "rare")
+    # only shingles that several components hold; of those, only pairs of different components are formed
+    parts = staged(rare.groupBy("x", "component").agg(F.count(F.lit(1)).alias("__rows")), "rare-parts")
+    mixed = parts.groupBy("x").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("x")
+    parts = staged(parts.join(mixed, "x").select("x", "component"), "mixed-parts")
+    facing = parts.alias("p").join(parts.alias("q"), (F.col("p.x") == F.col("q.x")) & (F.col("p.component") < F.col("q.component"))).select(
+        F.col("p.x").alias("x"), F.col("p.component").alias("ca"), F.col("q.component").alias("cb"))
+    some = rare.join(mixed, "x", "left_semi").join(nodes.select("node", F.struct("n", *_folded()).alias("s")), "node")
+    left = some.select("x", F.col("component").alias("ca"), F.col("node").alias("a"), F.col("s").alias("xa"))
+    right = some.select("x", F.col("component").alias("cb"), F.col("node").alias("b"), F.col("s").alias("xb"))
+    return (left.join(facing, ["x", "ca"]).join(right, ["x", "cb"]).where(_may_link(_FOLD, percent, "xa", "xb"))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def _folded() -> list:
+    return [F.col(f"s{i}").bitwiseXOR(F.col(f"s{i + FOLDED}")).alias(f"f{i}") for i in range(FOLDED)]
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, m: int = HALVES, h: int = ROWS,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", paired_most: int = PAIRED_MOST) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest id reachable by links) and kept."""
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     features = staged(document_features(docs, shingle, m, h), "features")
     known = features.where("doc_id IS NOT NULL AND n > 0")
     prints = ["n", "fp1", "fp2"]
     classes = staged(known.groupBy(*prints).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
-                     .select(*[F.col(c).alias(f"of_{c}") for c in prints], "rep"), "classes")
-    members = staged(_attached(known, classes, prints, [f"of_{c}" for c in prints])
-                     .select(*known.columns, F.coalesce("rep", "doc_id").alias("rep")), "members")
-    reps = members.where("doc_id = rep").dropDuplicates(["doc_id"])
+                     .select(*prints, "rep"), "classes")
+    members = staged(attached(known, classes, prints).select(*known.columns, F.coalesce("rep", "doc_id").alias("rep")), "members")
+    nodes = staged(_nodes(members.where("doc_id = rep").dropDuplicates(_NAME)), "nodes")
 
     tables = F.flatten(F.transform("u", lambda a, i: F.transform(F.col("v"), lambda b, j: F.xxhash64(a, b, i, j))))
-    keys = reps.select(F.explode(tables).alias("key"), F.col("doc_id").alias("id"))
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("in_key")).where("in_key > 1")
-    buckets = staged(keys.join(shared, "key"), "buckets")
+    keys = nodes.select(F.explode(tables).alias("key"), F.col("node").alias("id"))
+    shared = staged(keys.groupBy("key").agg(F.count(F.lit(1)).alias("in_key")).where("in_key > 1"), "shared-keys")
+    buckets = staged(spread_join(keys, shared, ["key"], "in_key"), "buckets")
     company = buckets.groupBy("id").agg(F.sum("in_key").alias("company"))
-    hubs = (buckets.join(company, "id").groupBy("key")
-            .agg(F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("best"))
-            .select("key", (-F.col("best.minus")).alias("hub")))
-    star = (buckets.join(hubs, "key").where("id <> hub")
+    hubs = staged(buckets.join(company, "id").groupBy("key")
+                  .agg(F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("best"), F.count(F.lit(1)).alias("__rows"))
+                  .select("key", (-F.col("best.minus")).alias("hub"), "__rows"), "hubs")
+    star = (spread_join(buckets, hubs, ["key"], "__rows").where("id <> hub")
             .select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct())
-    first = staged(_confirm(star, reps, docs, shingle, percent, "star"), "star-links")
+    texts = staged(members.select("doc_id", "rep", *prints).distinct(), "texts")
+    several = staged(texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows")).where("__rows > 1"), "several-texts")
+    same_id = _under_one_id(texts, several, nodes)
+    sets_of = _sets_reader(nodes, docs, shingle, same_id is not None)
+    first = staged(_confirm(star, nodes, sets_of, percent, "star"), "star-links")
     found = connected_components(first)
 
-    folded = [F.col(f"s{i}").bitwiseXOR(F.col(f"s{i + FOLDED}")).alias(f"f{i}") for i in range(FOLDED)]
-    placed = (buckets.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")))
-    open_keys = (placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                 .where("lo < hi").select("key"))
-    rest = staged(placed.join(open_keys, "key", "left_semi")
-                  .join(reps.select(F.col("doc_id").alias("id"), "n", *folded), "id"), "open-buckets")
-    across = (rest.alias("a").join(rest.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))
-                                   & (F.col("a.component") != F.col("b.component")) & _may_link(_FOLD, percent))
+    placed = staged(buckets.join(found, "id", "left").select("key", "id", "in_key", F.coalesce("component", "id").alias("component")), "placed")
+    open_keys = staged(placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("__rows"))
+                       .where("lo < hi").select("key", "__rows"), "open-keys")
+    rest = spread_join(placed, open_keys, ["key"], "__rows").drop("__rows")
+    few = staged(rest.where(F.col("in_key") <= paired_most)
+                 .join(nodes.select(F.col("node").alias("id"), "n", *_folded()), "id"), "open-buckets")
+    across = (few.alias("a").join(few.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))
+                                  & (F.col("a.component") != F.col("b.component")) & _may_link(_FOLD, percent))
               .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
-    second = _confirm(across, reps, docs, shingle, percent, "across")
-    joined = connected_components(first.union(second))
-
-    named = (_attached(members.select("doc_id", "rep").distinct(), joined, ["rep"], ["id"])
-             .select("doc_id", F.coalesce("component", "rep").alias("root"))
-             .groupBy("doc_id").agg(F.min("root").alias("root")))
-    return (features.select("doc_id", "n").join(named, "doc_id", "left")
+    crowd = staged(rest.where(F.col("in_key") > paired_most).select(F.col("id").alias("node"), "component").distinct(), "crowd")
+    if not crowd.isEmpty():
+        across = across.union(_rare_pairs(crowd, nodes, sets_of, percent)).distinct()
+    second = _confirm(across, nodes, sets_of, percent, "across")
+
+    links = first.union(second)
+    joined = connected_components(links if same_id is None else links.union(same_id))
+    rooted = (nodes.select("node", *_NAME).join(joined, F.col("node") == F.col("id"), "left")
+              .select(*_NAME, F.coalesce("component", "node").alias("component")))
+    least = rooted.groupBy("component").agg(F.min("doc_id").alias("root"), F.count(F.lit(1)).alias("__rows"))
+    rooted = spread_join(rooted, staged(least, "roots"), ["component"], "__rows").select(
+        F.col("doc_id").alias("rep"), *prints, "root")
+    named = attached(texts, staged(rooted, "rooted"), ["rep", *prints]).groupBy("doc_id").agg(
+        F.min("root").alias("root"))
+    return (attached(features.select("doc_id", "n"), staged(named, "named"), ["doc_id"])
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))

@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import fold, staged
-from stratiform.operators.joins import sized_join
+from stratiform.llm.common import fold, spread_join, staged
+from stratiform.operators.joins import fits_broadcast, sized_join
 
 ORDER = 4
 QUANTILE = 0.995
@@ -124,6 +124,15 @@ def gram_probabilities(trained: DataFrame, asked: DataFrame) -> DataFrame:
     return lower.select("g", F.log("p").alias("logp"))
 
 
+def with_probabilities(grams: DataFrame, logp: DataFrame, asked: DataFrame) -> DataFrame:
+    """``grams`` with their probabilities.  Beyond the broadcast bound a gram of very many documents is dealt over
+    tasks: it stands in no more rows than ``asked`` counts occurrences of it."""
+    if fits_broadcast(logp):
+        return grams.join(F.broadcast(logp), "g")
+    counts = asked.select("g", F.col("c").alias("__rows"))
+    return spread_join(grams, logp, ["g"], "__rows", counts=counts)
+
+
 def score_quality(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN, id_col: str = "doc_id",
                   text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Per doc_id: lang, n_chars, perplexity, the same weighed for short texts, the threshold of its language and kept.
@@ -138,7 +147,7 @@ def score_quality(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTIL
     trained = staged(corpus_grams(sized_join(docs, counted, "doc_id", "left_semi")), "trained")
     asked = staged(corpus_grams(docs), "asked")
     logp = gram_probabilities(trained, asked)
-    scored = (sized_join(document_grams(docs), logp, "g", "inner").groupBy("doc_id")
+    scored = (with_probabilities(document_grams(docs), logp, asked).groupBy("doc_id")
               .agg(F.sum("c").alias("n_chars"), F.sum(F.col("c") * F.col("logp")).alias("logp")))
     named = docs.select("doc_id", "lang").groupBy("doc_id").agg(F.min("lang").alias("lang"))
     scored = staged(named.join(scored, "doc_id", "left").select(
