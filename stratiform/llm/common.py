@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.operators.joins import fits_broadcast, skew_safe_join
@@ -40,7 +41,7 @@ def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def spread_join(left: DataFrame, right: DataFrame, keys: list[str], rows_col: str, how: str = "inner",
-                most_hot: int = 100_000, least_hot: int = 1_000, counts: DataFrame | None = None) -> DataFrame:
+                most_hot: int = 100_000, least_hot: int = 1_000, counts: DataFrame | None = None, where: Column | None = None) -> DataFrame:
     """``left`` join ``right`` on ``keys``, where ``right`` has one row per key and says in ``rows_col`` how many rows
     of ``left`` carry it.
 
@@ -48,7 +49,7 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str], rows_col: st
     exceeds that number; its one right row is repeated so often.  The salt is a hash of the left row, so a task
     that is run again deals its rows alike.  There are fewer than ``most_hot`` such keys whatever the input, which bounds the
     list that is broadcast, and at most that many repeated rows.  ``how`` is inner or left.  ``counts`` holds keys and
-    rows when ``right`` itself does not.
+    rows when ``right`` itself does not, ``where`` is a further condition on the sides ``l`` and ``r``.
     """
     counts = right if counts is None else counts
     total = counts.agg(F.coalesce(F.sum(rows_col), F.lit(0))).first()[0]
@@ -59,7 +60,11 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str], rows_col: st
     dealt = left.join(hot, keys, "left").select(*[left[c] for c in left.columns], salt.alias("__salt"))
     copies = F.explode(F.coalesce(F.sequence(F.lit(0), F.col("__parts") - 1), F.array(F.lit(0))))
     known = right.join(hot, keys, "left").select(*[right[c] for c in right.columns], copies.alias("__salt"))
-    return dealt.join(known, [*keys, "__salt"], how).drop("__salt")
+    if where is None:
+        return dealt.join(known, [*keys, "__salt"], how).drop("__salt")
+    same = reduce(lambda a, b: a & b, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in (*keys, "__salt")])
+    return (dealt.alias("l").join(known.alias("r"), same & where, how)
+            .select(*[F.col(f"l.{c}") for c in left.columns], *[F.col(f"r.{c}") for c in right.columns if c not in keys]))
 
 
 def attached(rows: DataFrame, known: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

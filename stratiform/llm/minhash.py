@@ -10,9 +10,9 @@ hashes, about the square root of what as many independent tables would take.
    bit).  Documents with the same set are one class; its smallest id stands for it.
 2. In every table bucket the member with the most company is the hub; all others are
    compared with it.  Links found so far are joined to components.
-3. Only in buckets that still hold several components, members of different
-   components are compared with each other, in buckets of up to ``PAIRED_MOST`` members.
-4. The members of larger ones share text that is in all of them (boilerplate), so most of them do not link.
+3. Only in buckets that still hold several components, the members outside the largest component are
+   compared with the members of other components, as long as they are up to ``PAIRED_MOST``.
+4. The members of buckets with more of them share text that is in all of them (boilerplate), so most of them do not link.
    They are compared by their rarest shingles: two sets that link share one of the first n - ceil(j n) + 1 shingles
    of either, in the order of how many of these members hold them.  What all share comes last
    in that order, so it makes no pairs, and no link is lost.
@@ -43,7 +43,7 @@ from stratiform.operators.joins import sized_join
 
 HALVES = 10  # half keys of each collection: 100 tables; pairs at the threshold miss all of them in 2 of 10,000 (85 %) or 2 of 1,000 (80 %) cases
 ROWS = 3  # minimum hashes of a half key
-PAIRED_MOST = 64  # members of a bucket that are compared with each other
+PAIRED_MOST = 64  # members of a bucket outside its largest component that are compared with all others
 WORDS = 16  # longs of an odd sketch
 FOLDED = 8  # longs of the sketch carried into buckets
 _BITS = [f"s{i}" for i in range(WORDS)]
@@ -222,18 +222,29 @@ def _rare_pairs(members: DataFrame, nodes: DataFrame, sets_of, percent: int) ->
     rare = (spread_join(held, counts, ["x"], "holders").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("holders", "x"))).alias("all"))
             .select("node", F.explode(F.slice("all", F.lit(1), prefix.cast("int"))).alias("s"))
             .where("s.holders > 1").select("node", F.col("s.x").alias("x")))
-    rare = staged(rare.join(members, "node"), "rare")
-    # only shingles that several components hold; of those, only pairs of different components are formed
-    parts = staged(rare.groupBy("x", "component").agg(F.count(F.lit(1)).alias("__rows")), "rare-parts")
-    mixed = parts.groupBy("x").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("x")
-    parts = staged(parts.join(mixed, "x").select("x", "component"), "mixed-parts")
-    facing = parts.alias("p").join(parts.alias("q"), (F.col("p.x") == F.col("q.x")) & (F.col("p.component") < F.col("q.component"))).select(
-        F.col("p.x").alias("x"), F.col("p.component").alias("ca"), F.col("q.component").alias("cb"))
-    some = rare.join(mixed, "x", "left_semi").join(nodes.select("node", F.struct("n", *_folded()).alias("s")), "node")
-    left = some.select("x", F.col("component").alias("ca"), F.col("node").alias("a"), F.col("s").alias("xa"))
-    right = some.select("x", F.col("component").alias("cb"), F.col("node").alias("b"), F.col("s").alias("xb"))
-    return (left.join(facing, ["x", "ca"]).join(right, ["x", "cb"]).where(_may_link(_FOLD, percent, "xa", "xb"))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    rare = rare.join(members, "node").join(nodes.select("node", F.struct("n", *_folded()).alias("s")), "node")
+    return _across(staged(rare, "rare"), "x", percent)
+
+
+def _largest(members: DataFrame, key: str) -> DataFrame:
+    """Of the keys that several components hold: their rows, the component with the most, and the rows of the others."""
+    parts = members.groupBy(key, "component").agg(F.count(F.lit(1)).alias("k"))
+    return (parts.groupBy(key).agg(F.sum("k").alias("__rows"), F.max(F.struct("k", "component")).alias("most"), F.count(F.lit(1)).alias("parts"))
+            .where("parts > 1").select(key, "__rows", F.col("most.component").alias("main"), (F.col("__rows") - F.col("most.k")).alias("others")))
+
+
+def _across(members: DataFrame, key: str, percent: int) -> DataFrame:
+    """Pairs (a, b) of members (key, node, component, s) of one key and of different components that may link.
+
+    Every pair has a member outside the largest component of its key, so only those are compared with all.
+    """
+    largest = staged(_largest(members, key), "largest")
+    some = staged(spread_join(members, largest, [key], "__rows").drop("__rows"), "members")
+    outside = some.where("component <> main").select(key, F.col("node").alias("other"), F.col("component").alias("of_other"), F.col("s").alias("s_other"))
+    apart = ((F.col("l.component") != F.col("r.of_other")) & ((F.col("l.component") == F.col("l.main")) | (F.col("l.node") < F.col("r.other")))
+             & _may_link(_FOLD, percent, "l.s", "r.s_other"))
+    pairs = spread_join(some, outside, [key], "__rows", counts=largest.select(key, "__rows"), where=apart)
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
 def _folded() -> list:
@@ -269,16 +280,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, m: int
     first = staged(_confirm(star, nodes, sets_of, percent, "star"), "star-links")
     found = connected_components(first)
 
-    placed = staged(buckets.join(found, "id", "left").select("key", "id", "in_key", F.coalesce("component", "id").alias("component")), "placed")
-    open_keys = staged(placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("__rows"))
-                       .where("lo < hi").select("key", "__rows"), "open-keys")
-    rest = spread_join(placed, open_keys, ["key"], "__rows").drop("__rows")
-    few = staged(rest.where(F.col("in_key") <= paired_most)
-                 .join(nodes.select(F.col("node").alias("id"), "n", *_folded()), "id"), "open-buckets")
-    across = (few.alias("a").join(few.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))
-                                  & (F.col("a.component") != F.col("b.component")) & _may_link(_FOLD, percent))
-              .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
-    crowd = staged(rest.where(F.col("in_key") > paired_most).select(F.col("id").alias("node"), "component").distinct(), "crowd")
+    placed = staged(buckets.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "placed")
+    largest = staged(_largest(placed, "key"), "open-keys")
+    rest = spread_join(placed, largest, ["key"], "__rows").select("key", F.col("id").alias("node"), "component", "others")
+    few = rest.where(F.col("others") <= paired_most).join(nodes.select("node", F.struct("n", *_folded()).alias("s")), "node")
+    across = _across(staged(few.select("key", "node", "component", "s"), "open-buckets"), "key", percent)
+    crowd = staged(rest.where(F.col("others") > paired_most).select("node", "component").distinct(), "crowd")
     if not crowd.isEmpty():
         across = across.union(_rare_pairs(crowd, nodes, sets_of, percent)).distinct()
     second = _confirm(across, nodes, sets_of, percent, "across")
