@@ -119,7 +119,7 @@ def skew_safe_join(left: DataFrame, right: DataFrame, left_keys: list[str], righ
     salted_left = (placed.join(small(hot.withColumn("__hot_l", F.lit(True))), left_keys, "left")
                    .withColumn("__salt_l", F.when(F.col("__hot_l"), F.pmod(F.xxhash64("__place"), F.lit(salts)))
                                .otherwise(F.lit(0)).cast("int"))
-                   .select(*left.columns, "__salt_l"))
+                   .select(*[F.col(f"`{c}`") for c in left.columns], "__salt_l"))
     hot_r = small(hot.select(*[F.col(lk).alias(rk) for lk, rk in zip(left_keys, right_keys)])
                         .withColumn("__hot_r", F.lit(True)))
     salted_right = (right.join(hot_r, right_keys, "left")
