@@ -1,6 +1,9 @@
 """Command-line entry for the jobs (``spark-submit -m``-style or ``python -m stratiform.plans.cli``).
 
-    run        land-to-gold for one pull: bronze ingest, incremental silver, gold
+    run        land-to-gold for one pull: bronze ingest, incremental silver, gold; ``--new-files`` reads only
+               new files of each layer and writes the days they touch, ``--report`` shows what the writes counted
+    follow     take new bronze files into silver and the days they touch into gold, without a pull
+    diff       days on which silver approaches differ from those of another lake
     silver     incremental silver only (compares all days)
     gold       recompute the daily summary
     reprocess  rebuild silver from all of bronze, replacing the schema
@@ -18,14 +21,18 @@ from pyspark.sql import SparkSession
 
 from stratiform import schemas
 from stratiform.operators.aggregates import layer_counts
+from stratiform.operators.fingerprints import layer_diff
 from stratiform.operators.inspect import column_types, peek
 from stratiform.operators.nested import flatten_lookups
+from stratiform.operators.observed import WriteLog
 from stratiform.operators.quality import integrity_report
 from stratiform.operators.tables import Move, migrate_layout
 from stratiform.paths import Lake
-from stratiform.plans.jobs import recover_orphans, reprocess_silver, run_all, run_gold, run_silver
+from stratiform.plans.jobs import recover_orphans, reprocess_silver, run_all, run_all_new, run_gold, run_silver
 from stratiform.session import DEFAULT_CONF
 from stratiform.sources.landed import literal_ids, read_feed, read_lookup_documents, table_or_empty
+from stratiform.streaming.gold_increment import run_gold_increment
+from stratiform.streaming.silver_stream import run_silver_new_files
 
 TABLES = {
     ("bronze", "approaches"): ("bronze_approaches", schemas.BRONZE_APPROACHES, ["close_approach_date", "id"]),
@@ -57,6 +64,12 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     r.add_argument("--lookups", required=True, help="landed lookup documents")
     r.add_argument("--multi-line", action="store_true", help="one document per file")
     r.add_argument("--distinct-lookups", action="store_true")
+    how = r.add_mutually_exclusive_group()
+    how.add_argument("--new-files", action="store_true", help="incremental form, checkpoints under the lake root")
+    how.add_argument("--report", action="store_true", help="rows and NULLs of every table written")
+    sub.add_parser("follow")
+    d = sub.add_parser("diff")
+    d.add_argument("--other", required=True, help="root of the other lake")
     sub.add_parser("silver")
     sub.add_parser("gold")
     sub.add_parser("reprocess")
@@ -74,10 +87,21 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
         if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
             spark.conf.set(name, value)
     lake = Lake(args.root, args.source)
+    checkpoint = f"{args.root.rstrip('/')}/_checkpoints/{args.source}"
     if args.cmd == "run":
-        res = run_all(spark, lake, read_feed(spark, args.feed, args.multi_line), _catalog(spark, args.lookups),
-                      args.distinct_lookups)
+        feed, catalog = read_feed(spark, args.feed, args.multi_line), _catalog(spark, args.lookups)
+        log = WriteLog() if args.report else None
+        res = (run_all_new(spark, lake, feed, catalog, checkpoint, args.distinct_lookups) if args.new_files
+               else run_all(spark, lake, feed, catalog, args.distinct_lookups, log))
         res.integrity.show()
+        if log is not None:
+            log.report(spark).show(200, truncate=False)
+    elif args.cmd == "follow":
+        run_silver_new_files(spark, lake, checkpoint)
+        print("days written:", *run_gold_increment(spark, lake, checkpoint))
+    elif args.cmd == "diff":
+        here, there = (table_or_empty(spark, x.silver_approaches, schemas.SILVER_APPROACHES) for x in (lake, Lake(args.other, args.source)))
+        layer_diff(here, there).orderBy("fecha").show(200, truncate=False)
     elif args.cmd == "silver":
         run_silver(spark, lake).show()
     elif args.cmd == "gold":
