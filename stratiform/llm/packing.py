@@ -152,7 +152,7 @@ def _pack(batches, window: int, separator: int, block: int, spec: tuple, with_id
         cols = [pa.array([p[i] for p in out], pa.int64()) for i in range(7)]
         if with_ids:
             names.append("ids")
-            cols.append(pa.array([p[7].tolist() for p in out], pa.list_(pa.int64())))
+            cols.append(pa.array([p[7] for p in out], pa.binary()))
         out.clear()
         return pa.RecordBatch.from_arrays(cols, names)
 
@@ -162,7 +162,8 @@ def _pack(batches, window: int, separator: int, block: int, spec: tuple, with_id
             n = len(ids)
             for start in range(0, n, window):
                 cut = ids[start:start + window]
-                piece = (doc_id, start, len(cut), zlib.crc32(cut.tobytes()), n) + ((cut,) if with_ids else ())
+                raw = cut.tobytes()
+                piece = (doc_id, start, len(cut), zlib.crc32(raw), n) + ((raw,) if with_ids else ())
                 if len(cut) == window:
                     out.append((*piece[:5], seq, 0, *piece[5:]))
                     seq += 1
@@ -170,7 +171,7 @@ def _pack(batches, window: int, separator: int, block: int, spec: tuple, with_id
                     waiting.append(piece)
             if len(waiting) >= block:
                 flush()
-            if len(out) >= 20_000:
+            if len(out) >= (2_000 if with_ids else 20_000):
                 yield emit()
     if waiting:
         flush()
@@ -184,7 +185,8 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str | None = Non
     """One row per piece: which ids of which document stand where in which sequence.
 
     ``json_path`` is the tokenizer file; ``ranks_path`` and ``pattern`` optionally name the same
-    vocabulary as byte ranks.  ``with_ids`` also returns the ids of every piece.
+    vocabulary as byte ranks.  ``with_ids`` also returns the ids of every piece, as the bytes that
+    ``ids_crc32`` is taken of (unsigned 32 bits each, little-endian).
     """
     spec = (json_path, ranks_path, pattern)
 
@@ -192,4 +194,4 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str | None = Non
         return _pack(batches, window, separator, block, spec, with_ids)
 
     kept = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return kept.mapInArrow(run, PIECES + (", ids array<bigint>" if with_ids else ""))
+    return kept.mapInArrow(run, PIECES + (", ids binary" if with_ids else ""))

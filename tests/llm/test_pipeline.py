@@ -64,7 +64,7 @@ def test_every_stage(spark, world):
     item = table(spark, world, "benchmark").orderBy("item_id").first()["text"]
     assert after.where(F.col("text").contains(item)).count() == 0
     packed = corpus_pipeline.packing(spark, docs, world)
-    assert packed.agg(F.sum("length")).first()[0] == packed.agg(F.sum(F.size("ids"))).first()[0]
+    assert packed.where("octet_length(ids) <> 4 * length OR crc32(ids) <> ids_crc32").count() == 0 < packed.count()
     whole = packed.groupBy("doc_id").agg(F.sum("length").alias("n"), F.first("doc_tokens").alias("t")).where("doc_id IS NOT NULL")
     assert whole.where("n <> t").count() == 0 and whole.count() == docs.where("doc_id IS NOT NULL").count()
 
