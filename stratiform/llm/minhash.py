@@ -33,13 +33,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiform.llm import texthash
 from stratiform.llm.common import attached, freed, spread_join, staged
 from stratiform.llm.components import connected_components
-from stratiform.operators.joins import sized_join
+from stratiform.operators.joins import fits_broadcast, sized_join
 
 HALVES = 10  # half keys of each collection: 100 tables; pairs at the threshold miss all of them in 2 of 10,000 (85 %) or 2 of 1,000 (80 %) cases
 ROWS = 3  # minimum hashes of a half key
@@ -49,6 +50,7 @@ FOLDED = 8  # longs of the sketch carried into buckets
 _BITS = [f"s{i}" for i in range(WORDS)]
 _FOLD = [f"f{i}" for i in range(FOLDED)]
 _NAME = ["doc_id", "n", "fp1", "fp2"]  # a document's set: rows that share an id may hold several
+SOME = 1 << 18  # shingles of a crowd's sets looked at together in a task
 _OTHER = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -213,15 +215,77 @@ def _under_one_id(texts: DataFrame, several: DataFrame, nodes: DataFrame) -> Dat
             .select(F.col("least").alias("a"), F.col("node").alias("b")))
 
 
-def _rare_pairs(members: DataFrame, nodes: DataFrame, sets_of, percent: int) -> DataFrame:
-    """Pairs of members (node, component) of different components that share one of their rarest shingles."""
-    sets = sets_of(members.select("node"), "crowd")
+def _some_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Of batches (node, set): the nodes of some rows, their set sizes and their shingles, up to SOME shingles or one row at a time."""
+    for batch in batches:
+        ends = np.cumsum(pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False))
+        low = 0
+        while low < len(ends):
+            before = int(ends[low - 1]) if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, before + SOME, "right")))
+            yield (batch.column(0).slice(low, high - low), np.diff(ends[low:high], prepend=before),
+                   batch.column(1).slice(low, high - low).flatten().to_numpy())
+            low = high
+
+
+def _holders(sets: DataFrame) -> DataFrame:
+    """(x, holders): in how many sets a shingle is; added up over some sets before a row leaves a task."""
+
+    def counts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, shingles in _some_sets(batches):
+            x, c = np.unique(shingles, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(c.astype(np.int64))], ["x", "c"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return freed(counts_of(batches))
+
+    return sets.select("node", "set").mapInArrow(run, "x bigint, c bigint").groupBy("x").agg(F.sum("c").alias("holders"))
+
+
+def _rarest_in_place(sets: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """(node, x): of the rarest shingles of every set those that another set holds.
+
+    ``shared`` (x, holders) is sent to the tasks, so its caller has measured it; no set leaves its task, only what is returned.
+    """
+    known = shared.select("x", "holders").toArrow().sort_by("x")
+    sorted_x, holders = known["x"].to_numpy(), known["holders"].to_numpy()
+    rank = np.empty(len(sorted_x), dtype=np.int64)
+    rank[np.lexsort((sorted_x, holders))] = np.arange(len(sorted_x))
+
+    def rarest_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for nodes, size, shingles in _some_sets(batches):
+            near = np.searchsorted(sorted_x, shingles)
+            hit = np.flatnonzero(sorted_x[np.minimum(near, len(sorted_x) - 1)] == shingles)
+            owner, place = np.repeat(np.arange(len(size)), size)[hit], near[hit]
+            order = np.lexsort((rank[place], owner))
+            owner, place = owner[order], place[order]
+            held = np.bincount(owner, minlength=len(size))
+            # those that no other set holds come first
+            left = (size - np.ceil(size * percent / 100.0) + 1).astype(np.int64) - (size - held)
+            kept = np.arange(len(owner)) - np.repeat(np.cumsum(held) - held, held) < left[owner]
+            yield pa.RecordBatch.from_arrays([nodes.take(pa.array(owner[kept])), pa.array(sorted_x[place[kept]])], ["node", "x"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return freed(rarest_of(batches)) if len(sorted_x) else iter(())
+
+    return sets.select("node", "set").mapInArrow(run, "node bigint, x bigint")
+
+
+def _rarest_by_shuffle(sets: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``_rarest_in_place``, by joins, from the ``counts`` (x, holders) of all shingles."""
     held = sets.select("node", F.size("set").alias("n"), F.explode("set").alias("x"))
-    counts = staged(held.groupBy("x").agg(F.count(F.lit(1)).alias("holders")), "holders")
     prefix = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100.0)) + 1
-    rare = (spread_join(held, counts, ["x"], "holders").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("holders", "x"))).alias("all"))
+    return (spread_join(held, counts, ["x"], "holders").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("holders", "x"))).alias("all"))
             .select("node", F.explode(F.slice("all", F.lit(1), prefix.cast("int"))).alias("s"))
             .where("s.holders > 1").select("node", F.col("s.x").alias("x")))
+
+
+def _rare_pairs(members: DataFrame, nodes: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Pairs of members (node, component) of different components that share one of their rarest shingles."""
+    sets = sets_of(members.select("node"), "crowd")
+    counts = staged(_holders(sets), "holders")
+    shared = counts.where("holders > 1")
+    rare = _rarest_in_place(sets, shared, percent) if fits_broadcast(shared) else _rarest_by_shuffle(sets, counts, percent)
     rare = rare.join(members, "node").join(nodes.select("node", F.struct("n", *_folded()).alias("s")), "node")
     return _across(staged(rare, "rare"), "x", percent)
 

@@ -110,5 +110,28 @@ def test_work_on_a_crowd_grows_in_proportion(spark):
         assert minhash._rare_pairs(nodes.select("node", F.col("node").alias("component")), nodes, sets_of, 80).count() == 0
 
 
+@pytest.mark.parametrize("some", [minhash.SOME, 100])
+def test_rarest_shingles_in_place_are_those_by_shuffle(spark, monkeypatch, some):
+    """The sets of a crowd stay in their tasks while the list of shared shingles is small; the rows are those of the joins."""
+    monkeypatch.setattr(minhash, "SOME", some)
+    rng = random.Random(8)
+    sets = [(i, sorted({rng.randrange(60) ** 2 - 900 for _ in range(rng.randrange(1, 40))} | {10_000 + i})) for i in range(50)]
+    sets = spark.createDataFrame(sets + [(99, [123_456])], "node bigint, set array<bigint>").repartition(3)
+    counts = minhash._holders(sets)
+    in_place = minhash._rarest_in_place(sets, counts.where("holders > 1"), 85)
+    for df in (counts, in_place):
+        assert "explode(set" not in df._jdf.queryExecution().toString()
+    rows = [sorted(map(tuple, df.collect())) for df in (in_place, minhash._rarest_by_shuffle(sets, counts, 85))]
+    assert rows[0] == rows[1] and len(rows[0]) > 20
+    assert minhash._rarest_in_place(sets, counts.where("holders > 1000"), 85).isEmpty()
+
+
+def test_crowd_beyond_the_broadcast_bound(spark, monkeypatch):
+    rows = crowd(90, random.Random(9))
+    rows += [(500 + i, rows[i][1] + " more") for i in range(9)]
+    monkeypatch.setattr(minhash, "fits_broadcast", lambda df: False)
+    assert found(spark, rows, paired_most=2) == plain(rows, 5, 80)
+
+
 def test_empty_table(spark):
     assert found(spark, []) == []
