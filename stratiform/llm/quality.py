@@ -27,14 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import fold, spread_join, staged
+from stratiform.llm.common import fold, freed, spread_join, staged
 from stratiform.operators.joins import fits_broadcast, sized_join
 
 ORDER = 4
 QUANTILE = 0.995
 MARGIN = 1.2  # a document is rejected above the quantile times this
 PRIOR_CHARS = 64  # characters of average trusted text that a short text is weighed with
-_CHUNK = 1 << 20
+# characters of text taken at once: a dozen arrays of 8 bytes each stand beside those of a document's grams, fewer beside a corpus'
+_CORPUS_CHUNK, _CHUNK = 1 << 19, 1 << 17
 
 
 def _grams(text: str) -> np.ndarray:
@@ -46,12 +47,12 @@ def _grams(text: str) -> np.ndarray:
     return ((c[:-3] << np.uint64(48)) | (c[1:-2] << np.uint64(32)) | (c[2:-1] << np.uint64(16)) | c[3:]).view(np.int64)
 
 
-def _chunked(column) -> Iterator[list[str]]:
+def _chunked(column, limit: int) -> Iterator[list[str]]:
     some, size = [], 0
     for v in column:
         some.append(v.as_py() or "")
         size += len(some[-1])
-        if size >= _CHUNK:
+        if size >= limit:
             yield some
             some, size = [], 0
     if some:
@@ -61,22 +62,25 @@ def _chunked(column) -> Iterator[list[str]]:
 def corpus_grams(texts: DataFrame) -> DataFrame:
     """(g, c): the corpus count of every 4-gram of the ``text`` column."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in _chunked(batch.column(0)):
+            for some in _chunked(batch.column(0), _CORPUS_CHUNK):
                 g, c = np.unique(np.concatenate([_grams(t) for t in some]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(c.astype(np.int64))], ["g", "c"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return freed(counts_of(batches))
+
     return texts.select("text").mapInArrow(run, "g bigint, c bigint").groupBy("g").agg(F.sum("c").alias("c"))
 
 
 def document_grams(docs: DataFrame) -> DataFrame:
     """(doc_id, g, c): the 4-gram counts of every document."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
-            for some in _chunked(batch.column(1)):
+            for some in _chunked(batch.column(1), _CHUNK):
                 ids = batch.column(0).slice(done, len(some))
                 done += len(some)
                 counted = [np.unique(_grams(t), return_counts=True) for t in some]
@@ -85,6 +89,9 @@ def document_grams(docs: DataFrame) -> DataFrame:
                     [ids.take(pa.array(at)), pa.array(np.concatenate([g for g, _ in counted])),
                      pa.array(np.concatenate([c for _, c in counted]).astype(np.int64))], ["doc_id", "g", "c"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return freed(counts_of(batches))
+
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, g bigint, c bigint")
 
 

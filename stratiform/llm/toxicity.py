@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import fold, staged
+from stratiform.llm.common import fold, freed, staged
 from stratiform.operators.joins import sized_join
 
 SAMPLE_DOCS = 2000  # labelled documents of each class
@@ -45,7 +45,8 @@ NEGATIVES = 3000  # other units trained on
 DECAY = 0.7
 SPAN = 8  # longest stretch of a subsequence
 LONGEST = 24  # characters of a unit compared at once; longer ones in overlapping windows
-CACHE_UNITS = 300_000
+CACHE_UNITS = 100_000  # a worker keeps them from task to task
+CHUNK = 1 << 17  # characters of text whose units a task holds at once
 _EDGES = re.compile(r"(?<!\S)[\W_]+|[\W_]+(?!\S)")  # what is not a letter or digit at a word's ends
 _INSIDE = re.compile(r"[\W_]+")
 _SPELLED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
@@ -252,6 +253,37 @@ def _significant(pairs: list[tuple[int, int, int]], tested: int, share: float) -
     return {(k1, k0) for _, k1, k0, _ in ranked[:passed]}
 
 
+def _chunked(column: pa.Array) -> Iterator[list[str]]:
+    """Consecutive texts of a column, about CHUNK characters at a time; NULL counts as empty."""
+    some, size = [], 0
+    for value in column:
+        some.append(value.as_py() or "")
+        size += len(some[-1])
+        if size >= CHUNK:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The units of every text (doc_id, text, toxic), those of some texts at a time."""
+
+    def units_of() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for some in _chunked(batch.column(1)):
+                found = [units(t) for t in some]
+                at = pa.array(done + np.repeat(np.arange(len(found)), [len(f) for f in found]))
+                done += len(some)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(2).take(at),
+                     pa.array([u for f in found for u in f], pa.string()),
+                     pa.array([c for f in found for c in f.values()], pa.string())], ["doc_id", "toxic", "unit", "around"])
+
+    return freed(units_of())
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, decay: float = DECAY) -> dict | None:
     """The model learnt from labelled rows (doc_id, toxic) of ``labels`` and the texts of ``docs``."""
     known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -265,18 +297,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, de
         picked = some if picked is None else picked.union(some)
     picked = staged(picked, "sample")
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [units(t.as_py() or "") for t in batch.column(1)]
-            at = np.repeat(np.arange(len(found)), [len(f) for f in found])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(at)), batch.column(2).take(pa.array(at)),
-                 pa.array([u for f in found for u in f], pa.string()),
-                 pa.array([c for f in found for c in f.values()], pa.string())], ["doc_id", "toxic", "unit", "around"])
-
     sampled = staged(sized_join(docs.select("doc_id", "text"), picked, "doc_id", "inner")
                      .select("doc_id", "text", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
-                     .mapInArrow(split, "doc_id bigint, toxic int, unit string, around string"), "units")
+                     .mapInArrow(_split, "doc_id bigint, toxic int, unit string, around string"), "units")
     size = {r["toxic"]: r["n"] for r in sampled.groupBy("toxic").agg(F.count_distinct("doc_id").alias("n")).collect()}
     if not size.get(0) or not size.get(1):
         return None
@@ -374,19 +397,17 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, bound: float = 0.7, sampl
     seen = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic").where(fold() != 1)
     model = train(docs, seen, sample_docs)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scores_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(model) if model else None
         for batch in batches:
-            scores, some, chars = [], [], 0
-            for t in batch.column(1):
-                some.append(t.as_py() or "")
-                chars += len(some[-1])
-                if chars > 1 << 20:
-                    scores += (scorer.scores(some) if scorer else np.zeros(len(some))).tolist()
-                    some, chars = [], 0
-            scores += (scorer.scores(some) if scorer else np.zeros(len(some))).tolist()
+            scores = []
+            for some in _chunked(batch.column(1)):
+                scores += (scorer.scores(some) if scorer else np.zeros(len(some))).tolist()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return freed(scores_of(batches))
+
     scored = docs.mapInArrow(run, "doc_id bigint, score double")
     return scored.select("doc_id", (fold() == 1).alias("held_out"), "score",
                          (F.col("score") >= bound).cast("int").alias("predicted"))

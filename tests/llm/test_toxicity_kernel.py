@@ -4,9 +4,11 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from stratiform.llm import toxicity
 from stratiform.llm.common import table
 from stratiform.llm.toxicity import DECAY, LONGEST, SPAN, Kernel, score_toxicity
 
@@ -46,3 +48,15 @@ def test_held_out_rows(spark):
     scored = score_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")).where("held_out").join(table(spark, sf, "labels"), "doc_id")
     found = {r["toxic"]: r["s"] for r in scored.groupBy("toxic").agg(F.avg("predicted").alias("s")).collect()}
     assert found[1] >= 0.9 and found[0] <= 0.02
+
+
+def test_a_task_holds_the_units_of_some_texts_at_a_time(monkeypatch):
+    """A batch of many texts gives its units in parts, the same ones; all at once took hundreds of MB of a worker."""
+    rng = random.Random(5)
+    texts = [None if i % 17 == 0 else " ".join(f"w{rng.randrange(500)}" for _ in range(rng.randrange(0, 300))) for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(texts), pa.array([i % 2 for i in range(300)])], ["doc_id", "text", "toxic"])
+    monkeypatch.setattr(toxicity, "CHUNK", 10_000, raising=False)
+    parts = list(toxicity._split(iter([batch])))
+    assert len(parts) > 10 and max(p.num_rows for p in parts) < 10_000
+    got = [tuple(r.values()) for p in parts for r in p.to_pylist()]
+    assert got == [(i, i % 2, u, c) for i, t in enumerate(texts) for u, c in toxicity.units(t or "").items()]
