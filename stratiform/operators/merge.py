@@ -58,9 +58,9 @@ def anti_by_keys(batch: DataFrame, target: DataFrame, keys: list[str], null_safe
     many times never piles up in one task.
 
     A target that grows with history is left to AQE (broadcast only once its
-    shuffle has measured it).  ``measure_target`` is for entity-sized targets:
-    their key columns are measured first and, under the bound, broadcast, so the
-    batch is not shuffled at all.  Otherwise a batch key holding more than
+    shuffle has measured it).  ``measure_target`` is for targets with entity-sized keys:
+    their key columns are measured first, as stored and, beyond the bound, without the repeats, and
+    broadcast under it, so the batch is neither shuffled nor worked out a second time.  Otherwise a batch key holding more than
     ``hot_key_rows`` rows is salted over ``salts`` tasks (``skew_safe_join``, which counts
     the batch unless ``batch_rows`` says how many rows it has at most).
     """
@@ -69,7 +69,7 @@ def anti_by_keys(batch: DataFrame, target: DataFrame, keys: list[str], null_safe
     left = batch.select("*", *left_cols)
     bnames = [c for c in left.columns if c.startswith("__b_")]
     tnames = [c.replace("__b_", "__t_", 1) for c in bnames]
-    if measure_target and fits_broadcast(right):
+    if measure_target and (fits_broadcast(right) or fits_broadcast(right.distinct())):
         right = F.broadcast(right.distinct())
         cond = reduce(lambda a, b: a & b, [left[b] == right[t] for b, t in zip(bnames, tnames)])
         return left.join(right, cond, "left_anti").select(*batch.columns)

@@ -18,7 +18,7 @@ from stratiform.operators.observed import WriteLog
 from stratiform.paths import Lake
 from stratiform.plans.jobs import ingest_bronze, recover_orphans, run_all, run_gold, run_silver
 from stratiform.session import new_scratch_dir
-from stratiform.sources.landed import read_feed, read_lookup_documents
+from stratiform.sources.landed import read_feed, read_lookup_documents, read_table
 from stratiform.sources.standins import broken_lookup_rule, feed_documents, land_text, load, lookup_documents
 from stratiform.sources.window import feed_window
 from stratiform.streaming.gold_increment import run_gold_increment
@@ -50,9 +50,13 @@ def land_lookups(spark: SparkSession, sf: str, root: str, broken: bool, tag: str
     return land_text(lookup_documents(part, broken_lookup_rule() if broken else None), f"{root}/landing/{tag}")
 
 
-def catalog_from(spark: SparkSession, path: str):
+def catalog_from(spark: SparkSession, path: str) -> DataFrame:
+    """The catalog of landed answers.  They are parsed once, into a table: every run measures and joins it several times."""
     parsed, _ = read_lookup_documents(spark, path)
-    return flatten_lookups(parsed)
+    catalog = flatten_lookups(parsed)
+    stored = new_scratch_dir(spark, "catalog")
+    catalog.write.parquet(stored)
+    return read_table(spark, stored, catalog.schema)
 
 
 def two_runs(spark: SparkSession, sf: str, tag: str = "two-runs", distinct_lookups: bool = False, log: WriteLog | None = None) -> Lake:

@@ -2,8 +2,11 @@ import datetime as dt
 
 import pytest
 
+from stratiform.operators import merge
+from stratiform.operators.joins import fits_broadcast
 from stratiform.operators.merge import insert_only_merge, lookup, pending_against, pending_rows
 from stratiform.operators.tables import SchemaMismatch, write_table
+from stratiform.plans import scenario
 from stratiform.sources.landed import read_table, table_or_empty
 
 SCHEMA = "id bigint, ts timestamp_ntz, v double, fecha date"
@@ -162,3 +165,23 @@ def test_merge_matches_a_python_model(spark, scratch, base, batch, null_safe, de
     got = sorted((tuple(r) for r in spark.read.parquet(path).collect()),
                  key=lambda r: (r[0] is None, r[0] or 0, r[1]))
     assert got == _model(base, batch, null_safe, dedup)
+
+
+def test_repeated_target_keys_are_measured_once_each(spark, monkeypatch):
+    """A target that holds each of a few keys many times is broadcast; its rows are not what is sent."""
+    monkeypatch.setattr(merge, "fits_broadcast", lambda df: fits_broadcast(df, 1_000))
+    target = spark.createDataFrame([(i % 10, float(i)) for i in range(400)] + [(None, 0.0)], "id bigint, v double")
+    batch = spark.createDataFrame([(5, "a"), (11, "b"), (None, "c"), (11, "d")], "id bigint, w string")
+    fresh = merge.anti_by_keys(batch, target, ["id"], null_safe=False, measure_target=True)
+    assert "BroadcastHashJoin" in fresh._jdf.queryExecution().executedPlan().toString()
+    assert _rows(fresh) == [(11, "b"), (11, "d"), (None, "c")]
+    assert _rows(merge.anti_by_keys(batch, target, ["id"], null_safe=True, measure_target=True)) == [(11, "b"), (11, "d")]
+
+
+def test_catalog_is_parsed_once(spark, scratch):
+    """What the runs read is the parsed table, broken answers left out."""
+    path = f"{scratch('lookups')}/landed"
+    spark.createDataFrame([('{"id":"1","name":"one"}',), ('{"id":"2","na',), ('{"id":"3","name":"three"}',)], "value string").write.text(path)
+    catalog = scenario.catalog_from(spark, path)
+    assert "parse_json" not in catalog._jdf.queryExecution().toString().lower()
+    assert [(r["id"], r["name"]) for r in catalog.orderBy("id").collect()] == [("1", "one"), ("3", "three")]
